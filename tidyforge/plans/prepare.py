@@ -91,8 +91,9 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
                     filters=config.get("filters"), collapse_duplicates=collapse,
                     collision=config.get("collision", "keep_base"), order_by=order,
                     clean_filter=label_cleaner(options)).drop("__new_order")
-        if report:
-            df = report.watch(df, f"merge {number}")
+        # A left merge with collapse keeps the row count, so there is nothing to count.
+        if report and not (collapse and config.get("how", "left") == "left"):
+            report.watch(df, f"merge {number}")
     return df
 
 
@@ -121,15 +122,17 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
         df = primary_file
     else:
         df = load_data(spark, primary_file, source_order=file_order, **(load_kwargs or {}))
-    df = _watch(report, df, "load")
+    if report:
+        report.watch(df, "load")
     df = clean_text(df, clean_columns, clean_options, drop_columns)
     df = merge_datasets(df, merge_configs, clean_options, report=report)
 
     sort_by = [SOURCE_ORDER] if file_order and SOURCE_ORDER in df.columns else dedupe_sort_by
     df = deduplicate(df, dedupe_subset, dedupe_keep, sort_by, dedupe_sort_ascending)
-    df = _watch(report, df.drop(SOURCE_ORDER), "deduplicate")
-    df = normalize_units(df, lab_configs, label_cleaner(clean_options))
+    df = normalize_units(df.drop(SOURCE_ORDER), lab_configs, label_cleaner(clean_options))
     df = materialize(df, "prepared")
+    if report:
+        report.watch(df, "deduplicate")
 
     rules = [Strategy(s.get("method", "mean"), s.get("cols", []), s.get("constant_val"))
              for s in impute_strategies or []]
@@ -151,10 +154,6 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
     return df
 
 
-def _watch(report: StageReport | None, df: DataFrame, stage: str) -> DataFrame:
-    return report.watch(df, stage) if report else df
-
-
 def process_data_from_config(spark: SparkSession, config: dict,
                              report: StageReport | None = None) -> DataFrame:
     """Run from one dict; unknown keys are errors.
