@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from itertools import groupby
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from tidyforge.functions.names import ref
 from tidyforge.functions.nulls import double_or_null, missing
 
 # Rows that may be left inside the brackets when their values are fetched one by one.
-GATHER_ROWS = 1_000_000
+GATHER_ROWS = 200_000
 # Sketch size and the margin, in rank share, put around a sketched quantile.
 SKETCH_K = 1024
 MARGIN = 0.004
@@ -197,24 +198,23 @@ def _gather(base, cells, brackets) -> None:
     spans: dict[tuple, list[_Bracket]] = {}
     for b in brackets:
         spans.setdefault((b.column, b.low, b.high), []).append(b)
-    hits = [F.when(group[0].holds(cells[key[0]]),
-                   F.struct(F.lit(i).alias("span"), cells[key[0]].alias("value")))
-            for i, (key, group) in enumerate(spans.items())]
+    tests = [(group[0].holds(cells[column]), cells[column])
+             for (column, _, _), group in spans.items()]
+    inside = base.where(reduce(Column.__or__, [test for test, _ in tests]))
+    hits = [F.when(test, F.struct(F.lit(i).alias("span"), value.alias("value")))
+            for i, (test, value) in enumerate(tests)]
     counted = (
-        base.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
-        .groupBy("hit.span", "hit.value").count()
+        inside.select(F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+        .groupBy("hit.span", "hit.value").count().toArrow()
     )
-    rows = sorted((r["span"], r["value"], r["count"]) for r in counted.collect())
-    groups = list(spans.values())
-    for span, members in groupby(rows, key=lambda r: r[0]):
-        members = list(members)
-        for b in groups[span]:
-            end = b.below
-            for _, value, count in members:
-                for rank in b.ranks:
-                    if end <= rank < end + count:
-                        b.found[rank] = value
-                end += count
+    span, value, count = (counted.column(i).to_numpy() for i in range(3))
+    order = np.lexsort((value, span))
+    for i, group in enumerate(spans.values()):
+        mine = order[span[order] == i]
+        ends = np.cumsum(count[mine])
+        for b in group:
+            places = np.searchsorted(ends, np.array(b.ranks) - b.below, side="right")
+            b.found = {r: float(value[mine[p]]) for r, p in zip(b.ranks, places)}
 
 
 # ---------------------------------------------------------------- value counts
