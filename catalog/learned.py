@@ -47,7 +47,7 @@ def interaction(t):
 
 
 def quartile_case(column, table, names):
-    first, *rest = names
+
     edge = "(SELECT quantile_cont({c}, {p}) FROM {t})"
     parts = " ".join(
         f"WHEN {column} <= {edge.format(c=column, p=(i + 1) / len(names), t=table)} THEN {n}"

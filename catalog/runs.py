@@ -3,7 +3,6 @@
 import io
 from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.feather as feather
 from pyspark.ml.classification import LogisticRegression

@@ -185,3 +185,33 @@ def test_sort_puts_missing_last_both_ways(spark):
     df = visits(spark)
     assert [r["day"] for r in sort_rows(df, ["day"]).collect()][-1] is None
     assert [r["day"] for r in sort_rows(df, ["day"], False).collect()] == [5, 4, 3, 2, 1, None]
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_merges_on_one_key_shuffle_the_base_once(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.createDataFrame([(" 1 ", 1)], "k string, v int")
+        news = [spark.createDataFrame([(1.0, i)], f"k double, w{i} int") for i in range(3)]
+        out = base
+        for new in news:
+            out = merge(out, new, ["k"])
+        # Each incoming table: once for the collapse, once for the join.
+        assert exchanges(out) == 1 + 2 * 3
+        assert out.collect() == [("1", 1, 0, 1, 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_number_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "n.parquet")
+    spark.createDataFrame([(1, 5, 2.0, "x")], "k int, o int, d double, unused string").write.parquet(path)
+    base = spark.createDataFrame([(1,)], "k int")
+    out = merge(base, spark.read.parquet(path), ["k"], filters={"o": "5", "d": 2}).select("k", "o")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o,5)" in plan and "EqualTo(d,2.0)" in plan
+    assert out.collect() == [("1", "5")]

@@ -5,7 +5,6 @@ import os
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from tidyforge.operators.dedupe import deduplicate
 from tidyforge.sources.decode import decode_content, decode_files

@@ -22,7 +22,8 @@ def canonical_key(value: Column, data_type: T.DataType, scrubber=scrub) -> Colum
     text = as_text(value, data_type)
     if scrubber is not None and isinstance(data_type, (T.StringType, T.BinaryType)):
         text = scrubber(text)
-    return F.regexp_replace(text, r"\.0$", "")
+    whole = text.substr(F.lit(1), F.length(text) - 2)
+    return F.when(text.endswith(".0"), whole).otherwise(text)
 
 
 def equals_value(value: Column, data_type: T.DataType, wanted: object,

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import FLOATING, INTEGRAL
 from tidyforge.functions.nulls import nan_as_null
+from tidyforge.functions.text import strip
 
 # The shape of a decimal literal.  The JVM would also take `5d` or `0x1p3`.
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -31,7 +32,7 @@ def to_number(value: Column, data_type: T.DataType) -> Column:
         return value
     if isinstance(data_type, T.BooleanType):
         return value.cast("int")
-    text = F.trim(F.regexp_replace(value.cast("string"), r"(?U)^\s+|\s+$", ""))
+    text = strip(value.cast("string"))
     return F.when(text.rlike(NUMBER) | text.rlike(INFINITY), text.try_cast("double"))
 
 

@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import FLOATING
 
-# Unicode white space plus the four separators U+001C..U+001F.
-WHITE = r"[\s\x1c-\x1f]"
+# The code points Python's `str.isspace` accepts.
+SPACES = (r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
+WHITE = f"[{SPACES}]"
+# White space that is more than one single U+0020, so that ordinary text has no match.
+UNEVEN_WHITE = f"[{SPACES}&&[^ ]]{WHITE}*| {WHITE}+"
 # The ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 # Words that stand for a missing cell, compared in lower case.
@@ -61,7 +64,7 @@ def as_text(value: Column, data_type: T.DataType) -> Column:
 
 def strip(value: Column) -> Column:
     """Trim Unicode white space on both ends (built-in trim knows only U+0020)."""
-    return F.regexp_replace(value, f"(?U)^{WHITE}+|{WHITE}+$", "")
+    return F.regexp_replace(value, f"^{WHITE}+|{WHITE}+$", "")
 
 
 def remove_punctuation(value: Column) -> Column:
@@ -81,7 +84,7 @@ def scrub(value: Column) -> Column:
     first leaves only U+0020, so one regex pass over the text is enough; the content
     of an unwrapped literal is deliberately not trimmed again.
     """
-    flat = F.trim(F.regexp_replace(value, f"(?U){WHITE}+", " "))
+    flat = F.trim(F.regexp_replace(value, UNEVEN_WHITE, " "))
     wrapped = (flat.startswith("b'") & flat.endswith("'")) | (
         flat.startswith('b"') & flat.endswith('"'))
     inner = F.when(wrapped, flat.substr(F.lit(3), F.length(flat) - 3)).otherwise(flat)

@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyforge.functions.names import (numeric_columns, present, ref, replace_columns,
                                        text_columns)
 from tidyforge.functions.numbers import number_type, round_half_even, spark_type, to_number
 from tidyforge.functions.text import apply_string_options, map_by_regex
+from tidyforge.operators.stats import counts
 from tidyforge.operators.udf import apply_custom_function, row_function
 
 # Options used when none are given.
@@ -53,12 +53,12 @@ def castable_columns(df: DataFrame, columns: list[str], dtype: str,
     columns = present(df, columns)
     if not columns:
         return []
-    checks = []
+    checks = {}
     for i, c in enumerate(columns):
         value = to_number(ref(c), df.schema[c].dataType) if numbers_first else ref(c)
         lost = value.isNotNull() & value.try_cast(spark_type(dtype)).isNull()
-        checks.append(F.count_if(lost).alias(f"lost_{i}"))
-    row = df.agg(*checks).first()
+        checks[f"lost_{i}"] = lost
+    row = counts(df, checks).first()
     return [c for i, c in enumerate(columns) if row[f"lost_{i}"] == 0]
 
 

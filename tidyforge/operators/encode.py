@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import missing_free, present, ref
 from tidyforge.functions.text import as_text
-from tidyforge.operators.stats import categories
+from tidyforge.operators.stats import categories, in_merge_groups
 
 MAX_CATEGORIES = 2000
 
@@ -89,8 +89,11 @@ def one_hot_sparse(df: DataFrame, columns: list[str], drop_first: bool = True,
     are 1.  Only the smallest category per column has to be known, to drop it.
     """
     columns = present(df, columns)
-    smallest = df.agg(*[F.min(missing_free(df, c)).alias(f"m{i}")
-                        for i, c in enumerate(columns)]).first() if columns and drop_first else None
+    smallest = None
+    if columns and drop_first:
+        parts = [F.min(missing_free(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]
+        smallest = in_merge_groups(df, parts).agg(
+            *[F.min(f"m{i}").alias(f"m{i}") for i in range(len(columns))]).first()
     active = []
     for i, c in enumerate(columns):
         cell = missing_free(df, c)

@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyforge.functions.names import INTEGRAL, missing_free, present, ref, replace_columns
+from tidyforge.functions.names import INTEGRAL, missing_free, present, replace_columns
 from tidyforge.functions.nulls import missing
-from tidyforge.operators.stats import column_stats, exact_quantiles, modes
+from tidyforge.operators.stats import column_stats, counts, exact_quantiles, modes
 
 METHODS = ("mean", "median", "mode", "constant")
 
 
 def missing_percent(df: DataFrame, columns: list[str] | None = None) -> dict[str, float]:
     """Missing cells per column in percent, all columns in one pass."""
-    stats = column_stats(df, df.columns if columns is None else columns, missing_only=True)
+    stats = column_stats(df, [], missing_only=df.columns if columns is None else columns)
     return {c: 100.0 * s["missing"] / s["n"] for c, s in stats.items() if s["n"]}
 
 
@@ -27,8 +27,10 @@ def missingness_report(df: DataFrame) -> DataFrame:
 
     One aggregate over the table; the unpivot works on its single row.
     """
-    wide = df.agg(*[(F.lit(100.0) * F.avg(missing(df, c).cast("int"))).alias(f"m{i}")
-                    for i, c in enumerate(df.columns)])
+    found = counts(df, {"n": F.lit(True)} | {f"m{i}": missing(df, c)
+                                             for i, c in enumerate(df.columns)})
+    wide = found.select(*[(F.lit(100.0) * F.col(f"m{i}") / F.nullif(F.col("n"), F.lit(0))).alias(f"m{i}")
+                          for i in range(len(df.columns))])
     names = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns) for x in (f"m{i}", c)])
     return (
         wide.unpivot([], wide.columns, "slot", "missing_pct")
@@ -55,45 +57,56 @@ class Strategy:
             raise ValueError(f"unsupported imputation method: {self.method!r}")
 
 
-def fit_fill_values(df: DataFrame, strategies: list[Strategy]) -> dict[str, tuple[object, str]]:
-    """Fill value and method per column for a sequence of strategies.
-
-    A later strategy finds no missing cells in a column an earlier one filled, so the
-    first strategy with a defined value wins.  All means share one pass, all medians
-    share theirs, and modes take one pass per data type.
-    """
-    wanted: dict[str, list[Strategy]] = {}
+def _rules_by_column(df: DataFrame, strategies: list[Strategy]) -> dict[str, list[Strategy]]:
+    """The strategies that can fill each column, in order.  A constant ends the list."""
+    rules: dict[str, list[Strategy]] = {}
     for s in strategies:
         for c in present(df, df.columns if s.columns is None else s.columns):
+            mine = rules.setdefault(c, [])
             if s.method in ("mean", "median") and not _is_plain_number(df, c):
                 continue
             if s.method == "constant" and s.constant_val is None:
                 continue
-            wanted.setdefault(c, []).append(s)
+            if not mine or mine[-1].method != "constant":
+                mine.append(s)
+    return rules
+
+
+def _sparse(stats: dict[str, dict], threshold: float | None) -> list[str]:
+    if threshold is None:
+        return []
+    return [c for c, s in stats.items() if s["n"] and 100.0 * s["missing"] / s["n"] > threshold]
+
+
+def fit_imputation(df: DataFrame, drop_threshold: float | None,
+                   strategies: list[Strategy]) -> "FillPlan":
+    """Learn the sparse columns and the fill values of a sequence of strategies.
+
+    A later strategy finds no missing cells in a column an earlier one filled, so the
+    first strategy with a defined value wins.  Missing counts and means share one pass,
+    all medians share theirs, and modes take one pass per data type.
+    """
+    rules = _rules_by_column(df, strategies)
 
     def asked(method):
-        # A constant always has a value, so rules behind it are never reached.
-        found = []
-        for c, rules in wanted.items():
-            for rule in rules:
-                if rule.method == method:
-                    found.append(c)
-                if rule.method == "constant":
-                    break
-        return list(dict.fromkeys(found))
-
-    means = {c: s["mean"] for c, s in column_stats(df, asked("mean")).items()}
-    medians = {c: v[0] for c, v in exact_quantiles(df, {c: [0.5] for c in asked("median")}).items()}
-    frequent = modes(df, asked("mode"))
-    learned = {"mean": means, "median": medians, "mode": frequent}
+        return [c for c, mine in rules.items() if any(r.method == method for r in mine)]
+
+    stats = column_stats(df, asked("mean"), [] if drop_threshold is None else df.columns)
+    dropped = _sparse(stats, drop_threshold)
+    rules = {c: mine for c, mine in rules.items() if c not in dropped}
+    learned = {
+        "mean": {c: stats[c]["mean"] for c in asked("mean")},
+        "median": {c: v[0] for c, v in exact_quantiles(df, {c: [0.5] for c in asked("median")}).items()},
+        "mode": modes(df, asked("mode")),
+    }
     values = {}
-    for c, rules in wanted.items():
-        for rule in rules:
+    for c, mine in rules.items():
+        for rule in mine:
             value = rule.constant_val if rule.method == "constant" else learned[rule.method].get(c)
             if value is not None and value == value:
                 values[c] = (value, rule.method)
                 break
-    return values
+    return FillPlan(dropped, values)
 
 
 @dataclass
@@ -157,19 +170,6 @@ class MissingValueModel(Model):
         return self.plan.apply(dataset)
 
 
-def sparse_columns(df: DataFrame, threshold: float | None) -> list[str]:
-    """Columns whose missing percentage is strictly above the threshold."""
-    if threshold is None:
-        return []
-    return [c for c, pct in missing_percent(df).items() if pct > threshold]
-
-
-def fit_imputation(df: DataFrame, drop_threshold: float | None,
-                   strategies: list[Strategy]) -> FillPlan:
-    dropped = sparse_columns(df, drop_threshold)
-    return FillPlan(dropped, fit_fill_values(df.drop(*dropped), strategies))
-
-
 def impute_missing(df: DataFrame, drop_threshold: float | None = 50.0,
                    strategies: list[dict] | None = None) -> DataFrame:
     """Drop sparse columns, then fill by a sequence of strategies.

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidyforge.functions.keys import canonical_key, equals_value
 from tidyforge.functions.names import INTEGRAL, quoted, ref, replace_columns
@@ -14,14 +13,21 @@ from tidyforge.functions.text import as_text, scrub
 from tidyforge.operators.dedupe import first_per_key, ordering
 
 HOW = ("left", "inner", "right", "outer")
+CANONICAL = "canonical_key"
 COLLISIONS = ("keep_base", "keep_new", "keep_both", "suffix")
 
 
 def harmonize_keys(df: DataFrame, keys: list[str],
                    scrubber: Callable[[Column], Column] | None = scrub) -> DataFrame:
-    """Replace the key columns by their canonical text."""
-    return replace_columns(
-        df, {k: canonical_key(ref(k), df.schema[k].dataType, scrubber) for k in keys})
+    """Replace the key columns by their canonical text.
+
+    A key that was made canonical by an earlier merge is marked so and left alone: a
+    chain of merges on one key then keeps its partitioning and shuffles the base once.
+    """
+    todo = [k for k in keys if not df.schema[k].metadata.get(CANONICAL)]
+    return replace_columns(df, {
+        k: canonical_key(ref(k), df.schema[k].dataType, scrubber).alias(k, metadata={CANONICAL: True})
+        for k in todo})
 
 
 def filter_equal(df: DataFrame, filters: dict[str, object] | None,
@@ -49,13 +55,14 @@ def merge(base: DataFrame, new: DataFrame, on: list[str], how: str = "left",
           filters: dict[str, object] | None = None, collapse_duplicates: bool = True,
           key_scrubber: Callable[[Column], Column] | None = scrub,
           collision: str = "keep_base", order_by: list[str] | None = None,
-          null_keys: str = "match", on_missing_key: str = "raise",
+          null_keys: str = "match", on_missing_key: str = "raise", text_keys: bool = True,
           clean_filter: Callable[[Column], Column] = lambda text: text) -> DataFrame:
     """Equi-join ``new`` onto ``base``: harmonise keys, filter, collapse, join.
 
     Missing keys match missing keys unless ``null_keys="never"``.  ``collision`` says
     what happens to other columns both sides have: keep one side's, keep both as
-    ``_base``/``_new``, or keep both as ``_x``/``_y`` ("suffix").
+    ``_base``/``_new``, or keep both as ``_x``/``_y`` ("suffix").  Whole-number keys of
+    both sides are joined as such and become text afterwards, unless ``text_keys`` is off.
     """
     on = [on] if isinstance(on, str) else list(on)
     if not on:
@@ -78,9 +85,12 @@ def merge(base: DataFrame, new: DataFrame, on: list[str], how: str = "left",
     if collapse_duplicates:
         new = collapse(new, on, order_by)
     joined = _join(base, new, on, how, collision, null_keys)
-    if same_whole:
-        joined = replace_columns(joined, {k: ref(k).cast("string") for k in on})
-    return joined
+    return keys_as_text(joined, on) if same_whole and text_keys else joined
+
+
+def keys_as_text(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Whole-number keys as canonical text."""
+    return harmonize_keys(df, [k for k in keys if isinstance(df.schema[k].dataType, INTEGRAL)])
 
 
 def _output_names(base: DataFrame, new: DataFrame, on: list[str],

@@ -31,27 +31,60 @@ MERGE_GROUPS = 64
 
 # ---------------------------------------------------------------- one-pass statistics
 
-def column_stats(df: DataFrame, columns: list[str], missing_only: bool = False) -> dict[str, dict]:
-    """Row count, missing count, mean, population deviation, min and max in one pass."""
-    if not columns:
-        return {}
+def in_merge_groups(df: DataFrame, parts: list[Column]) -> DataFrame:
+    """At most ``MERGE_GROUPS`` partial results of whole-table aggregates.
+
+    Without grouping, one task would receive a partial result of every input task, for
+    every column.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
+    return df.groupBy(group).agg(*parts)
+
+
+def counts(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """One row with the number of rows each test is true for."""
+    partial = in_merge_groups(df, [F.count_if(test).alias(name) for name, test in tests.items()])
+    return partial.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in tests])
+
+
+def column_stats(df: DataFrame, columns: list[str],
+                 missing_only: list[str] = ()) -> dict[str, dict]:
+    """Row count, missing count, mean, population deviation, min and max in one pass.
+
+    For the ``missing_only`` columns just the first two are found.
+    """
     parts = [F.count(F.lit(1)).alias("n")]
-    for i, name in enumerate(columns):
+    every = list(dict.fromkeys([*columns, *missing_only]))
+    if not every:
+        return {}
+    for i, name in enumerate(every):
         parts.append(F.count_if(missing(df, name)).alias(f"missing_{i}"))
-        if not missing_only:
+        if name in columns:
             value = double_or_null(ref(name), df.schema[name].dataType)
-            parts += [F.avg(value).alias(f"mean_{i}"), F.stddev_pop(value).alias(f"std_{i}"),
+            parts += [F.avg(value).alias(f"mean_{i}"), F.var_pop(value).alias(f"var_{i}"),
                       F.min(value).alias(f"min_{i}"), F.max(value).alias(f"max_{i}")]
-    row = df.agg(*parts).first()
-    found = {}
-    for i, name in enumerate(columns):
-        stats = {"n": row["n"], "missing": row[f"missing_{i}"]}
-        if not missing_only:
-            stats |= {k: row[f"{k}_{i}"] for k in ("mean", "std", "min", "max")}
-        found[name] = stats
+    groups = in_merge_groups(df, parts).collect()
+    rows, found = sum(g["n"] for g in groups), {}
+    for i, name in enumerate(every):
+        found[name] = {"n": rows, "missing": sum(g[f"missing_{i}"] for g in groups)}
+        if name in columns:
+            found[name] |= _combine([
+                (g["n"] - g[f"missing_{i}"], g[f"mean_{i}"], g[f"var_{i}"], g[f"min_{i}"], g[f"max_{i}"])
+                for g in groups if g[f"mean_{i}"] is not None])
     return found
 
 
+def _combine(parts: list[tuple]) -> dict:
+    """Statistics of the whole from (count, mean, variance, min, max) of its parts."""
+    if not parts:
+        return dict.fromkeys(("mean", "std", "min", "max"))
+    total = sum(n for n, *_ in parts)
+    mean = math.fsum(n * m for n, m, *_ in parts) / total
+    spread = math.fsum(n * (v + (m - mean) ** 2) for n, m, v, *_ in parts) / total
+    return {"mean": mean, "std": math.sqrt(spread),
+            "min": min(p[3] for p in parts), "max": max(p[4] for p in parts)}
+
+
 # ---------------------------------------------------------------- exact quantiles
 
 @dataclass
@@ -144,8 +177,7 @@ def _measure(base, cells, brackets, shares) -> list[tuple[int, list[tuple[float,
         ranks = [min(max(s + d, 0.0), 1.0) for s in wanted for d in (-MARGIN, MARGIN)]
         guess = F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, ranks)))
         out += [F.col(f"n{i}"), F.when(F.col(f"n{i}") > 0, guess).alias(f"g{i}")]
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("merge_group")
-    row = base.groupBy(group).agg(*sketches).agg(*merged).select(*out).first()
+    row = in_merge_groups(base, sketches).agg(*merged).select(*out).first()
     result = []
     for i, wanted in enumerate(shares):
         found = row[f"g{i}"] or [None] * (2 * len(wanted))
@@ -162,13 +194,13 @@ def _narrow(base, cells, brackets, done) -> list[_Bracket]:
             b.guess = guesses[0]
         return brackets
 
-    counts, names = [], ("under_low", "at_low", "under_high", "at_high")
+    tests, names = {}, ("under_low", "at_low", "under_high", "at_high")
     for i, b in enumerate(brackets):
         value, (low, high) = cells[b.column], b.guess
         for name, test in zip(names, (value < F.lit(low), value <= F.lit(low),
                                       value < F.lit(high), value <= F.lit(high))):
-            counts.append(F.count_if(b.holds(value) & test).alias(f"{name}_{i}"))
-    row = base.agg(*counts).first()
+            tests[f"{name}_{i}"] = b.holds(value) & test
+    row = counts(base, tests).first()
 
     left = []
     for i, b in enumerate(brackets):
@@ -245,8 +277,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> list[DataFrame]:
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     """Most frequent value per column; the smallest one on a tie; absent if all missing."""
     found = {}
-    for counts in value_counts(df, columns):
-        best = counts.groupBy("column").agg(
+    for counted in value_counts(df, columns):
+        best = counted.groupBy("column").agg(
             F.min(F.struct((-F.col("rows")).alias("order"), F.col("value"))).alias("best"))
         found |= {r["column"]: r["best"]["value"] for r in best.collect()}
     return found
@@ -260,11 +292,13 @@ def categories(df: DataFrame, columns: list[str], most: int) -> dict[str, dict[o
     found: dict[str, dict[object, int]] = {c: {} for c in columns}
     if not columns:
         return found
-    sketch = df.agg(*[F.approx_count_distinct(ref(c)).alias(f"d{i}")
-                      for i, c in enumerate(columns)]).first()
-    _refuse_wide({c: sketch[f"d{i}"] for i, c in enumerate(columns)}, most * 1.2, most)
-    for counts in value_counts(df, columns):
-        for r in counts.collect():
+    sketches = in_merge_groups(df, [
+        F.hll_sketch_agg(ref(c).cast("string"), F.lit(11)).alias(f"d{i}") for i, c in enumerate(columns)])
+    about = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}")
+                           for i in range(len(columns))]).first()
+    _refuse_wide({c: about[f"d{i}"] or 0 for i, c in enumerate(columns)}, most * 1.2, most)
+    for counted in value_counts(df, columns):
+        for r in counted.collect():
             found[r["column"]][r["value"]] = r["rows"]
     _refuse_wide({c: len(v) for c, v in found.items()}, most, most)
     return {c: dict(sorted(v.items())) for c, v in found.items()}

@@ -13,7 +13,7 @@ from tidyforge.operators.dedupe import deduplicate
 from tidyforge.operators.features import FeatureEngineer
 from tidyforge.operators.format import ENCODE_EXCLUSIONS, SCALE_EXCLUSIONS, ModelFormatter
 from tidyforge.operators.impute import Strategy, fit_imputation
-from tidyforge.operators.merge import merge
+from tidyforge.operators.merge import keys_as_text, merge
 from tidyforge.operators.units import normalize_units
 from tidyforge.plans.report import StageReport
 from tidyforge.session import apply_settings, materialize
@@ -90,11 +90,17 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
         df = merger(df, renamed, on=config["on"], how=config.get("how", "left"),
                     filters=config.get("filters"), collapse_duplicates=collapse,
                     collision=config.get("collision", "keep_base"), order_by=order,
-                    clean_filter=label_cleaner(options)).drop("__new_order")
+                    clean_filter=label_cleaner(options), text_keys=False).drop("__new_order")
         # A left merge with collapse keeps the row count, so there is nothing to count.
         if report and not (collapse and config.get("how", "left") == "left"):
             report.watch(df, f"merge {number}")
-    return df
+    return keys_as_text(df, present(df, merge_keys(merge_configs)))
+
+
+def merge_keys(merge_configs: list[dict] | None) -> list[str]:
+    """All key names of the merge rules, each once."""
+    listed = [[c["on"]] if isinstance(c["on"], str) else c["on"] for c in merge_configs or []]
+    return list(dict.fromkeys(k for keys in listed for k in keys))
 
 
 def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file: str | None = None,
@@ -143,7 +149,7 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
     if feature_steps:
         df = FeatureEngineer(feature_steps).fit(df).transform(df)
 
-    keys = [k for c in merge_configs or [] for k in ([c["on"]] if isinstance(c["on"], str) else c["on"])]
+    keys = merge_keys(merge_configs)
     formatter = ModelFormatter(
         encode_categorical, exclude_encode_prefixes, scale_method, exclude_scale_cols,
         default_scale_exclusions, keys=present(df, [*keys, *(dedupe_subset or [])]),

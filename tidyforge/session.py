@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on.  Skew splitting is forced so that a hot
-# join key is split even where that costs one more exchange.
+# join key is split even where that costs one more exchange.  Batches sent to Python
+# are bounded in bytes, since a record may be a whole file or page.
 RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidyforge.functions.names import quoted, ref, replace_columns
 from tidyforge.functions.nulls import NA_TOKENS, nan_to_null, token_as_null
 from tidyforge.functions.numbers import INFINITY, NUMBER
+from tidyforge.operators.stats import counts
 from tidyforge.sources.decode import DECODERS, decode_files
 
 log = logging.getLogger(__name__)
@@ -37,17 +38,15 @@ def infer_types(df: DataFrame, na_tokens: list[str]) -> DataFrame:
     One aggregate counts, per column, the cells each type can take.
     """
     cells = {c: token_as_null(ref(c), na_tokens) for c in df.columns}
-    counts = []
+    tests = {}
     for i, c in enumerate(df.columns):
         cell, text = cells[c], F.trim(cells[c])
         whole = text.rlike(WHOLE_NUMBER) & text.try_cast("bigint").isNotNull()
-        counts += [
-            F.count(cell).alias(f"all_{i}"),
-            F.count_if(whole).alias(f"bigint_{i}"),
-            F.count_if(text.rlike(NUMBER) | text.rlike(INFINITY)).alias(f"double_{i}"),
-            F.count_if(cell.isin(TRUE_WORDS + FALSE_WORDS)).alias(f"boolean_{i}"),
-        ]
-    row = df.agg(*counts).first()
+        tests[f"all_{i}"] = cell.isNotNull()
+        tests[f"bigint_{i}"] = whole
+        tests[f"double_{i}"] = text.rlike(NUMBER) | text.rlike(INFINITY)
+        tests[f"boolean_{i}"] = cell.isin(TRUE_WORDS + FALSE_WORDS)
+    row = counts(df, tests).first()
     typed = {}
     for i, c in enumerate(df.columns):
         filled = row[f"all_{i}"]
