@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.keys import canonical_key, equals_value
 from tidyforge.functions.numbers import round_half_even, to_number
-from tidyforge.functions.text import apply_string_options, as_text, map_by_regex, scrub, strip
+from tidyforge.functions.text import apply_string_options, as_text, scrub, strip
 from tidyforge.operators.clean import (TableCleaner, castable_columns, clean_numeric, clean_text,
                                        map_categories_regex)
 
@@ -80,12 +80,21 @@ def test_filter_value_by_type(spark):
     assert not one(spark, 5, lambda c: equals_value(c, T.LongType(), "five"), "bigint")
 
 
-def test_regex_mapping_is_gated_on_the_original(spark):
-    mapping = {"a": "b", "b": "c"}
-    assert one(spark, "a", lambda c: map_by_regex(c, mapping)) == "b"
-    assert one(spark, "ab", lambda c: map_by_regex(c, mapping)) == "cc"
-    assert one(spark, "x1y", lambda c: map_by_regex(c, {r"x(\d)y": r"<\1>$"})) == "<1>$"
-    assert one(spark, None, lambda c: map_by_regex(c, {"a": "b"})) is None
+@pytest.mark.parametrize("cell,mapping,want", [
+    ("a", {"a": "b", "b": "c"}, "b"), ("ab", {"a": "b", "b": "c"}, "cc"),
+    ("x1y", {r"x(\d)y": r"<\1>$"}, "<1>$"), (None, {"a": "b"}, None), ("ab", {"a": 5}, "5")])
+def test_regex_mapping_is_gated_on_the_original(spark, cell, mapping, want):
+    df = spark.createDataFrame([(cell,)], "v string")
+    assert map_categories_regex(df, "v", mapping).first()[0] == want
+    if cell and want != "5":
+        import pandas as pd
+        assert pd.Series([cell]).replace(mapping, regex=True)[0] == want
+
+
+def test_many_patterns_stay_small(spark):
+    df = spark.createDataFrame([("k17x",)], "v string")
+    mapping = {f"k{i}x": f"g{i}" for i in range(40)}
+    assert map_categories_regex(df, "v", mapping, "none", "w").first()["w"] == "g17"
 
 
 def test_regex_mapping_targets(spark, rows):

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyforge.functions.names import INTEGRAL
+from tidyforge.functions.names import FLOATING, INTEGRAL
 from tidyforge.functions.text import as_text, scrub
 
 
@@ -22,8 +22,11 @@ def canonical_key(value: Column, data_type: T.DataType, scrubber=scrub) -> Colum
     text = as_text(value, data_type)
     if scrubber is not None and isinstance(data_type, (T.StringType, T.BinaryType)):
         text = scrubber(text)
-    whole = text.substr(F.lit(1), F.length(text) - 2)
-    return F.when(text.endswith(".0"), whole).otherwise(text)
+    text = F.regexp_replace(text, r"\.0$", "")
+    if not isinstance(data_type, FLOATING):
+        return text
+    whole = value.cast("bigint").cast("string")
+    return F.when((F.abs(value) < 1e16) & (value == F.floor(value)), whole).otherwise(text)
 
 
 def equals_value(value: Column, data_type: T.DataType, wanted: object,

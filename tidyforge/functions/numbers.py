@@ -10,9 +10,8 @@ from tidyforge.functions.names import FLOATING, INTEGRAL
 from tidyforge.functions.nulls import nan_as_null
 from tidyforge.functions.text import strip
 
-# The shape of a decimal literal.  The JVM would also take `5d` or `0x1p3`.
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY = r"(?i)^[+-]?inf(inity)?$"
+# The shape of a number.  The JVM would also take `5d` or `0x1p3`.
+NUMBER = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))$"
 
 # Dtype names of the pandas family and their Spark types.
 DTYPES = {
@@ -32,8 +31,7 @@ def to_number(value: Column, data_type: T.DataType) -> Column:
         return value
     if isinstance(data_type, T.BooleanType):
         return value.cast("int")
-    text = strip(value.cast("string"))
-    return F.when(text.rlike(NUMBER) | text.rlike(INFINITY), text.try_cast("double"))
+    return F.regexp_substr(strip(value.cast("string")), F.lit(NUMBER)).try_cast("double")
 
 
 def number_type(data_type: T.DataType) -> T.DataType:

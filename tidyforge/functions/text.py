@@ -10,15 +10,16 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import FLOATING
 
-# The code points Python's `str.isspace` accepts.
-SPACES = (r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000")
-WHITE = f"[{SPACES}]"
-# White space that is more than one single U+0020, so that ordinary text has no match.
-UNEVEN_WHITE = f"[{SPACES}&&[^ ]]{WHITE}*| {WHITE}+"
+# Unicode white space plus the separators U+001C..U+001F, for (?U) patterns.
+WHITE = r"[\s\x1c-\x1f]"
+# White space other than one single U+0020, so that ordinary text has no match.
+UNEVEN_WHITE = f"(?U){WHITE}(?:(?<! )|{WHITE}){WHITE}*"
 # The ASCII punctuation characters.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-# Words that stand for a missing cell, compared in lower case.
-PHANTOM_NULLS = ["nan", "none", "null", "nat", ""]
+# Words that stand for a missing cell, in any case.
+PHANTOM_NULLS = "(?i)^(nan|none|null|nat)$"
+# The text form of a byte literal; a lone opening counts as an empty one.
+BYTE_LITERAL = """^b(?:'(?:(.*)')?|"(?:(.*)")?)$"""
 
 
 def bytes_to_text(value: Column) -> Column:
@@ -64,7 +65,7 @@ def as_text(value: Column, data_type: T.DataType) -> Column:
 
 def strip(value: Column) -> Column:
     """Trim Unicode white space on both ends (built-in trim knows only U+0020)."""
-    return F.regexp_replace(value, f"^{WHITE}+|{WHITE}+$", "")
+    return F.regexp_replace(value, f"(?U)^{WHITE}+|{WHITE}+$", "")
 
 
 def remove_punctuation(value: Column) -> Column:
@@ -81,14 +82,13 @@ def scrub(value: Column) -> Column:
 
     White-space runs become one space, ends are trimmed, the text form of a byte
     literal is unwrapped, and words that mean "missing" become NULL.  Collapsing
-    first leaves only U+0020, so one regex pass over the text is enough; the content
-    of an unwrapped literal is deliberately not trimmed again.
+    first leaves only U+0020; the content of an unwrapped literal is deliberately not
+    trimmed again.  Each step refers to the one before once, so nothing is evaluated
+    twice.
     """
     flat = F.trim(F.regexp_replace(value, UNEVEN_WHITE, " "))
-    wrapped = (flat.startswith("b'") & flat.endswith("'")) | (
-        flat.startswith('b"') & flat.endswith('"'))
-    inner = F.when(wrapped, flat.substr(F.lit(3), F.length(flat) - 3)).otherwise(flat)
-    return F.when(~F.lower(inner).isin(PHANTOM_NULLS), inner)
+    inner = F.regexp_replace(flat, BYTE_LITERAL, "$1$2")
+    return F.nullif(F.regexp_replace(inner, PHANTOM_NULLS, ""), F.lit(""))
 
 
 def remove_pattern(value: Column, pattern: str) -> Column:
@@ -130,26 +130,6 @@ def java_replacement(template: str) -> str:
     return re.sub(r"\\(\d)", r"$\1", java)
 
 
-def map_by_regex(value: Column, mapping: dict[str, object], default: object = None) -> Column:
-    """Substitute by a list of patterns; each is gated on the original text.
-
-    With ``default`` set, cells that match no pattern become the default.
-    """
-    result = value
-    hit = F.lit(False)
-    for pattern, target in mapping.items():
-        found = value.rlike(pattern)
-        if isinstance(target, str):
-            new = F.regexp_replace(result, pattern, java_replacement(target))
-        else:
-            new = F.lit(target).cast("string")
-        result = F.when(found, new).otherwise(result)
-        hit = hit | found
-    if default is None:
-        return result
-    return F.when(F.coalesce(hit, F.lit(False)), result).otherwise(F.lit(str(default)))
-
-
 def flag_matching(value: Column, pattern: str) -> Column:
     """1 where the text matches the pattern, else 0; missing text gives 0."""
     return F.when(value.rlike(pattern), 1).otherwise(0)

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyforge.functions.names import (numeric_columns, present, ref, replace_columns,
                                        text_columns)
 from tidyforge.functions.numbers import number_type, round_half_even, spark_type, to_number
-from tidyforge.functions.text import apply_string_options, map_by_regex
+from tidyforge.functions.text import apply_string_options, java_replacement
 from tidyforge.operators.stats import counts
 from tidyforge.operators.udf import apply_custom_function, row_function
 
@@ -41,10 +42,21 @@ def map_categories_regex(df: DataFrame, column: str, regex_mapping: dict,
     """
     if column not in df.columns:
         raise ValueError(f"column {column!r} not found")
-    in_place = not new_column_name or new_column_name == column
-    default = None if in_place else default_val
-    return replace_columns(df, {new_column_name or column:
-                                map_by_regex(ref(column), regex_mapping, default)})
+    target = new_column_name or column
+    # Each pattern is gated on the original text and works on the result so far.  One
+    # projection per pattern: nested in one expression the size would double each time.
+    original, hit = ref("__original"), F.lit(False)
+    df = replace_columns(df, {"__original": ref(column), target: ref(column)})
+    for pattern, value in regex_mapping.items():
+        if isinstance(value, str):
+            new = F.regexp_replace(ref(target), pattern, java_replacement(value))
+        else:
+            new = F.lit(value).cast("string")
+        df = replace_columns(df, {target: F.when(original.rlike(pattern), new).otherwise(ref(target))})
+        hit = hit | F.coalesce(original.rlike(pattern), F.lit(False))
+    if target != column and default_val is not None:
+        df = replace_columns(df, {target: F.when(hit, ref(target)).otherwise(F.lit(str(default_val)))})
+    return df.drop("__original")
 
 
 def castable_columns(df: DataFrame, columns: list[str], dtype: str,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidyforge.functions.names import quoted, ref, replace_columns
 from tidyforge.functions.nulls import NA_TOKENS, nan_to_null, token_as_null
-from tidyforge.functions.numbers import INFINITY, NUMBER
+from tidyforge.functions.numbers import NUMBER
 from tidyforge.operators.stats import counts
 from tidyforge.sources.decode import DECODERS, decode_files
 
@@ -44,7 +44,7 @@ def infer_types(df: DataFrame, na_tokens: list[str]) -> DataFrame:
         whole = text.rlike(WHOLE_NUMBER) & text.try_cast("bigint").isNotNull()
         tests[f"all_{i}"] = cell.isNotNull()
         tests[f"bigint_{i}"] = whole
-        tests[f"double_{i}"] = text.rlike(NUMBER) | text.rlike(INFINITY)
+        tests[f"double_{i}"] = text.rlike(NUMBER)
         tests[f"boolean_{i}"] = cell.isin(TRUE_WORDS + FALSE_WORDS)
     row = counts(df, tests).first()
     typed = {}
