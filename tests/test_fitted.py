@@ -221,6 +221,7 @@ def test_scaling_keeps_missing_and_rejects_unknown(spark):
     df = spark.createDataFrame([(1,), (None,), (3,)], "v int")
     assert sorted(r[0] for r in scale_numeric(df, ["v"]).dropna().collect()) == [-1.0, 1.0]
     assert scale_numeric(df, ["v"]).where("v is null").count() == 1
+    assert scale_numeric(df, ["v"], "other") is df
     with pytest.raises(ValueError):
         NumericScaler(["v"], "other")
 

@@ -131,6 +131,26 @@ def test_folds_are_stratified_and_stable(spark):
         sorted(map(tuple, again.select("id", FOLD).collect()))
 
 
+def test_large_labels_and_copies_are_dealt_out(spark, monkeypatch):
+    from tidyforge.operators import tune
+    monkeypatch.setattr(tune, "ROWS_PER_FOLD_GROUP", 40)
+    copies = materialize(points(spark).withColumn("id", F.when(F.col("id") < 100, 0).otherwise(F.col("id"))))
+    folds = assign_folds(copies, "y", ["id"], 5)
+    sizes = [r["count"] for r in folds.groupBy(FOLD).count().collect()]
+    assert sum(sizes) == 300 and min(sizes) > 50
+    assert folds.columns == [*copies.columns, FOLD]
+
+
+def test_chain_of_outer_merges(spark):
+    from tidyforge.plans.prepare import merge_datasets
+    base = spark.createDataFrame([(1, "a")], "k int, v string")
+    rules = [{"file": spark.createDataFrame([(i, i), (1, i)], f"k int, w{i} int"), "on": "k",
+              "how": "outer"} for i in (2, 3, 4)]
+    out = merge_datasets(base, rules)
+    assert sorted(map(tuple, out.select("k", "w2", "w3", "w4").collect()), key=str) == [
+        ("1", 2, 3, 4), ("2", 2, None, None), ("3", None, 3, None), ("4", None, None, 4)]
+
+
 def test_grid_search_on_a_classifier(spark):
     df = points(spark)
     tuner = hyper_parameter_tuner(LogisticRegression(maxIter=20), {"regParam": [0.0, 10.0]}, df, "y",
@@ -141,6 +161,9 @@ def test_grid_search_on_a_classifier(spark):
     assert dict(scored.dtypes)["probability"] == "array<double>" and scored.count() == 300
     assert set(tuner.predict(df).columns) == {"id", "a", "b", "y", "z", "prediction"}
     assert tuner.result.results.count() == 2
+    area = hyper_parameter_tuner(LogisticRegression(), {"regParam": [0.1]}, df, "y", ["a", "b"],
+                                 cv=2, scoring="roc_auc", order_by=["id"])
+    assert area.best_score_ > 0.95
 
 
 def test_random_search_on_a_regression(spark):

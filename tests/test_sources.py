@@ -175,6 +175,12 @@ def test_html_tables(spark):
     assert out.count() == 5 and out.select("page").distinct().collect() == [(7,)]
 
 
+def test_html_files(spark, tmp_path):
+    (tmp_path / "a.html").write_text("<table><tr><td>1<td>2</table>")
+    row = load(spark, str(tmp_path / "a.html")).first()
+    assert row["page"].endswith("a.html") and row["cells"] == ["1", "2"]
+
+
 def test_csv_sink(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'a "b", c'), (2, None)], "i int, `t.x [1]` string")
     path = str(tmp_path / "out")

@@ -1,5 +1,9 @@
 """Preparation of raw tables for modelling, on Spark."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from tidyforge.operators.clean import (TableCleaner, clean_numeric, clean_strings, clean_text,
                                        drop_columns, map_categories_regex)
 from tidyforge.operators.dedupe import deduplicate, sort_rows
@@ -24,3 +28,7 @@ from tidyforge.sources.discover import auto_prepare_merges, directory_crawler, f
 from tidyforge.sources.html import extract_html_tables
 from tidyforge.sources.load import load, load_data
 from tidyforge.sources.save import save_output
+
+# Functions sent to Python workers carry their code along, so that executors need no
+# copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

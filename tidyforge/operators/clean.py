@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.ml import Estimator, Model
@@ -16,6 +17,8 @@ from tidyforge.functions.text import apply_string_options, java_replacement
 from tidyforge.operators.stats import counts
 from tidyforge.operators.udf import apply_custom_function, row_function
 
+log = logging.getLogger(__name__)
+
 # Options used when none are given.
 DEFAULT_OPTIONS = {"universal_text_scrubber": True, "lowercase": True, "strip_whitespace": True}
 
@@ -71,7 +74,10 @@ def castable_columns(df: DataFrame, columns: list[str], dtype: str,
         lost = value.isNotNull() & value.try_cast(spark_type(dtype)).isNull()
         checks[f"lost_{i}"] = lost
     row = counts(df, checks).first()
-    return [c for i, c in enumerate(columns) if row[f"lost_{i}"] == 0]
+    lossy = {c: row[f"lost_{i}"] for i, c in enumerate(columns) if row[f"lost_{i}"]}
+    if lossy:
+        log.warning("type %s would lose values, columns left as they are: %s", dtype, lossy)
+    return [c for c in columns if c not in lossy]
 
 
 def clean_numeric(df: DataFrame, columns: list[str], to_numeric: bool = False,

@@ -222,8 +222,9 @@ def _apply(df: DataFrame, step: Step, edges: list[float] | None) -> DataFrame:
     return replace_columns(df, {name: binned})
 
 
-def engineer_features(df: DataFrame, steps: list[dict] | None = None) -> DataFrame:
+def engineer_features(df: DataFrame, steps: list[dict] | None = None,
+                      engineer: Callable[..., Estimator] = FeatureEngineer) -> DataFrame:
     """Learn and apply feature steps ``{"tool": ..., ...}`` in their order."""
     if not steps:
         return df
-    return FeatureEngineer(steps).fit(df).transform(df)
+    return engineer(steps).fit(df).transform(df)

@@ -171,11 +171,12 @@ class MissingValueModel(Model):
 
 
 def impute_missing(df: DataFrame, drop_threshold: float | None = 50.0,
-                   strategies: list[dict] | None = None) -> DataFrame:
+                   strategies: list[dict] | None = None, fit=fit_imputation) -> DataFrame:
     """Drop sparse columns, then fill by a sequence of strategies.
 
-    Each strategy is ``{"cols": [...], "method": ..., "constant_val": ...}``.
+    Each strategy is ``{"cols": [...], "method": ..., "constant_val": ...}``.  Another
+    ``fit`` may be given; its result must have ``apply``.
     """
     rules = [Strategy(s.get("method", "mean"), s.get("cols", []), s.get("constant_val"))
              for s in strategies or []]
-    return fit_imputation(df, drop_threshold, rules).apply(df)
+    return fit(df, drop_threshold, rules).apply(df)

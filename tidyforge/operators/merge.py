@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,8 @@ from tidyforge.functions.names import INTEGRAL, quoted, ref, replace_columns
 from tidyforge.functions.text import as_text, scrub
 from tidyforge.operators.dedupe import first_per_key, ordering
 
+log = logging.getLogger(__name__)
+
 HOW = ("left", "inner", "right", "outer")
 CANONICAL = "canonical_key"
 COLLISIONS = ("keep_base", "keep_new", "keep_both", "suffix")
@@ -37,6 +40,8 @@ def filter_equal(df: DataFrame, filters: dict[str, object] | None,
     Filtered columns come out as trimmed text.  Columns that do not exist are skipped.
     """
     usable = {c: v for c, v in (filters or {}).items() if c in df.columns}
+    for c in set(filters or {}) - set(usable):
+        log.warning("filter column %r not found, filter skipped", c)
     if not usable:
         return df
     types = {c: df.schema[c].dataType for c in usable}
@@ -74,6 +79,7 @@ def merge(base: DataFrame, new: DataFrame, on: list[str], how: str = "left",
     absent = [k for k in on if k not in base.columns or k not in new.columns]
     if absent:
         if on_missing_key == "skip":
+            log.warning("merge keys %s missing on one side, base returned unchanged", absent)
             return base
         raise KeyError(f"merge keys missing on one side: {absent}")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 import sys
 
@@ -13,6 +14,8 @@ from tidyforge.functions.names import numeric_columns, present, ref, replace_col
 from tidyforge.functions.nulls import double_or_null
 from tidyforge.operators.stats import column_stats, exact_quantiles
 
+log = logging.getLogger(__name__)
+
 METHODS = ("standard", "minmax", "robust")
 # Spreads below this count as constant and divide by one.
 TINY = 10 * sys.float_info.epsilon
@@ -91,8 +94,14 @@ class ScalerModel(Model):
 
 
 def scale_numeric(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:
-    """Learn and apply scaling on the listed columns; absent columns are skipped."""
+    """Learn and apply scaling on the listed columns; absent columns are skipped.
+
+    An unknown method is reported and leaves the table as it is.
+    """
     columns = present(df, columns)
+    if method not in METHODS:
+        log.warning("unknown scaling method %r, nothing scaled", method)
+        return df
     if not columns:
         return df
     return NumericScaler(columns, method).fit(df).transform(df)

@@ -7,8 +7,8 @@ import random
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.evaluation import (Evaluator, MulticlassClassificationEvaluator,
-                                   RegressionEvaluator)
+from pyspark.ml.evaluation import (BinaryClassificationEvaluator, Evaluator,
+                                   MulticlassClassificationEvaluator, RegressionEvaluator)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -22,6 +22,7 @@ from tidyforge.session import materialize
 ROWS_PER_FOLD_GROUP = 1_000_000
 FEATURES = "__features"
 FOLD = "__fold"
+GROUP = "__fold_group"
 
 
 def is_classifier(estimator: Estimator) -> bool:
@@ -30,19 +31,25 @@ def is_classifier(estimator: Estimator) -> bool:
 
 def assign_folds(df: DataFrame, label: str, order_by: list[str], folds: int,
                  stratified: bool = True) -> DataFrame:
-    """Add the fold number 0..folds-1 of each row, the same on every run.
+    """Add the fold number 0..folds-1 of each row.
 
-    Stratified folds number the rows within each label.  A label is cut into groups by
-    a hash of the ordering columns, enough of them that a frequent label does not land
-    in one task; each group alone is balanced to one row per fold.
+    Stratified folds number the rows within each label by a hash of the ordering
+    columns.  A label of a large table is dealt out to groups row by row, whatever the
+    rows hold, so that neither a frequent label nor many copies of one row meet in one
+    task; each group alone is balanced to one row per fold.  Pass a written table: its
+    row positions, which the groups follow, are the same whenever it is read.
     """
     key = F.xxhash64(*map(ref, order_by))
     if not stratified:
         return df.withColumn(FOLD, F.pmod(key, F.lit(folds)).cast("int"))
-    groups = max(1, math.ceil(df.count() / ROWS_PER_FOLD_GROUP))
-    group = F.pmod(key, F.lit(groups))
-    window = Window.partitionBy(ref(label), group).orderBy(key, *map(ref, order_by))
-    return df.withColumn(FOLD, F.pmod(F.row_number().over(window) - 1 + group, F.lit(folds)).cast("int"))
+    groups = math.ceil(df.count() / ROWS_PER_FOLD_GROUP)
+    numbered, keys = df, [ref(label)]
+    if groups > 1:
+        numbered = df.withColumn(GROUP, F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
+        keys.append(F.col(GROUP))
+    window = Window.partitionBy(*keys).orderBy(key, *map(ref, order_by))
+    number = F.row_number().over(window) - 1
+    return numbered.withColumn(FOLD, F.pmod(number, F.lit(folds)).cast("int")).drop(GROUP)
 
 
 def grid_points(space: dict[str, list]) -> list[dict[str, object]]:
@@ -69,6 +76,7 @@ def random_points(space: dict[str, object], n_iter: int, seed: int) -> list[dict
 CLASS_METRICS = {"accuracy": "accuracy", "f1_weighted": "f1", "f1": "f1",
                  "precision_weighted": "weightedPrecision", "recall_weighted": "weightedRecall",
                  "neg_log_loss": "logLoss"}
+BINARY_METRICS = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR"}
 REGRESSION_METRICS = {"r2": "r2", "neg_root_mean_squared_error": "rmse",
                       "neg_mean_squared_error": "mse", "neg_mean_absolute_error": "mae"}
 
@@ -80,6 +88,8 @@ def evaluator_for(scoring: str | Evaluator | None, classify: bool, label: str) -
     name = scoring or ("accuracy" if classify else "r2")
     if name in CLASS_METRICS:
         return MulticlassClassificationEvaluator(labelCol=label, metricName=CLASS_METRICS[name])
+    if name in BINARY_METRICS:
+        return BinaryClassificationEvaluator(labelCol=label, metricName=BINARY_METRICS[name])
     if name in REGRESSION_METRICS:
         return RegressionEvaluator(labelCol=label, metricName=REGRESSION_METRICS[name])
     raise ValueError(f"unknown scoring {scoring!r}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -9,11 +10,19 @@ from pyspark.sql import functions as F
 
 from tidyforge.functions.names import ref, replace_columns
 
+log = logging.getLogger(__name__)
+
 
 def _usable(df: DataFrame, configs: list[dict] | None) -> list[dict]:
-    """Rules whose value and unit columns exist; a rule without unit column is skipped."""
-    return [c for c in configs or []
-            if c["value_col"] in df.columns and c.get("unit_col") in df.columns]
+    """Rules whose value and unit columns exist; the others are reported and skipped."""
+    usable = []
+    for rule in configs or []:
+        absent = [rule.get(k) for k in ("value_col", "unit_col") if rule.get(k) not in df.columns]
+        if absent:
+            log.warning("units of %r: columns %s not found, rule skipped", rule["value_col"], absent)
+        else:
+            usable.append(rule)
+    return usable
 
 
 def _factor(rule: dict, clean: Callable[[Column], Column]) -> Column:

@@ -87,6 +87,9 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
         new = clean_text(new, options=options, cleaner=cleaner)
         renamed = new.withColumnRenamed(SOURCE_ORDER, "__new_order")
         order = ["__new_order" if c == SOURCE_ORDER else c for c in order] if order else None
+        if number > 1 and config.get("how", "left") in ("right", "outer"):
+            # These joins read the base twice; a chain of them must not double each time.
+            df = materialize(df, "merged")
         df = merger(df, renamed, on=config["on"], how=config.get("how", "left"),
                     filters=config.get("filters"), collapse_duplicates=collapse,
                     collision=config.get("collision", "keep_base"), order_by=order,

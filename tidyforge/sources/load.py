@@ -14,6 +14,7 @@ from tidyforge.functions.nulls import NA_TOKENS, nan_to_null, token_as_null
 from tidyforge.functions.numbers import NUMBER
 from tidyforge.operators.stats import counts
 from tidyforge.sources.decode import DECODERS, decode_files
+from tidyforge.sources.html import extract_html_tables
 
 log = logging.getLogger(__name__)
 
@@ -94,7 +95,16 @@ def read_parquet(spark: SparkSession, path, schema: str | None = None, **options
     return (reader.schema(schema) if schema else reader).parquet(path)
 
 
-READERS = {".csv": read_csv, ".json": read_json, ".parquet": read_parquet}
+def read_html(spark: SparkSession, path, **options) -> DataFrame:
+    """Rows of every table of HTML files, ``(page, table_no, row_no, cells)``; page is the path."""
+    pages = spark.read.options(wholetext=True, **options).text(path)
+    pages = pages.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
+    return extract_html_tables(pages, "path", "html")
+
+
+READERS = {".csv": read_csv, ".json": read_json, ".parquet": read_parquet, ".html": read_html}
+# Row positions can be told for these; decoded and parsed pages have none beyond the task's.
+ORDERED = (".csv", ".json")
 
 
 def read_sql(spark: SparkSession, query: str, url: str | None = None,
@@ -154,7 +164,7 @@ def with_source_order(df: DataFrame, kind: str) -> DataFrame:
     running = F.monotonically_increasing_id()
     if kind == ".parquet":
         order = F.struct("_metadata.file_path", F.col("_metadata.row_index"))
-    elif kind in READERS:
+    elif kind in ORDERED:
         order = F.struct("_metadata.file_path", F.col("_metadata.file_block_start"), running)
     else:
         order = F.struct(running)
