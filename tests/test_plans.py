@@ -96,8 +96,8 @@ def test_tables_are_cut_in_the_shared_folder(spark):
     folder = shared_folder(spark)
     assert folder == spark.conf.get("spark.checkpoint.dir")
     before = len(os.listdir(folder))
-    df = materialize(spark.range(5).withColumn("x.y", F.lit("a")))
-    assert df.count() == 5 and df.columns == ["id", "x.y"] and len(os.listdir(folder)) == before + 1
+    df = materialize(spark.range(5).withColumn("x.y", F.lit("a")).withColumn("(0, 1] =;", F.lit(None)))
+    assert df.count() == 5 and df.columns == ["id", "x.y", "(0, 1] =;"] and len(os.listdir(folder)) == before + 1
 
 
 # ------------------------------------------------------------------ tuning

@@ -51,12 +51,7 @@ def orderable(data_type: T.DataType) -> bool:
 
 def replace_columns(df: DataFrame, changed: dict[str, Column]) -> DataFrame:
     """One projection that swaps or appends the given columns, keeping order."""
-    if not changed:
-        return df
-    have = set(df.columns)
-    kept = [changed[c].alias(c) if c in changed else ref(c) for c in df.columns]
-    new = [expr.alias(c) for c, expr in changed.items() if c not in have]
-    return df.select(*kept, *new)
+    return df.withColumns(changed) if changed else df
 
 
 def missing_free(df: DataFrame, name: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyforge.functions.names import orderable, quoted, ref
+from tidyforge.functions.names import orderable, ref
 
 
 def ordering(df: DataFrame, order_by: list[str] | None, ascending: bool = True,
@@ -66,12 +66,13 @@ def deduplicate(df: DataFrame, subset: list[str] | None = None, keep: str | bool
 def _unique_rows(df: DataFrame, subset: list[str] | None) -> DataFrame:
     """Rows whose key occurs once: a pre-aggregated count that carries the row along."""
     keys = subset or df.columns
-    rest = [c for c in df.columns if c not in keys]
-    carried = [F.any_value(F.struct(*map(ref, rest))).alias("__rest")] if rest else []
+    rest = {c: f"__rest_{i}" for i, c in enumerate(df.columns) if c not in keys}
+    # Of a group that is kept, any value is the value; columns carried one by one leave
+    # fixed-width rows to the hash aggregate.
+    carried = [F.any_value(ref(c)).alias(name) for c, name in rest.items()]
     counted = df.groupBy(*map(ref, keys)).agg(F.count(F.lit(1)).alias("__rows"), *carried)
-    kept = counted.where(F.col("__rows") == 1)
-    return kept.select(*[ref(c) if c in keys else F.col(f"__rest.{quoted(c)}").alias(c)
-                         for c in df.columns])
+    return counted.where(F.col("__rows") == 1).select(
+        *[F.col(rest[c]).alias(c) if c in rest else ref(c) for c in df.columns])
 
 
 def sort_rows(df: DataFrame, by: list[str], ascending: bool = True) -> DataFrame:

@@ -6,6 +6,9 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+from tidyforge.functions.names import ref, replace_columns
 
 # Runtime settings the operators rely on.  Skew splitting is forced so that a hot
 # join key is split even where that costs one more exchange.  Batches sent to Python
@@ -75,5 +78,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     and it survives the loss of executors.
     """
     path = shared_path(df.sparkSession, name)
+    untyped = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
+    if untyped:                                  # columns of nothing but NULL literals
+        df = replace_columns(df, {c: ref(c).cast("string") for c in untyped})
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
