@@ -164,6 +164,15 @@ def test_discovery(spark, tmp_path):
         "content" not in str(find_files(spark, root)._jdf.queryExecution().executedPlan())
 
 
+def test_table_folders_count_as_one_file(spark, tmp_path):
+    root = str(tmp_path / "in.csv")
+    spark.range(9).repartition(3).write.csv(root + "/sub/t.csv", header=True)
+    (tmp_path / "in.csv" / "x[1].csv").write_text("id\n1\n")
+    found = find_files(spark, "file://" + root, ".csv").orderBy("name").collect()
+    assert [r["name"] for r in found] == ["t.csv", "x[1].csv"] and found[0]["length"] > 20
+    assert load(spark, found[0]["path"]).count() == 9
+
+
 def test_html_tables(spark):
     page = ("<p>x</p><table><thead><tr><th>a<th>b</tr></thead><tr><td> 1 &amp; 2 </td><td>z<br>y</td>"
             "</tr></table><TABLE><tr><td>outer<table><tr><td>inner</td></tr></table></td></tr></TABLE>"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +16,9 @@ def find_files(spark: SparkSession, root: str, extension: str | None = None,
     """Files below ``root`` as ``(path, name, length, modificationTime)``.
 
     ``extension`` is a suffix and matches case; ``name_pattern`` is a regex searched in
-    the file name without regard to case.  A missing root gives no rows.  File contents
-    are not read.
+    the file name without regard to case.  A folder of part files whose own name has the
+    extension, as Spark writes it, counts as one file.  A missing root gives no rows.
+    File contents are not read.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if extension:
@@ -26,13 +29,26 @@ def find_files(spark: SparkSession, root: str, extension: str | None = None,
         if "PATH_NOT_FOUND" in str(error):
             return spark.createDataFrame([], LISTING)
         raise
-    listing = files.select(
-        "path", F.element_at(F.split("path", "/"), -1).alias("name"), "length", "modificationTime")
+    listing = files.select("path", "length", "modificationTime")
+    if extension:
+        below = F.instr("path", _bare(root)) + len(_bare(root))
+        inside = F.substring(F.col("path"), below, F.length("path"))
+        table = F.regexp_extract(inside, f"^(.*?{re.escape(extension)})(/.*)?$", 1)
+        path = F.concat(F.substring(F.col("path"), F.lit(1), below - 1), table)
+        listing = listing.groupBy(path.alias("path")).agg(
+            F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"))
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    listing = listing.select("path", name, "length", "modificationTime")
     if name_pattern:
         listing = listing.where(F.col("name").rlike(f"(?i){name_pattern}"))
     return listing
 
 
+def _bare(root: str) -> str:
+    """The root without scheme, host and trailing slash, as it stands inside listed paths."""
+    return re.sub(r"^[A-Za-z0-9]+:(//[^/]*)?", "", root).rstrip("/")
+
+
 def directory_crawler(spark: SparkSession, dir_path: str, file_extension: str,
                       name_pattern: str | None = None) -> list[str]:
     """Sorted paths of matching files; a list of names, not of data."""
