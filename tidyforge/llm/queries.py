@@ -56,12 +56,12 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> isfinite(x))) = len(embedding)),
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-    list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2]))::BIGINT AS score
+    list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
 r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER
@@ -138,10 +138,10 @@ def op5_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 @_query("""
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE label IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> isfinite(x))) = len(embedding)
-    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 l AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
     ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
