@@ -131,14 +131,50 @@ def test_folds_are_stratified_and_stable(spark):
         sorted(map(tuple, again.select("id", FOLD).collect()))
 
 
-def test_large_labels_and_copies_are_dealt_out(spark, monkeypatch):
-    from tidyforge.operators import tune
-    monkeypatch.setattr(tune, "ROWS_PER_FOLD_GROUP", 40)
+def test_copies_are_dealt_out_evenly(spark):
     copies = materialize(points(spark).withColumn("id", F.when(F.col("id") < 100, 0).otherwise(F.col("id"))))
-    folds = assign_folds(copies, "y", ["id"], 5)
-    sizes = [r["count"] for r in folds.groupBy(FOLD).count().collect()]
-    assert sum(sizes) == 300 and min(sizes) > 50
-    assert folds.columns == [*copies.columns, FOLD]
+    folds = assign_folds(copies.repartition(6), "y", ["id"], 5)
+    for label in (0.0, 1.0):
+        sizes = [r["count"] for r in folds.where(F.col("y") == label).groupBy(FOLD).count().collect()]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    assert folds.count() == 300 and folds.columns == [*copies.columns, FOLD]
+    odd = assign_folds(points(spark).withColumn("y", F.lit(None).cast("double")), "y", ["id"], 3)
+    assert sorted(r["count"] for r in odd.groupBy(FOLD).count().collect()) == [100, 100, 100]
+
+
+def test_folds_do_not_follow_the_number_of_rows_per_task(spark, tmp_path):
+    wanted = None
+    for rows in (10, 100, 100_000):
+        path = str(tmp_path / str(rows))
+        points(spark).repartition(3).write.option("maxRecordsPerFile", rows).parquet(path)
+        folds = assign_folds(spark.read.parquet(path), "y", ["id"], 5)
+        found = sorted(map(tuple, folds.select("id", FOLD).collect()))
+        assert wanted is None or found == wanted
+        wanted = found
+
+
+def test_scores_have_the_usual_meaning(spark):
+    from tidyforge.operators.tune import evaluator_for
+    scored = spark.createDataFrame(
+        [(1.0, 1.0), (1.0, 0.0), (0.0, 1.0), (0.0, 0.0), (0.0, 0.0), (0.0, 0.0)], "prediction double, y double")
+    assert evaluator_for("f1", True, "y").evaluate(scored) == pytest.approx(0.5)
+    assert evaluator_for("f1_weighted", True, "y").evaluate(scored) == pytest.approx(2 / 3)
+    tuner = HyperparameterTuner(LinearRegression(), {"regParam": [0.0, 50.0]}, "grid", cv=3,
+                                scoring="neg_mean_squared_error")
+    tuner.fit(points(spark), "z", ["a"], ["id"])
+    assert tuner.best_params_ == {"regParam": 0.0} and -1 < tuner.best_score_ <= 0
+
+
+def test_work_tables_are_released(spark):
+    import os
+    from tidyforge.session import WorkTables
+    with WorkTables(spark) as tables:
+        materialize(spark.range(3), "gone")
+    kept = materialize(spark.range(3), "stays")
+    folder = tables.paths[0].removeprefix("file:")
+    assert len(tables.paths) == 1 and os.path.exists(folder)
+    tables.release()
+    assert not os.path.exists(folder) and kept.count() == 3
 
 
 def test_chain_of_outer_merges(spark):

@@ -49,14 +49,53 @@ def test_inference_of_big_and_mixed_numbers(spark):
 
 def test_json_shapes(spark, tmp_path, rows):
     records = [{"a": 1, "b": "x"}, {"a": 2, "b": None}]
-    array, lines, columns = (tmp_path / n for n in ("a.json", "l.json", "c.json"))
-    array.write_text(json.dumps(records, indent=1))
-    lines.write_text("\n".join(map(json.dumps, records)))
-    columns.write_text(pd.DataFrame(records).to_json(orient="columns"))
-    want = [(1, "x"), (2, None)]
-    assert rows(load(spark, str(array)), "a", "b") == want
-    assert rows(load(spark, str(lines), lines=True), "a", "b") == want
-    assert rows(load(spark, str(columns), orient="columns"), "a", "b") == want
+    shapes = {"a": json.dumps(records, indent=1), "b": json.dumps(records),
+              "l": "\n\n".join(map(json.dumps, records)), "c": "\n  " + json.dumps(records)}
+    for name, text in shapes.items():
+        (tmp_path / f"{name}.json").write_text(text)
+        path = str(tmp_path / f"{name}.json")
+        assert rows(load(spark, path), "a", "b") == [(1, "x"), (2, None)]
+        assert rows(load(spark, path, lines=name == "l", schema="a bigint, b string")) == [
+            (1, "x"), (2, None)]
+        with pytest.raises(ValueError):
+            load(spark, path, lines=name != "l")
+    (tmp_path / "one.json").write_text(json.dumps(records[0], indent=2))
+    assert rows(load(spark, str(tmp_path / "one.json")), "a", "b") == [(1, "x")]
+    with pytest.raises(ValueError):
+        load(spark, str(tmp_path / "[al].json"))
+    assert "Python" not in load(spark, str(tmp_path / "l.json"))._jdf.queryExecution().toString()
+
+
+def test_json_file_as_merge_input(spark, tmp_path):
+    from tidyforge.plans.prepare import merge_datasets
+    (tmp_path / "m.json").write_text('{"k": 1, "v": "A"}\n{"k": 1, "v": "B"}\n{"k": 3, "v": "C"}')
+    base = spark.createDataFrame([(1,), (2,)], "k int")
+    out = merge_datasets(base, [{"file": str(tmp_path / "m.json"), "on": ["k"]}])
+    assert sorted(map(tuple, out.collect())) == [("1", "a"), ("2", None)]
+
+
+def test_csv_keeps_records_whole(spark, tmp_path, rows):
+    path = str(tmp_path / "q.csv")
+    with open(path, "w", newline="") as out:
+        out.write('i,t\n1,"line one\nline ""two"""\n2,"  x  "\n')
+    want = [(1, 'line one\nline "two"'), (2, "  x  ")]
+    assert rows(load(spark, path)) == want
+    assert rows(load(spark, path, schema="i bigint, t string")) == want
+    for name, text in (("wide", "a,b\n1,2\n3,4,5\n"), ("short", "a,b\n1,2\n3\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+        with pytest.raises(ValueError, match="fields"):
+            load(spark, str(tmp_path / f"{name}.csv"))
+    (tmp_path / "bad.csv").write_text("a,b\n1,2\nabc,4\n4.7,NA\n")
+    with pytest.raises(ValueError, match="'a': 2"):
+        load(spark, str(tmp_path / "bad.csv"), schema="a bigint, b bigint")
+
+
+def test_csv_round_trip_of_dirty_text(spark, tmp_path, rows):
+    texts = ["  x  ", "a\nb", 'say "hi", then', "c\r\nd", "back\\slash", "\ttab\t", "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    save_output(df, str(tmp_path / "dirty"))
+    back = load(spark, str(tmp_path / "dirty.csv"))
+    assert [t for _, t in rows(back)] == texts
 
 
 def test_decoded_formats(spark, tmp_path, rows):
@@ -157,13 +196,31 @@ def test_discovery(spark, tmp_path):
     assert names(".csv") == ["Phys1.csv", "other.csv", "phy2.csv"] and len(names()) == 5
     assert find_files(spark, root + "/absent", ".csv").count() == 0
     assert [os.path.basename(p) for p in directory_crawler(spark, root, ".txt")] == ["phy.txt"]
-    rules = auto_prepare_merges(spark, root, ".csv", ["k"], exclude=["Phys1.csv"])
+    rules = auto_prepare_merges(spark, root, ".csv", ["k"], exclude=[root + "/./Phys1.csv"])
     assert [os.path.basename(r["file"]) for r in rules] == ["other.csv", "phy2.csv"]
     assert rules[0]["on"] == ["k"] and rules[0]["how"] == "left" and rules[0]["collapse_duplicates"]
     assert "ReadSchema" not in str(find_files(spark, root)._jdf.queryExecution()) or \
         "content" not in str(find_files(spark, root)._jdf.queryExecution().executedPlan())
 
 
+def test_only_the_very_file_is_left_out(spark, tmp_path, monkeypatch):
+    for name in ("visits.csv", "old_visits.csv", "_labs.csv", ".h.csv"):
+        (tmp_path / name).write_text("k\n1\n")
+    monkeypatch.chdir(tmp_path)
+    for primary in (f"{tmp_path}/visits.csv", f"file://{tmp_path}/visits.csv"):
+        rules = auto_prepare_merges(spark, str(tmp_path), ".csv", ["k"], exclude=[primary])
+        assert [os.path.basename(r["file"]) for r in rules] == [".h.csv", "_labs.csv", "old_visits.csv"]
+    for hidden in ("_labs.csv", ".h.csv"):
+        with pytest.raises(ValueError, match="starts with"):
+            load(spark, str(tmp_path / hidden))
+
+
+def test_relative_paths_are_qualified(spark):
+    from tidyforge.sources.discover import qualified
+    assert qualified(spark, "./visits.csv") == qualified(spark, "visits.csv")
+    assert qualified(spark, "visits.csv").endswith("/visits.csv")
+
+
 def test_table_folders_count_as_one_file(spark, tmp_path):
     root = str(tmp_path / "in.csv")
     spark.range(9).repartition(3).write.csv(root + "/sub/t.csv", header=True)
@@ -184,6 +241,13 @@ def test_html_tables(spark):
     assert out.count() == 5 and out.select("page").distinct().collect() == [(7,)]
 
 
+def test_html_spans(spark):
+    page = ("<table><tr><th rowspan=2>a<th colspan=2>b<tr><td>c<td>d<tr><td>e<td colspan=x>f<td>g"
+            "<tr><td colspan='3'>h</table>")
+    assert [cells for _, _, cells in table_rows(page)] == [
+        ["a", "b", "b"], ["a", "c", "d"], ["e", "f", "g"], ["h", "h", "h"]]
+
+
 def test_html_files(spark, tmp_path):
     (tmp_path / "a.html").write_text("<table><tr><td>1<td>2</table>")
     row = load(spark, str(tmp_path / "a.html")).first()

@@ -45,4 +45,8 @@ def equals_value(value: Column, data_type: T.DataType, wanted: object,
         return value == F.lit(text).try_cast("double")
     if isinstance(data_type, T.BooleanType):
         return value.cast("string") == text.lower()
-    return F.trim(as_text(value, data_type)) == F.trim(clean(F.lit(text)))
+    exact = F.trim(as_text(value, data_type)) == F.trim(clean(F.lit(text)))
+    if isinstance(data_type, T.StringType) and text:
+        # A cell that equals the text contains it, which the file scan can test.
+        return value.contains(F.trim(clean(F.lit(text)))) & exact
+    return exact

@@ -92,7 +92,7 @@ def scrub(value: Column) -> Column:
 
 
 def remove_pattern(value: Column, pattern: str) -> Column:
-    return F.regexp_replace(value, pattern, "")
+    return F.regexp_replace(value, java_pattern(pattern), "")
 
 
 STRING_OPTIONS = {
@@ -126,10 +126,26 @@ def apply_string_options(value: Column, data_type: T.DataType, options: dict) ->
 def java_replacement(template: str) -> str:
     """A Python substitution template in the notation of Java's regex engine."""
     java = template.replace("$", r"\$")
-    java = re.sub(r"\\g<(\w+)>", lambda m: "${%s}" % m[1] if not m[1].isdigit() else "$" + m[1], java)
+    java = re.sub(r"\\g<(\w+)>", lambda m: "${%s}" % _group(m[1]) if not m[1].isdigit() else "$" + m[1], java)
     return re.sub(r"\\(\d)", r"$\1", java)
 
 
+def java_pattern(pattern: str) -> str:
+    """A Python pattern in the notation of Java's regex engine, tried out beforehand.
+
+    Named groups and references to them are the same but for ``P``; names lose underscores,
+    which Java does not allow.  A pattern Python refuses is refused here, not in a task.
+    """
+    re.compile(pattern)
+    java = re.sub(r"\(\?P<(\w+)>", lambda m: f"(?<{_group(m[1])}>", pattern)
+    java = re.sub(r"\(\?P=(\w+)\)", lambda m: f"\\k<{_group(m[1])}>", java)
+    return java.replace(r"\Z", r"\z")
+
+
+def _group(name: str) -> str:
+    return name.replace("_", "U95")
+
+
 def flag_matching(value: Column, pattern: str) -> Column:
     """1 where the text matches the pattern, else 0; missing text gives 0."""
-    return F.when(value.rlike(pattern), 1).otherwise(0)
+    return F.when(value.rlike(java_pattern(pattern)), 1).otherwise(0)

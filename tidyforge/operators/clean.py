@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from tidyforge.functions.names import (numeric_columns, present, ref, replace_columns,
                                        text_columns)
 from tidyforge.functions.numbers import number_type, round_half_even, spark_type, to_number
-from tidyforge.functions.text import apply_string_options, java_replacement
+from tidyforge.functions.text import apply_string_options, java_pattern, java_replacement
 from tidyforge.operators.stats import counts
 from tidyforge.operators.udf import apply_custom_function, row_function
 
@@ -50,7 +50,8 @@ def map_categories_regex(df: DataFrame, column: str, regex_mapping: dict,
     # projection per pattern: nested in one expression the size would double each time.
     original, hit = ref("__original"), F.lit(False)
     df = replace_columns(df, {"__original": ref(column), target: ref(column)})
-    for pattern, value in regex_mapping.items():
+    for written, value in regex_mapping.items():
+        pattern = java_pattern(written)
         if isinstance(value, str):
             new = F.regexp_replace(ref(target), pattern, java_replacement(value))
         else:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from tidyforge.functions.names import missing_free, present, ref
 from tidyforge.functions.text import as_text
 from tidyforge.operators.stats import categories, in_merge_groups
 
-MAX_CATEGORIES = 2000
+ENCODINGS = ("columns", "sparse")
 
 
 def encodable(df: DataFrame, exclude_prefixes: tuple[str, ...] = (),
@@ -26,12 +28,14 @@ def encodable(df: DataFrame, exclude_prefixes: tuple[str, ...] = (),
 class OneHotEncoder(Estimator):
     """Integer column ``<c>_<value>`` per sorted category; missing gives zeros.
 
-    The categories of all columns are learned in shared passes and must be few enough
-    for one output column each.  For more, use :func:`one_hot_sparse`.
+    The categories of all columns are learned in shared passes; each becomes an output
+    column.  ``max_categories`` refuses columns with more.  For columns of free text use
+    :class:`SparseOneHotEncoder`.  Names that would differ only in case get the number of the
+    category in its column as an ending, unless the session tells case apart.
     """
 
     def __init__(self, columns: list[str], drop_first: bool = True,
-                 max_categories: int = MAX_CATEGORIES):
+                 max_categories: int | None = None):
         super().__init__()
         self.columns = list(columns)
         self.drop_first = drop_first
@@ -62,18 +66,18 @@ class OneHotModel(Model):
         kept = [c for c in dataset.columns if c not in self.categories]
         new = [d for d in self.dummies() if d[0] in dataset.columns]
         strict = dataset.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
-        names = [n if strict else n.lower() for n in [*kept, *(d[2] for d in new)]]
-        twice = {n for n in names if names.count(n) > 1} if len(set(names)) < len(names) else None
-        if twice:
-            raise ValueError(f"encoded columns would share a name: {sorted(twice)}; "
-                             "lower-case the text or set spark.sql.caseSensitive")
+        names = Counter(n if strict else n.lower() for n in [*kept, *(d[2] for d in new)])
+        place = {(c, value): i for c, values in self.categories.items()
+                 for i, value in enumerate(values)}
+        new = [(c, value, name if names[name if strict else name.lower()] == 1
+                else f"{name}_{place[c, value]}", n) for c, value, name, n in new]
         return dataset.select(*[ref(c) for c in kept], *[
             F.when(ref(c) == F.lit(value), 1).otherwise(0).alias(name)
             for c, value, name, _ in new])
 
 
 def encode_categorical(df: DataFrame, columns: list[str], drop_first: bool = True,
-                       max_categories: int = MAX_CATEGORIES) -> DataFrame:
+                       max_categories: int | None = None) -> DataFrame:
     """Learn and apply one-hot columns; absent columns are skipped."""
     columns = present(df, columns)
     if not columns:
@@ -81,25 +85,54 @@ def encode_categorical(df: DataFrame, columns: list[str], drop_first: bool = Tru
     return OneHotEncoder(columns, drop_first, max_categories).fit(df).transform(df)
 
 
-def one_hot_sparse(df: DataFrame, columns: list[str], drop_first: bool = True,
-                   output: str = "active_dummies") -> DataFrame:
+class SparseOneHotEncoder(Estimator):
     """The same encoding for any number of categories.
 
     Instead of one column per category, ``output`` lists the names of the dummies that
     are 1.  Only the smallest category per column has to be known, to drop it.
     """
-    columns = present(df, columns)
-    smallest = None
-    if columns and drop_first:
-        parts = [F.min(missing_free(df, c)).alias(f"m{i}") for i, c in enumerate(columns)]
-        smallest = in_merge_groups(df, parts).agg(
-            *[F.min(f"m{i}").alias(f"m{i}") for i in range(len(columns))]).first()
-    active = []
-    for i, c in enumerate(columns):
-        cell = missing_free(df, c)
-        name = F.concat(F.lit(f"{c}_"), as_text(cell, df.schema[c].dataType))
-        dropped = smallest[f"m{i}"] if smallest else None
-        active.append(name if dropped is None else F.when(cell != F.lit(dropped), name))
-    kept = [ref(c) for c in df.columns if c not in columns]
-    listed = F.array_compact(F.array(*active)) if active else F.array().cast("array<string>")
-    return df.select(*kept, listed.alias(output))
+
+    def __init__(self, columns: list[str], drop_first: bool = True,
+                 output: str = "active_dummies"):
+        super().__init__()
+        self.columns = list(columns)
+        self.drop_first = drop_first
+        self.output = output
+
+    def _fit(self, dataset: DataFrame) -> "SparseOneHotModel":
+        columns = present(dataset, self.columns)
+        dropped = dict.fromkeys(columns)
+        if columns and self.drop_first:
+            parts = [F.min(missing_free(dataset, c)).alias(f"m{i}") for i, c in enumerate(columns)]
+            smallest = in_merge_groups(dataset, parts).agg(
+                *[F.min(f"m{i}").alias(f"m{i}") for i in range(len(columns))]).first()
+            dropped = {c: smallest[f"m{i}"] for i, c in enumerate(columns)}
+        return SparseOneHotModel(dropped, self.output)
+
+
+class SparseOneHotModel(Model):
+    """The dropped category of each column, if any."""
+
+    def __init__(self, dropped: dict[str, object], output: str):
+        super().__init__()
+        self.dropped = dropped
+        self.output = output
+
+    def dummies(self) -> list:
+        return []                            # no columns of their own
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        active = []
+        for c in present(dataset, list(self.dropped)):
+            cell, dropped = missing_free(dataset, c), self.dropped[c]
+            name = F.concat(F.lit(f"{c}_"), as_text(cell, dataset.schema[c].dataType))
+            active.append(name if dropped is None else F.when(cell != F.lit(dropped), name))
+        kept = [ref(c) for c in dataset.columns if c not in self.dropped]
+        listed = F.array_compact(F.array(*active)) if active else F.array().cast("array<string>")
+        return dataset.select(*kept, listed.alias(self.output))
+
+
+def one_hot_sparse(df: DataFrame, columns: list[str], drop_first: bool = True,
+                   output: str = "active_dummies") -> DataFrame:
+    """Learn and apply the sparse encoding; absent columns are skipped."""
+    return SparseOneHotEncoder(columns, drop_first, output).fit(df).transform(df)

@@ -8,7 +8,8 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 
 from tidyforge.functions.names import numeric_columns
-from tidyforge.operators.encode import MAX_CATEGORIES, OneHotEncoder, OneHotModel, encodable
+from tidyforge.operators.encode import (ENCODINGS, OneHotEncoder, OneHotModel,
+                                         SparseOneHotEncoder, SparseOneHotModel, encodable)
 from tidyforge.operators.scale import (METHODS, ScalerModel, _center_scale, fit_scaling,
                                        flag_stats)
 
@@ -24,6 +25,8 @@ class ModelFormatter(Estimator):
 
     Key columns given in ``keys`` are neither encoded nor scaled.  Dummies are scaled
     only with ``scale_dummies``; their statistics follow from the category counts.
+    ``encoding`` is "columns", one per category and refused beyond ``max_categories`` if
+    that is given, or "sparse", one list of names for columns of any cardinality.
     """
 
     def __init__(self, encode_categorical: bool = True,
@@ -32,8 +35,13 @@ class ModelFormatter(Estimator):
                  exclude_scale_cols: list[str] | None = None,
                  default_scale_exclusions: list[str] | None = None,
                  keys: list[str] = (), scale_dummies: bool = False,
-                 max_categories: int = MAX_CATEGORIES):
+                 max_categories: int | None = None, encoding: str = "columns"):
         super().__init__()
+        if encoding not in ENCODINGS:
+            raise ValueError(f"encoding must be one of {ENCODINGS}, not {encoding!r}")
+        if encoding == "sparse" and scale_dummies:
+            raise ValueError("a sparse encoding has no dummy columns to scale")
+        self.encoding = encoding
         self.encode_categorical = encode_categorical
         self.exclude_encode_prefixes = tuple(exclude_encode_prefixes)
         self.scale_method = scale_method
@@ -46,7 +54,10 @@ class ModelFormatter(Estimator):
     def _fit(self, dataset: DataFrame) -> "ModelFormatterModel":
         columns = (encodable(dataset, self.exclude_encode_prefixes, self.keys)
                    if self.encode_categorical else [])
-        encoder = OneHotEncoder(columns, True, self.max_categories).fit(dataset)
+        if self.encoding == "sparse" and columns:
+            encoder = SparseOneHotEncoder(columns).fit(dataset)
+        else:
+            encoder = OneHotEncoder(columns, True, self.max_categories).fit(dataset)
         if not self.scale_method:
             return ModelFormatterModel(encoder, ScalerModel({}))
         if self.scale_method not in METHODS:
@@ -62,7 +73,7 @@ class ModelFormatter(Estimator):
 
 
 class ModelFormatterModel(Model):
-    def __init__(self, encoder: OneHotModel, scaler: ScalerModel):
+    def __init__(self, encoder: OneHotModel | SparseOneHotModel, scaler: ScalerModel):
         super().__init__()
         self.encoder = encoder
         self.scaler = scaler

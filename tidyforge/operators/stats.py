@@ -20,7 +20,7 @@ from tidyforge.functions.names import ref
 from tidyforge.functions.nulls import double_or_null, missing
 
 # Rows that may be left inside the brackets when their values are fetched one by one.
-GATHER_ROWS = 500_000
+GATHER_ROWS = 20_000
 # Sketch size and the margin, in rank share, put around a sketched quantile.
 SKETCH_K = 1024
 MARGIN = 0.004
@@ -116,8 +116,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
     Every pass is one column-pruned aggregate with a tiny result.  A sketch proposes
     two values around each wanted rank, the next pass counts the rows at and under
     them exactly, and only the rows strictly between remain.  Each pass cuts the
-    remaining rows about a hundredfold.  Values are fetched one by one only when at
-    most ``gather_rows`` rows remain.  A wrong proposal costs a pass, never the result.
+    remaining rows about a hundredfold.  Columns of any length are narrowed at least
+    once; the values left are fetched when at most ``gather_rows`` rows remain.  A wrong proposal costs a pass, never the result.
     """
     columns = [c for c, shares in wanted.items() if shares]
     if not columns:
@@ -138,6 +138,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]],
                 ranks = sorted({math.floor(position), math.ceil(position)})
                 open_brackets.append(_Bracket(b.column, ranks, rows=rows, guess=guess))
 
+    if open_brackets:
+        open_brackets = _narrow(base, cells, open_brackets, done)
     while open_brackets and _rows_left(open_brackets) > gather_rows:
         open_brackets = _narrow(base, cells, open_brackets, done)
     if open_brackets:
@@ -287,23 +289,27 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     return found
 
 
-def categories(df: DataFrame, columns: list[str], most: int) -> dict[str, dict[object, int]]:
-    """Sorted categories with their row counts, for columns of bounded cardinality.
+def categories(df: DataFrame, columns: list[str], most: int | None = None) -> dict[str, dict[object, int]]:
+    """Sorted categories with their row counts.
 
-    Raises when a column has more than ``most`` categories; nothing is cut off.
+    The categories become output columns, so how many there may be is the caller's choice.
+    With ``most`` a column that has more raises before any is fetched; nothing is cut off.
     """
     found: dict[str, dict[object, int]] = {c: {} for c in columns}
     if not columns:
         return found
-    sketches = in_merge_groups(df, [
-        F.hll_sketch_agg(ref(c).cast("string"), F.lit(11)).alias(f"d{i}") for i, c in enumerate(columns)])
-    about = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}")
-                           for i in range(len(columns))]).first()
-    _refuse_wide({c: about[f"d{i}"] or 0 for i, c in enumerate(columns)}, most * 1.2, most)
+    if most is not None:
+        sketches = in_merge_groups(df, [
+            F.hll_sketch_agg(ref(c).cast("string"), F.lit(11)).alias(f"d{i}")
+            for i, c in enumerate(columns)])
+        about = sketches.agg(*[F.hll_sketch_estimate(F.hll_union_agg(f"d{i}")).alias(f"d{i}")
+                               for i in range(len(columns))]).first()
+        _refuse_wide({c: about[f"d{i}"] or 0 for i, c in enumerate(columns)}, most * 1.2, most)
     for counted in value_counts(df, columns):
         for r in counted.collect():
             found[r["column"]][r["value"]] = r["rows"]
-    _refuse_wide({c: len(v) for c, v in found.items()}, most, most)
+    if most is not None:
+        _refuse_wide({c: len(v) for c, v in found.items()}, most, most)
     return {c: dict(sorted(v.items())) for c, v in found.items()}
 
 

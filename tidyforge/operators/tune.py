@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import random
 from dataclasses import dataclass
 
@@ -18,11 +17,12 @@ from pyspark.sql import functions as F
 from tidyforge.functions.names import ref
 from tidyforge.session import materialize
 
-# Rows of one label that are numbered in one task when folds are assigned.
-ROWS_PER_FOLD_GROUP = 1_000_000
+# Ranges of row hashes in which the rows of one label are numbered apart.
+FOLD_GROUPS = 1024
+# Parts into which copies of one row are dealt, so that they are numbered by several tasks.
+COPY_PARTS = 64
 FEATURES = "__features"
 FOLD = "__fold"
-GROUP = "__fold_group"
 
 
 def is_classifier(estimator: Estimator) -> bool:
@@ -33,23 +33,36 @@ def assign_folds(df: DataFrame, label: str, order_by: list[str], folds: int,
                  stratified: bool = True) -> DataFrame:
     """Add the fold number 0..folds-1 of each row.
 
-    Stratified folds number the rows within each label by a hash of the ordering
-    columns.  A label of a large table is dealt out to groups row by row, whatever the
-    rows hold, so that neither a frequent label nor many copies of one row meet in one
-    task; each group alone is balanced to one row per fold.  Pass a written table: its
-    row positions, which the groups follow, are the same whenever it is read.
+    Stratified folds number the rows of each label in the order of a hash of the label and the
+    ordering columns, and deal the numbers out in turn, so folds are as even as they can be and
+    depend on the rows alone, not on their number, order or files.  The numbers are running
+    sums: of copies of a row, of rows within a range of hashes, of ranges within a label.  No
+    task numbers a whole label, nor all copies of one row.  Which of several copies gets which
+    number follows the task that reads it; pass a written table to keep that the same.
     """
     key = F.xxhash64(*map(ref, order_by))
     if not stratified:
         return df.withColumn(FOLD, F.pmod(key, F.lit(folds)).cast("int"))
-    groups = math.ceil(df.count() / ROWS_PER_FOLD_GROUP)
-    numbered, keys = df, [ref(label)]
-    if groups > 1:
-        numbered = df.withColumn(GROUP, F.pmod(F.monotonically_increasing_id(), F.lit(groups)))
-        keys.append(F.col(GROUP))
-    window = Window.partitionBy(*keys).orderBy(key, *map(ref, order_by))
-    number = F.row_number().over(window) - 1
-    return numbered.withColumn(FOLD, F.pmod(number, F.lit(folds)).cast("int")).drop(GROUP)
+    rows = df.withColumns({
+        "__key": F.xxhash64(ref(label), *map(ref, order_by)),
+        "__part": F.pmod(F.spark_partition_id(), F.lit(COPY_PARTS))})
+    copies = rows.groupBy("__key", "__part").agg(
+        F.count(F.lit(1)).alias("copies"), F.first(ref(label)).alias("label"))
+    copies = copies.withColumn("range", F.pmod(F.xxhash64("__key"), F.lit(FOLD_GROUPS)))
+    before = Window.partitionBy("label", "range").orderBy("__key", "__part").rowsBetween(
+        Window.unboundedPreceding, -1)
+    ranges = copies.groupBy("label", "range").agg(F.sum("copies").alias("rows"))
+    ranges = ranges.withColumn("earlier", F.coalesce(F.sum("rows").over(
+        Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)))
+    starts = copies.withColumn("inside", F.coalesce(F.sum("copies").over(before), F.lit(0))).alias(
+        "c").join(ranges.alias("r"), F.col("c.label").eqNullSafe(F.col("r.label")) & (
+            F.col("c.range") == F.col("r.range"))).select(
+        "__key", "__part", (F.col("inside") + F.col("earlier")).alias("__start"))
+    own = Window.partitionBy("__key", "__part").orderBy(*map(ref, order_by))
+    number = F.col("__start") + F.row_number().over(own) - 1
+    return rows.join(starts, ["__key", "__part"]).withColumn(
+        FOLD, F.pmod(number, F.lit(folds)).cast("int")).select(*map(ref, df.columns), FOLD)
 
 
 def grid_points(space: dict[str, list]) -> list[dict[str, object]]:
@@ -73,7 +86,7 @@ def random_points(space: dict[str, object], n_iter: int, seed: int) -> list[dict
 
 
 # Scoring names and the metric of Spark's evaluators.
-CLASS_METRICS = {"accuracy": "accuracy", "f1_weighted": "f1", "f1": "f1",
+CLASS_METRICS = {"accuracy": "accuracy", "f1_weighted": "f1", "f1": "fMeasureByLabel",
                  "precision_weighted": "weightedPrecision", "recall_weighted": "weightedRecall",
                  "neg_log_loss": "logLoss"}
 BINARY_METRICS = {"roc_auc": "areaUnderROC", "average_precision": "areaUnderPR"}
@@ -87,7 +100,8 @@ def evaluator_for(scoring: str | Evaluator | None, classify: bool, label: str) -
         return scoring
     name = scoring or ("accuracy" if classify else "r2")
     if name in CLASS_METRICS:
-        return MulticlassClassificationEvaluator(labelCol=label, metricName=CLASS_METRICS[name])
+        return MulticlassClassificationEvaluator(labelCol=label, metricName=CLASS_METRICS[name],
+                                                 metricLabel=1.0)
     if name in BINARY_METRICS:
         return BinaryClassificationEvaluator(labelCol=label, metricName=BINARY_METRICS[name])
     if name in REGRESSION_METRICS:
@@ -119,7 +133,11 @@ class TuneResult:
 
 
 class HyperparameterTuner:
-    """Grid or random search with k-fold cross-validation."""
+    """Grid or random search with k-fold cross-validation.
+
+    Scores named ``neg_...`` are the negative of Spark's metric, so that more is better;
+    ``f1`` is that of label 1.
+    """
 
     def __init__(self, model: Estimator, param_space: dict[str, object], method: str = "random",
                  cv: int = 5, n_iter: int = 10, scoring: str | Evaluator | None = None,
@@ -168,8 +186,9 @@ class HyperparameterTuner:
             evaluator=evaluator, numFolds=self.cv, seed=self.random_state,
             parallelism=max(1, self.n_jobs or 1), foldCol=FOLD)
         found = search.fit(folded)
-        scores = list(found.avgMetrics)
-        pick = max if evaluator.isLargerBetter() else min
+        sign = -1.0 if isinstance(self.scoring, str) and self.scoring.startswith("neg_") else 1.0
+        scores = [sign * s for s in found.avgMetrics]
+        pick = max if evaluator.isLargerBetter() or sign < 0 else min
         best = scores.index(pick(scores))
         table = [(i, str(p), float(s)) for i, (p, s) in enumerate(zip(points, scores))]
         results = spark.createDataFrame(table, "candidate int, params string, avg_metric double")

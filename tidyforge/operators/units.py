@@ -7,8 +7,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyforge.functions.names import ref, replace_columns
+from tidyforge.functions.numbers import to_number
+from tidyforge.functions.text import as_text
 
 log = logging.getLogger(__name__)
 
@@ -41,29 +44,48 @@ def normalize_units(df: DataFrame, configs: list[dict] | None = None,
     Labels are compared trimmed.  Unknown and missing labels are left alone; see
     :func:`unconverted_units`.  ``clean`` is applied to the labels of the rules when
     the column itself was cleaned before (lower-cased, say).  Several rules for one
-    value column apply in turn.
+    value column apply in turn.  In a text column only cells that are numbers are converted;
+    others, such as ``<5``, and their labels stay, and the column stays text.
     """
     for rule in _usable(df, configs):
         value, unit = ref(rule["value_col"]), ref(rule["unit_col"])
         factor = _factor(rule, clean)
-        known = factor.isNotNull()
+        known, kind = factor.isNotNull(), df.schema[rule["value_col"]].dataType
+        if isinstance(kind, T.StringType):
+            number = to_number(value, kind)
+            known = known & (number.isNotNull() | value.isNull())
+            plain = as_text(number * factor, T.DoubleType())
+            converted = F.when(known & (factor != 1.0), plain).otherwise(value)
+        else:
+            converted = F.when(known, value.cast("double") * factor).otherwise(
+                value.cast("double"))
         df = replace_columns(df, {
-            rule["value_col"]: F.when(known, value.cast("double") * factor)
-                                .otherwise(value.cast("double")),
+            rule["value_col"]: converted,
             rule["unit_col"]: F.when(known, F.lit(rule["canonical"])).otherwise(unit),
         })
     return df
 
 
+def _no_number(df: DataFrame, column: str) -> Column:
+    """Whether a text cell holds something that is not a number."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, T.StringType):
+        return F.lit(False)
+    return ref(column).isNotNull() & to_number(ref(column), kind).isNull()
+
+
 def unconverted_units(df: DataFrame, configs: list[dict] | None = None,
                       clean: Callable[[Column], Column] = lambda text: text) -> DataFrame:
-    """Report ``(value_col, unit, rows)`` of labels no rule covers, most frequent first."""
+    """Report ``(value_col, unit, rows)`` of rows no rule converts, most frequent first.
+
+    These are rows with a label no rule covers, and text cells that are no numbers.
+    """
     reports = []
     for rule in _usable(df, configs):
         unit = ref(rule["unit_col"])
         factor = _factor(rule, clean)
         reports.append(
-            df.where(unit.isNotNull() & factor.isNull())
+            df.where(unit.isNotNull() & (factor.isNull() | _no_number(df, rule["value_col"])))
             .groupBy(F.trim(unit).alias("unit")).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(rule["value_col"]).alias("value_col"), "unit", "rows"))
     if not reports:

@@ -45,6 +45,8 @@ PIPELINE_PARAMETER_TEMPLATE = {
     "impute_strategies": [],
     "feature_steps": [],
     "encode_categorical": True,
+    "encoding": "columns",
+    "max_categories": None,
     "exclude_encode_prefixes": ENCODE_EXCLUSIONS,
     "scale_method": "standard",
     "exclude_scale_cols": [],
@@ -117,7 +119,8 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
                  exclude_encode_prefixes: tuple = ENCODE_EXCLUSIONS,
                  scale_method: str | None = "standard", exclude_scale_cols: list | None = None,
                  default_scale_exclusions: list | None = None, scale_dummies: bool = False,
-                 report: StageReport | None = None) -> DataFrame:
+                 report: StageReport | None = None, encoding: str = "columns",
+                 max_categories: int | None = None) -> DataFrame:
     """Load, clean, merge, deduplicate, unify units, impute, derive, encode, scale, save.
 
     Loading up to units is one lazy plan without a job.  Its result is written to the
@@ -156,7 +159,7 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
     formatter = ModelFormatter(
         encode_categorical, exclude_encode_prefixes, scale_method, exclude_scale_cols,
         default_scale_exclusions, keys=present(df, [*keys, *(dedupe_subset or [])]),
-        scale_dummies=scale_dummies)
+        scale_dummies=scale_dummies, max_categories=max_categories, encoding=encoding)
     df = formatter.fit(df).transform(df)
     if output_file:
         save_output(df, output_file)

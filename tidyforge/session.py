@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,14 +52,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of this machine; on a cluster
-    executors could not see it, so a missing setting is an error there.
+    Only a session whose tasks run in its own process may fall back to a folder of this
+    machine, as tests do; anywhere else executors could not see it, so a missing setting is
+    an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
         folder = tempfile.mkdtemp(prefix="tidyforge-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -70,6 +72,38 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+class WorkTables:
+    """The intermediate tables of a run; ``release`` deletes them once its result is saved.
+
+    Used as a context, it collects every table that :func:`materialize` writes meanwhile::
+
+        with WorkTables(spark) as tables:
+            df = process_data(spark, ...)
+            df.write.parquet("result")
+            tables.release()
+    """
+
+    _open: list["WorkTables"] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> "WorkTables":
+        self._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open.remove(self)
+
+    def release(self) -> None:
+        """Delete the tables; frames that still read them can no longer run."""
+        for path in self.paths:
+            target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+        self.paths.clear()
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -78,6 +112,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     and it survives the loss of executors.
     """
     path = shared_path(df.sparkSession, name)
+    for tables in WorkTables._open:
+        tables.paths.append(path)
     untyped = [f.name for f in df.schema if isinstance(f.dataType, T.NullType)]
     if untyped:                                  # columns of nothing but NULL literals
         df = replace_columns(df, {c: ref(c).cast("string") for c in untyped})

@@ -53,13 +53,9 @@ def _spss(data: io.BytesIO, **options) -> Iterator[pd.DataFrame]:
             yield chunk
 
 
-def _json(data: io.BytesIO, **options) -> Iterator[pd.DataFrame]:
-    yield pd.read_json(data, **options)
-
-
 DECODERS: dict[str, Callable] = {
     ".feather": _feather, ".dta": _stata, ".sas7bdat": _sas("sas7bdat"), ".xpt": _sas("xport"),
-    ".xlsx": _excel, ".xls": _excel, ".sav": _spss, ".json": _json,
+    ".xlsx": _excel, ".xls": _excel, ".sav": _spss,
 }
 
 

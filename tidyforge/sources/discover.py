@@ -1,54 +1,60 @@
-"""Finding files through Spark's own file listing, on any file system it knows."""
+"""Finding files through the Hadoop file systems that Spark knows."""
 
 from __future__ import annotations
 
-import re
+from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LISTING = "path string, name string, length bigint, modificationTime timestamp"
 
 
+def _located(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with scheme, host and working folder, as listings show it."""
+    files, target = _located(spark, path)
+    return files.makeQualified(target).toString()
+
+
 def find_files(spark: SparkSession, root: str, extension: str | None = None,
                name_pattern: str | None = None) -> DataFrame:
     """Files below ``root`` as ``(path, name, length, modificationTime)``.
 
     ``extension`` is a suffix and matches case; ``name_pattern`` is a regex searched in
     the file name without regard to case.  A folder of part files whose own name has the
-    extension, as Spark writes it, counts as one file.  A missing root gives no rows.
+    extension, as Spark writes it, counts as one file.  Names that Spark would not read,
+    because they start with ``_`` or a dot, are listed too.  A missing root gives no rows.
     File contents are not read.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if extension:
-        reader = reader.option("pathGlobFilter", f"*{extension}")
-    try:
-        files = reader.load(root)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return spark.createDataFrame([], LISTING)
-        raise
-    listing = files.select("path", "length", "modificationTime")
-    if extension:
-        below = F.instr("path", _bare(root)) + len(_bare(root))
-        inside = F.substring(F.col("path"), below, F.length("path"))
-        table = F.regexp_extract(inside, f"^(.*?{re.escape(extension)})(/.*)?$", 1)
-        path = F.concat(F.substring(F.col("path"), F.lit(1), below - 1), table)
-        listing = listing.groupBy(path.alias("path")).agg(
-            F.sum("length").alias("length"), F.max("modificationTime").alias("modificationTime"))
-    name = F.element_at(F.split("path", "/"), -1).alias("name")
-    listing = listing.select("path", name, "length", "modificationTime")
+    files, target = _located(spark, root)
+    found: dict[str, tuple[int, int]] = {}
+    if files.exists(target):
+        above = len(files.makeQualified(target).toString().rstrip("/")) + 1
+        listed = files.listFiles(target, True)
+        while listed.hasNext():
+            status = listed.next()
+            path = status.getPath().toString()
+            if extension:
+                if not path.endswith(extension):
+                    continue
+                parts = path[above:].split("/")
+                table = next(i for i, p in enumerate(parts) if p.endswith(extension))
+                path = path[:above] + "/".join(parts[:table + 1])
+            size, changed = found.get(path, (0, 0))
+            found[path] = (size + status.getLen(), max(changed, status.getModificationTime()))
+    rows = [(path, path.rsplit("/", 1)[-1], size, datetime.fromtimestamp(ms / 1000, timezone.utc))
+            for path, (size, ms) in sorted(found.items())]
+    listing = spark.createDataFrame(rows, LISTING)
     if name_pattern:
         listing = listing.where(F.col("name").rlike(f"(?i){name_pattern}"))
     return listing
 
 
-def _bare(root: str) -> str:
-    """The root without scheme, host and trailing slash, as it stands inside listed paths."""
-    return re.sub(r"^[A-Za-z0-9]+:(//[^/]*)?", "", root).rstrip("/")
-
-
 def directory_crawler(spark: SparkSession, dir_path: str, file_extension: str,
                       name_pattern: str | None = None) -> list[str]:
     """Sorted paths of matching files; a list of names, not of data."""
@@ -59,7 +65,8 @@ def directory_crawler(spark: SparkSession, dir_path: str, file_extension: str,
 def auto_prepare_merges(spark: SparkSession, folder_path: str, extension: str,
                         on_keys: list[str], how: str = "left", name_pattern: str | None = None,
                         exclude: list[str] = ()) -> list[dict]:
-    """Merge rules for every matching file of a folder; ``exclude`` leaves out paths by suffix."""
+    """Merge rules for every matching file of a folder; the files in ``exclude`` are left out."""
+    without = {qualified(spark, e) for e in exclude}
     return [{"file": p, "on": list(on_keys), "how": how, "collapse_duplicates": True}
             for p in directory_crawler(spark, folder_path, extension, name_pattern)
-            if not any(p.endswith(e) for e in exclude)]
+            if p not in without]

@@ -13,7 +13,10 @@ from tidyforge.functions.names import ref
 
 
 class _TableReader(HTMLParser):
-    """Collects ``(table number, row number, cells)``; nested tables count on their own."""
+    """Collects ``(table number, row number, cells)``; nested tables count on their own.
+
+    A cell that spans several columns or rows stands in each of them.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -23,7 +26,8 @@ class _TableReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.open.append({"number": self.tables, "rows": 0, "cells": None, "text": None})
+            self.open.append({"number": self.tables, "rows": 0, "cells": None, "text": None,
+                              "span": (1, 1), "below": {}})
             self.tables += 1
         elif self.open and tag == "tr":
             self._end_row()
@@ -33,6 +37,9 @@ class _TableReader(HTMLParser):
             if self.open[-1]["cells"] is None:
                 self.open[-1]["cells"] = []
             self.open[-1]["text"] = []
+            told = dict(attrs)
+            self.open[-1]["span"] = (_span(told.get("colspan"), 1000),
+                                     _span(told.get("rowspan"), 65534))
 
     def handle_endtag(self, tag):
         if not self.open:
@@ -52,12 +59,29 @@ class _TableReader(HTMLParser):
     def _end_cell(self):
         table = self.open[-1]
         if table["text"] is not None:
-            table["cells"].append(" ".join("".join(table["text"]).split()))
+            text = " ".join("".join(table["text"]).split())
+            columns, rows = table["span"]
+            self._from_above(table)
+            for _ in range(columns):
+                if rows > 1:
+                    table["below"][len(table["cells"])] = (text, rows)
+                table["cells"].append(text)
             table["text"] = None
 
+    @staticmethod
+    def _from_above(table):
+        """Cells of earlier rows that reach into the next columns of this one."""
+        while len(table["cells"]) in table["below"] and (
+                table["below"][len(table["cells"])][1] > 0):
+            table["cells"].append(table["below"][len(table["cells"])][0])
+
     def _end_row(self):
         table = self.open[-1]
         self._end_cell()
+        if table["cells"] is not None:
+            self._from_above(table)
+            table["below"] = {c: (text, left - 1) for c, (text, left) in table["below"].items()
+                              if left > 1}
         if table["cells"]:
             self.rows.append((table["number"], table["rows"], table["cells"]))
             table["rows"] += 1
@@ -71,6 +95,11 @@ class _TableReader(HTMLParser):
         return self.rows
 
 
+def _span(value: str | None, most: int) -> int:
+    """A span attribute within the bounds of the HTML standard; 1 if it is no number."""
+    return min(max(int(value), 1), most) if value and value.strip().isdigit() else 1
+
+
 def table_rows(page: str) -> list[tuple[int, int, list[str]]]:
     reader = _TableReader()
     reader.feed(page)

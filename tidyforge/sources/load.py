@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 import posixpath
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,33 +62,90 @@ def infer_types(df: DataFrame, na_tokens: list[str]) -> DataFrame:
     return replace_columns(df, typed)
 
 
+def has_open_quotes(spark: SparkSession, path, quote: str = '"') -> bool:
+    """Whether any line has an odd number of quotes, so that a record goes on after it."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit(quote), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).select(F.lit(1)).isEmpty()
+
+
 def read_csv(spark: SparkSession, path, schema: str | None = None, na_tokens: list[str] | None = None,
-             infer: bool = True, **options) -> DataFrame:
-    """CSV with header and doubled quotes.  Without a schema types are inferred."""
+             infer: bool = True, multi_line: bool | None = None, **options) -> DataFrame:
+    """CSV with header and doubled quotes.  Without a schema types are inferred.
+
+    ``multi_line`` says that records may hold line breaks inside quotes; such files are read
+    by one task each.  By default one look at the lines finds out.  A record with too many or
+    too few fields is an error, and so is a cell that a given schema cannot take; both are
+    found when the table is loaded, unless ``infer`` is off.
+    """
     tokens = NA_TOKENS if na_tokens is None else na_tokens
-    settings = {"header": True, "escape": '"', "enforceSchema": False, **options}
+    if multi_line is None:
+        multi_line = has_open_quotes(spark, path, options.get("quote", '"'))
+    settings = {"header": True, "escape": '"', "enforceSchema": False, "mode": "FAILFAST",
+                "multiLine": multi_line, **options}
     text = spark.read.options(**settings)
     if schema is None:
         raw = text.csv(path)
         if infer:
-            return infer_types(raw, tokens)
+            with _malformed(path):
+                return infer_types(raw, tokens)
         return replace_columns(raw, {c: token_as_null(ref(c), tokens) for c in raw.columns})
     # Tokens are mapped on text, then cast, because the reader knows only one token.
     wanted = spark.createDataFrame([], schema).schema
     raw = text.schema(", ".join(f"{quoted(f.name)} string" for f in wanted)).csv(path)
-    return raw.select(*[token_as_null(ref(f.name), tokens).try_cast(f.dataType).alias(f.name)
-                        for f in wanted])
+    cells = {f.name: token_as_null(ref(f.name), tokens) for f in wanted}
+    with _malformed(path):
+        row = counts(raw, {f"lost_{i}": cells[f.name].isNotNull() & cells[f.name].try_cast(
+            f.dataType).isNull() for i, f in enumerate(wanted)}).first()
+    lost = {f.name: row[f"lost_{i}"] for i, f in enumerate(wanted) if row[f"lost_{i}"]}
+    if lost:
+        raise ValueError(f"cells that the schema cannot take, by column: {lost}")
+    return raw.select(*[cells[f.name].try_cast(f.dataType).alias(f.name) for f in wanted])
+
+
+@contextmanager
+def _malformed(path):
+    """Name the file set when a record does not have the fields of the header."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        if "MALFORMED" not in str(error):
+            raise
+        raise ValueError(f"a record of {path} does not have as many fields as the header") from error
 
 
-def read_json(spark: SparkSession, path, lines: bool = False, orient: str | None = None,
-              schema: str | None = None, **options) -> DataFrame:
-    """JSON: an array of records, one record per line, or another orientation.
+def json_in_lines(spark: SparkSession, path) -> bool:
+    """Whether files hold one record per line, by their first line that is not blank.
 
-    An array is read whole by one task per file; prefer lines for large files.
+    Otherwise a file is one array, or one record over several lines.  Files of both kinds
+    together are an error, since either way of reading would lose rows.
+    """
+    line = F.trim(F.col("value"))
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.substring(line, 1, 1).alias("first"),
+        F.substring(line, -1, 1).alias("last"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"))
+    shapes = lines.where("first <> ''").groupBy("file").agg(
+        F.min_by(F.concat("first", "last"), "place").alias("ends"), F.count("*").alias("n"))
+    whole = F.col("ends").isin("[]", "{}")
+    kinds = shapes.select(F.when(F.col("ends") == "[]", F.col("n") > 1).otherwise(whole).alias(
+        "lines")).distinct().collect()
+    if len(kinds) > 1:
+        raise ValueError(f"{path} holds files with a record per line and others")
+    return bool(kinds) and kinds[0]["lines"]
+
+
+def read_json(spark: SparkSession, path, lines: bool | None = None, schema: str | None = None,
+              **options) -> DataFrame:
+    """JSON: one record per line, or an array of records.
+
+    Which of them is found out; ``lines`` that does not fit is an error, and so is a record
+    that is no JSON.  An array is read whole by one task per file; prefer lines for large files.
     """
-    if orient not in (None, "records"):
-        return decode_files(spark, path, "json", schema, orient=orient, **options)
-    reader = spark.read.options(multiLine=not lines, **options)
+    found = json_in_lines(spark, path)
+    if lines is not None and lines != found:
+        raise ValueError(f"{path} {'has' if found else 'does not have'} one record per line")
+    reader = spark.read.options(**{"multiLine": not found, "mode": "FAILFAST", **options})
     return (reader.schema(schema) if schema else reader).json(path)
 
 
@@ -142,6 +201,8 @@ def load(spark: SparkSession, source: str, format: str | None = None, source_ord
     kind = extension_of(source) if format is None else "." + format.lstrip(".").lower()
     if kind not in READERS and kind not in DECODERS:
         raise ValueError(f"unsupported file format: {kind!r}")
+    if posixpath.basename(source.rstrip("/")).startswith(("_", ".")):
+        raise ValueError(f"Spark does not read files whose name starts with _ or a dot: {source}")
     try:
         if kind in DECODERS:
             df = decode_files(spark, source, kind, **options)

@@ -13,7 +13,9 @@ def save_output(df: DataFrame, output_file: str = "processed_output.csv", format
     all rows through one task and is meant for small results only.
     """
     if format == "csv":
-        options = {"header": True, "escape": '"', **options}
+        # The writer would trim the ends of text.
+        options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+                   "ignoreTrailingWhiteSpace": False, **options}
         if not output_file.endswith(".csv"):
             output_file += ".csv"
     out = df.coalesce(1) if single_file else df
