@@ -1,28 +1,32 @@
 """Merges of supplemental tables."""
 
+from pyspark.sql import functions as F
+
 from catalog.registry import query
 from tidyforge.operators.merge import merge, resolve_collisions
 from tidyforge.plans.prepare import merge_datasets
 
-# Keys arrive as doubles on one side and as padded text with ".0" on the other.
-ORDERS = "SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS custkey, o_totalprice FROM orders"
-CUSTOMERS = """SELECT concat(' ', CAST(c_custkey AS VARCHAR(20)), '.0 ') AS custkey, c_name, c_mktsegment
-    FROM customer WHERE c_custkey % 5 <> 0"""
+# Keys arrive as doubles on one side and as padded text with ".0" on the other.  Every fifth
+# customer, and where needed every fourth customer's orders, get a key of their own, so that
+# either side has rows without a partner.
+RENAMED = "CASE WHEN {0} % {1} = 0 THEN -{0} ELSE {0} END"
+CUSTOMER_KEY = RENAMED.format("c_custkey", 5)
+ORDER_KEY = RENAMED.format("o_custkey", 4)
 
 
-def order_rows(t):
-    return t.orders.selectExpr("o_orderkey", "CAST(o_custkey AS DOUBLE) AS custkey", "o_totalprice")
+def order_rows(t, key="o_custkey"):
+    return t.orders.selectExpr("o_orderkey", f"CAST({key} AS DOUBLE) AS custkey", "o_totalprice")
 
 
 def customer_rows(t):
-    return t.customer.where("c_custkey % 5 <> 0").selectExpr(
-        "concat(' ', CAST(c_custkey AS STRING), '.0 ') AS custkey", "c_name", "c_mktsegment")
+    return t.customer.selectExpr(
+        f"concat(' ', CAST({CUSTOMER_KEY} AS STRING), '.0 ') AS custkey", "c_name", "c_mktsegment")
 
 
-def key_join(kind):
+def key_join(kind, key="o_custkey"):
     return f"""
-WITH o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS custkey, o_totalprice FROM orders),
-c AS (SELECT CAST(c_custkey AS VARCHAR) AS custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 5 <> 0)
+WITH o AS (SELECT o_orderkey, CAST({key} AS VARCHAR) AS custkey, o_totalprice FROM orders),
+c AS (SELECT CAST({CUSTOMER_KEY} AS VARCHAR) AS custkey, c_name, c_mktsegment FROM customer)
 SELECT o_orderkey, coalesce(o.custkey, c.custkey) AS custkey, o_totalprice, c_name, c_mktsegment
 FROM o {kind} JOIN c ON o.custkey IS NOT DISTINCT FROM c.custkey"""
 
@@ -37,18 +41,33 @@ def merge_inner(t):
     return merge(order_rows(t), customer_rows(t), ["custkey"], "inner")
 
 
-# Orders of some customers are left out so that the right side has unmatched rows.
-FEWER = "o_custkey % 4 <> 0"
-
-
-@query(key_join("RIGHT").replace("FROM orders)", f"FROM orders WHERE {FEWER})"))
+@query(key_join("RIGHT", ORDER_KEY))
 def merge_right(t):
-    return merge(order_rows(t).where("custkey % 4 <> 0"), customer_rows(t), ["custkey"], "right")
+    return merge(order_rows(t, ORDER_KEY), customer_rows(t), ["custkey"], "right")
 
 
-@query(key_join("FULL").replace("FROM orders)", f"FROM orders WHERE {FEWER})"))
+@query(key_join("FULL", ORDER_KEY))
 def merge_outer(t):
-    return merge(order_rows(t).where("custkey % 4 <> 0"), customer_rows(t), ["custkey"], "outer")
+    return merge(order_rows(t, ORDER_KEY), customer_rows(t), ["custkey"], "outer")
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+def merge_missing_key(t):
+    """A rule whose key is on one side only leaves the base as it is when told to skip."""
+    base = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    return merge(base, t.customer, ["o_custkey"], on_missing_key="skip")
+
+
+@query(f"""
+WITH c AS (SELECT CAST(c_custkey AS VARCHAR) AS custkey, c_acctbal FROM customer)
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS custkey, c_acctbal
+FROM orders LEFT JOIN c ON CAST(o_custkey AS VARCHAR) = c.custkey""")
+def merge_own_key_scrubber(t):
+    """Keys written ``C-<number>`` meet plain numbers through a scrubber of the caller."""
+    base = t.orders.selectExpr("o_orderkey", "concat('C-', o_custkey) AS custkey")
+    new = t.customer.selectExpr("CAST(c_custkey AS STRING) AS custkey", "c_acctbal")
+    return merge(base, new, ["custkey"],
+                 key_scrubber=lambda text: F.regexp_replace(text, "^C-", ""))
 
 
 @query("""

@@ -190,3 +190,15 @@ def format_scaled_dummies(t):
     out = format_for_ml(t.orders.select("o_orderkey", "o_orderstatus"), exclude_scale_cols=["o_orderkey"],
                         scale_dummies=True)
     return out.select("o_orderkey", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
+
+
+@query("""
+SELECT p_partkey, p_size, p_retailprice, CASE WHEN p_size > 20 THEN 1 ELSE 0 END AS p_size_binarized,
+    p_size * p_retailprice AS worth FROM part""")
+def feature_aliases(t):
+    """Feature steps under the short names of tools and arguments."""
+    steps = [{"op": "binarize", "col": "p_size", "threshold": 20},
+             {"tool": "custom_logic", "new_column_name": "worth",
+              "custom_func": lambda row: row["p_size"] * row["p_retailprice"]}]
+    df = t.part.select("p_partkey", "p_size", "p_retailprice")
+    return FeatureEngineer(steps).fit(df).transform(df)

@@ -1,9 +1,13 @@
 """Duplicates, units, missing values."""
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
 from catalog.registry import query
-from tidyforge.operators.dedupe import deduplicate
+from tidyforge.operators.dedupe import deduplicate, sort_rows
 from tidyforge.operators.impute import MissingValueImputer, impute_missing, missingness_report
 from tidyforge.operators.units import normalize_units, unconverted_units
+from tidyforge.session import materialize
 
 EVENTS = ("event_id, user_id, event_type, value, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS ts")
 
@@ -177,3 +181,35 @@ def impute_chain(t):
         {"cols": ["l_quantity"], "method": "median"}])
     return out.selectExpr("l_orderkey", "l_linenumber", ROUND.format("l_discount"), "l_returnflag",
                           "l_quantity", "l_extendedprice")
+
+
+TEXT_VALUE = """CASE WHEN event_id % 7 = 0 THEN '<5' WHEN event_id % 11 = 0 THEN NULL
+    ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR(30)) END"""
+TEXT_UNIT = "CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN ' g ' ELSE 'odd' END"
+
+
+@query(f"""
+WITH e AS (SELECT event_id, {TEXT_VALUE} AS value, {TEXT_UNIT} AS unit FROM events)
+SELECT event_id, CASE WHEN unit = ' g ' AND value <> '<5' THEN CAST(CAST(value AS BIGINT) * 1000 AS VARCHAR) || '.0'
+    ELSE value END AS value,
+    CASE WHEN unit = ' g ' AND (value IS NULL OR value <> '<5') THEN 'mg' ELSE unit END AS unit FROM e""")
+def unit_text_values(t):
+    """Measurements kept as text: only cells that are numbers are converted."""
+    df = t.events.selectExpr("event_id", f"{TEXT_VALUE} AS value", f"{TEXT_UNIT} AS unit")
+    return normalize_units(df, [{"value_col": "value", "unit_col": "unit", "canonical": "mg",
+                                 "conversions": {"g": 1000}}])
+
+
+@query("""
+SELECT event_id, user_id, value, row_number() OVER (
+    ORDER BY value DESC NULLS LAST, event_id DESC NULLS LAST) AS place FROM (
+    SELECT event_id, user_id, CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value FROM events)""")
+def sorted_rows(t):
+    """Rows sorted downwards with missing values last; their place shows the order."""
+    df = t.events.selectExpr("event_id", "user_id",
+                             "CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value")
+    ordered = sort_rows(df, ["value", "event_id"], ascending=False)
+    # Sorted output is in the order of its tasks and their rows.
+    numbered = materialize(ordered.withColumn("at", F.monotonically_increasing_id()), "sorted")
+    return numbered.select("event_id", "user_id", "value", F.row_number().over(
+        Window.orderBy("at")).alias("place"))

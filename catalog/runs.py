@@ -5,13 +5,15 @@ from functools import reduce
 
 import pyarrow as pa
 import pyarrow.feather as feather
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, NaiveBayes
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from catalog.texts import UNICODE_WHITE
 from tidyforge.operators.dedupe import deduplicate
+from tidyforge.operators.merge import merge
 from tidyforge.operators.tune import FOLD, assign_folds, hyper_parameter_tuner
 from tidyforge.plans.prepare import (merge_datasets, parameter_template, process_data,
                                      process_data_from_config)
@@ -47,10 +49,43 @@ def csv_with_schema(t):
 def json_scan(t):
     path = shared_path(t.spark, "customer") + ".json"
     t.customer.select("c_custkey", "c_name", "c_nationkey", "c_acctbal").write.json(path)
-    df = load(t.spark, path, lines=True)
+    df = load(t.spark, path)
     return df.withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
 
 
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_array_scan(t):
+    """Files that hold one array of records each."""
+    path = shared_path(t.spark, "arrays") + ".json"
+    record = F.struct("c_custkey", "c_name", "c_acctbal")
+    arrays = t.customer.groupBy(F.expr("c_custkey div 100 AS part")).agg(
+        F.to_json(F.collect_list(record)).alias("value"))
+    arrays.write.partitionBy("part").text(path)
+    return load(t.spark, path, schema="c_custkey bigint, c_name string, c_acctbal double").select(
+        "c_custkey", "c_name", "c_acctbal")
+
+
+@query("""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS c_custkey, lower(c_name) AS c_name, c_acctbal
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+def json_merge(t):
+    """A JSON file as merge input, with its rows in file order."""
+    path = shared_path(t.spark, "customer") + ".json"
+    t.customer.select("c_custkey", "c_name", "c_acctbal").write.json(path)
+    base = t.orders.selectExpr("o_orderkey", "o_custkey AS c_custkey")
+    return merge_datasets(base, [{"file": path, "on": ["c_custkey"]}])
+
+
+@query("""
+SELECT doc_id, concat('  "', text, '" , ', lang, chr(10), source, ' ') AS text, n_chars FROM documents""")
+def csv_documents_roundtrip(t):
+    """Whole texts with line breaks, quotes and blanks at their ends, written and read again."""
+    path = shared_path(t.spark, "documents") + ".csv"
+    dirty = F.concat(F.lit('  "'), "text", F.lit('" , '), "lang", F.lit("\n"), "source", F.lit(" "))
+    save_output(t.documents.select("doc_id", dirty.alias("text"), "n_chars"), path)
+    return load(t.spark, path, schema="doc_id bigint, text string, n_chars bigint", na_tokens=[])
+
+
 @query("SELECT * FROM supplier")
 def parquet_scan(t):
     return load_data(t.spark, t.path("supplier"))
@@ -127,9 +162,20 @@ def html_tables(t):
                         F.col("cells")[1].alias("second"))
 
 
+@query("""
+SELECT page_id AS page, 0 AS table_no, 0 AS row_no, concat_ws('|', 'id', url, url) AS cells FROM pages
+UNION ALL SELECT page_id, 0, 1, 'id|x|y' FROM pages""")
+def html_spans(t):
+    """Cells that span rows and columns stand in each of them."""
+    table = F.concat(F.lit("<table><tr><th rowspan='2'>id<td colspan=2>"), F.col("url"),
+                     F.lit("<tr><td>x<td>y</table>"), F.col("html"))
+    found = extract_html_tables(t.pages.select("page_id", table.alias("html")), "page_id", "html")
+    return found.select("page", "table_no", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
 @query("""
 WITH o AS (SELECT o_custkey, o_orderkey FROM orders), m AS (SELECT o_custkey, o_orderkey, c_name
-    FROM o JOIN (SELECT * FROM customer WHERE c_custkey % 5 <> 0) ON o_custkey = c_custkey)
+    FROM o JOIN customer ON o_custkey = CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE c_custkey END)
 SELECT 'load' AS stage, 'rows' AS metric, count(*) AS value FROM o
 UNION ALL SELECT 'merge', 'rows', count(*) FROM m
 UNION ALL SELECT 'merge', 'customers', count(DISTINCT o_custkey) FROM m
@@ -137,7 +183,8 @@ UNION ALL SELECT 'deduplicate', 'rows', count(DISTINCT o_custkey) FROM m""")
 def stage_report(t):
     report = StageReport()
     df = report.watch(t.orders.selectExpr("o_custkey AS k", "o_orderkey"), "load")
-    new = t.customer.where("c_custkey % 5 <> 0").selectExpr("c_custkey AS k", "c_name")
+    new = t.customer.selectExpr("CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE c_custkey END AS k",
+                                "c_name")
     df = merge_datasets(df, [{"file": new, "on": ["k"], "how": "inner"}])
     df = report.watch(df, "merge", customers=F.count_distinct("k"))
     report.watch(deduplicate(df, ["k"], "last", ["o_orderkey"]), "deduplicate")
@@ -199,13 +246,13 @@ def prepare_end_to_end(t):
     events = t.events.selectExpr(
         "event_id AS ID", "user_id", "event_type", f"{RUN_UNIT} AS unit",
         "CASE WHEN event_id % 10 = 0 THEN NULL ELSE value END AS value",
-        "CASE WHEN event_id % 10 < 6 THEN NULL ELSE value END AS mostly_missing", "props")
+        "CASE WHEN event_id % 20 <> 0 THEN NULL ELSE value END AS mostly_missing", "props")
     # A duplicate of every seventh row, to be removed again.
     twice = events.unionByName(events.where("ID % 7 = 0"))
     customers = t.customer.selectExpr("c_custkey AS user_id", "c_acctbal", "c_mktsegment")
     config = parameter_template() | {
         "primary_file": twice, "output_file": shared_path(t.spark, "prepared_events"),
-        "drop_columns": ["props"], "dedupe_subset": ["ID"], "drop_threshold": None,
+        "drop_columns": ["props"], "dedupe_subset": ["ID"], "drop_threshold": 92.0,
         "merge_configs": [{"file": customers, "on": ["user_id"], "filters": {"c_mktsegment": "MACHINERY"}}],
         "lab_configs": [{"value_col": "value", "unit_col": "unit", "canonical": "mg",
                          "conversions": {"G": 1000}}],
@@ -215,10 +262,37 @@ def prepare_end_to_end(t):
                           {"tool": "quantile_binning", "column": "value", "q": 4, "codes": True,
                            "new_column_name": "quarter"}],
         "scale_method": "robust",
-        "exclude_scale_cols": ["c_acctbal", "quarter", "mostly_missing"]}
+        "exclude_scale_cols": ["c_acctbal", "quarter"]}
     out = process_data_from_config(t.spark, config)
-    kept = [c for c in out.columns if c not in ("mostly_missing",) and not c.startswith("c_mktsegment")]
-    return out.select(*[F.round(c, 6).alias(c) if c in ("value", "value_log") else F.col(c) for c in kept])
+    return out.select(*[F.round(c, 6).alias(c) if c in ("value", "value_log") else F.col(c)
+                        for c in out.columns])
+
+
+@query(f"""
+WITH d AS (SELECT doc_id, lower(trim(regexp_replace(text, '{UNICODE_WHITE}', ' ', 'g'), ' ')) AS text,
+    lower(lang) AS lang FROM documents)
+SELECT doc_id, concat_ws('|', CASE WHEN text <> (SELECT min(text) FROM d) THEN 'text_' || text END,
+    CASE WHEN lang <> (SELECT min(lang) FROM d) THEN 'lang_' || lang END) AS active FROM d""")
+def prepare_free_text(t):
+    """A run with the default options over free text, encoded sparsely."""
+    out = process_data(t.spark, t.documents.selectExpr("doc_id", "text", "lang"), encoding="sparse",
+                       exclude_scale_cols=["doc_id"])
+    return out.select("doc_id", F.array_join("active_dummies", "|").alias("active"))
+
+
+@query("""
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS k, upper(c_name) AS c_name
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""")
+def replaced_stages(t):
+    """A merge run with the caller's own loader and merge function."""
+    def loader(spark, source, **_):
+        return getattr(t, source).selectExpr("c_custkey AS k", "c_name")
+
+    def merger(base, new, **settings):
+        return merge(base, new.withColumn("c_name", F.upper("c_name")), **settings)
+
+    base = t.orders.selectExpr("o_orderkey", "o_custkey AS k")
+    return merge_datasets(base, [{"file": "customer", "on": ["k"]}], loader=loader, merger=merger)
 
 
 # ---------------------------------------------------------------- tuning
@@ -239,21 +313,59 @@ def cv_folds(t):
     return folds.groupBy("done", F.col(FOLD).alias("fold")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+def stump_scores(folds, by_chance, rows):
+    """Scores of trees without and with one split on a feature that equals the label.
+
+    Without a split every row gets the more frequent label.  The rows of each label are
+    dealt to the folds in turn, which gives the rows of a fold.
+    """
+    return f"""
+WITH n AS (SELECT CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END AS y FROM orders),
+r AS (SELECT y, (row_number() OVER (PARTITION BY y) - 1) % {folds} AS fold FROM n),
+f AS (SELECT fold, sum(y)::DOUBLE AS ones, count(*)::DOUBLE AS n FROM r GROUP BY fold),
+w AS (SELECT sum(y) * 2 > count(*) AS ones_lead FROM n),
+s AS (SELECT avg({by_chance}) AS chance FROM f, w),
+k AS (SELECT unnest(['gini', 'entropy']) AS impurity)
+{rows}"""
+
+
+BY_CHANCE = "CASE WHEN ones_lead THEN ones / n ELSE 1 - ones / n END"
+F1_BY_CHANCE = "CASE WHEN ones_lead THEN 2 * ones / (n + ones) ELSE 0 END"
+GRID_ROWS = """SELECT 0 AS candidate, $${'maxDepth': 0}$$ AS params, round(chance, 9) AS avg_metric FROM s
+UNION ALL SELECT 1, $${'maxDepth': 1}$$, 1.0"""
+DRAWN_ROWS = """SELECT $${'maxDepth': 0, 'impurity': '$$ || impurity || $$'}$$ AS params,
+    round(chance, 9) AS avg_metric FROM s, k
+UNION ALL SELECT $${'maxDepth': 1, 'impurity': '$$ || impurity || $$'}$$, 1.0 FROM k"""
+
+
+def open_orders(t):
+    return t.orders.selectExpr("o_orderkey", "CASE WHEN o_orderstatus <> 'F' THEN 1.0D ELSE 0.0D END AS y",
+                               "CASE WHEN o_orderstatus <> 'F' THEN 7 ELSE 2 END AS x")
+
+
+def tree_search(t, space, **settings):
+    tuner = hyper_parameter_tuner(DecisionTreeClassifier(), space, open_orders(t), "y", ["x"],
+                                  order_by=["o_orderkey"], **settings)
+    return tuner.result.results.withColumn("avg_metric", F.round("avg_metric", 9))
+
+
+@query(stump_scores(3, BY_CHANCE, GRID_ROWS))
 def cv_grid(t):
     """Mean accuracy of each grid point."""
-    tuner = hyper_parameter_tuner(LogisticRegression(maxIter=5), {"regParam": [0.0, 0.5]}, labelled(t),
-                                  "done", ["price", "month"], method="grid", cv=3, order_by=["o_orderkey"])
-    return tuner.result.results
+    return tree_search(t, {"maxDepth": [0, 1]}, method="grid", cv=3)
 
 
-@query()
+@query(stump_scores(4, F1_BY_CHANCE, GRID_ROWS))
+def cv_f1(t):
+    """Mean F1 of label 1."""
+    return tree_search(t, {"maxDepth": [0, 1]}, method="grid", cv=4, scoring="f1")
+
+
+@query(stump_scores(3, BY_CHANCE, DRAWN_ROWS))
 def cv_random(t):
-    """Mean R² of three drawn points."""
-    tuner = hyper_parameter_tuner(
-        LinearRegression(maxIter=5), {"regParam": [0.0, 0.1, 1.0], "elasticNetParam": [0.0, 1.0]},
-        labelled(t), "price", ["month", "done"], n_iter=3, cv=3, order_by=["o_orderkey"])
-    return tuner.result.results
+    """Mean accuracy of four drawn points, which are all there are."""
+    space = {"maxDepth": [0, 1], "impurity": ["gini", "entropy"]}
+    return tree_search(t, space, n_iter=4, cv=3).drop("candidate")
 
 
 @query("""
@@ -267,11 +379,20 @@ def cv_predict(t):
     return tuner.predict(df).select("o_orderkey", F.round("prediction", 6).alias("prediction"))
 
 
-@query()
+@query("""
+WITH n AS (SELECT o_orderkey, o_orderstatus <> 'F' AS y, (o_totalprice > 150000)::INT AS a,
+    (o_orderkey % 3 = 0)::INT AS b FROM orders),
+c AS (SELECT y, count(*)::DOUBLE AS n, sum(a)::DOUBLE AS a, sum(b)::DOUBLE AS b FROM n GROUP BY y),
+p AS (SELECT o_orderkey, c.y, (c.n + 1) * (CASE WHEN n.a = 1 THEN c.a + 1 ELSE c.n - c.a + 1 END) / (c.n + 2)
+    * (CASE WHEN n.b = 1 THEN c.b + 1 ELSE c.n - c.b + 1 END) / (c.n + 2) AS joint FROM n, c)
+SELECT o_orderkey, round(sum(CASE WHEN y THEN joint ELSE 0 END) / sum(joint), 6) AS p_open
+FROM p GROUP BY o_orderkey""")
 def cv_probabilities(t):
-    """Class probabilities of the best classifier for every row."""
-    df = labelled(t)
-    tuner = hyper_parameter_tuner(LogisticRegression(maxIter=5), {"regParam": [0.01]}, df, "done",
-                                  ["price", "month"], method="grid", cv=2, order_by=["o_orderkey"])
+    """Class probabilities of the best classifier, refitted on all rows, for every row."""
+    df = t.orders.selectExpr(
+        "o_orderkey", "CASE WHEN o_orderstatus <> 'F' THEN 1.0D ELSE 0.0D END AS y",
+        "CAST(o_totalprice > 150000 AS DOUBLE) AS a", "CAST(o_orderkey % 3 = 0 AS DOUBLE) AS b")
+    tuner = hyper_parameter_tuner(NaiveBayes(modelType="bernoulli"), {"smoothing": [1.0]}, df, "y",
+                                  ["a", "b"], method="grid", cv=2, order_by=["o_orderkey"])
     scored = tuner.predict_proba(df)
-    return scored.select("o_orderkey", F.round(F.col("probability")[1], 6).alias("p_done"))
+    return scored.select("o_orderkey", F.round(F.col("probability")[1], 6).alias("p_open"))

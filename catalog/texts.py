@@ -167,3 +167,14 @@ def clean_strings_some(t):
     df = t.part.select("p_partkey", "p_brand", "p_name")
     df = clean_strings(df, ["p_name", "not_there"], {"lowercase": True})
     return clean_strings(df, ["p_brand"], {"custom_removal": "rand"})
+
+
+@query(r"""
+SELECT p_partkey, regexp_replace(p_type, '^(\w+) (.*)$', '\2, \1') AS p_type,
+    CASE WHEN regexp_matches(p_name, 'aa|ee|oo') THEN 'double' ELSE 'plain' END AS name_kind FROM part""")
+def regex_groups(t):
+    """Named groups and references to them, as Python writes them."""
+    df = t.part.select("p_partkey", "p_type", "p_name")
+    df = map_categories_regex(df, "p_type", {r"^(?P<first_word>\w+) (?P<rest>.*)$": r"\g<rest>, \g<first_word>"})
+    df = map_categories_regex(df, "p_name", {r".*(?P<one_vowel>[aeo])(?P=one_vowel).*": "double"}, "plain", "name_kind")
+    return df.drop("p_name")
