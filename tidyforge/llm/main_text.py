@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SAMPLE = 2000                # labelled pages the weights are learned from, about
+WITHIN = 0.02                # share of a negative score that counts inside a content element
+PAST_CONTENT = 50.0          # what it costs to go past the end of one
 KEYS = 5000                  # elements that get a weight of their own, the most frequent ones
 
 # Names from the HTML standard (fixed values).
@@ -174,20 +176,24 @@ def main_text(page: str, scanner: Scanner) -> str:
 
     A word scores the weight of its element, which is positive where labelled pages have
     article text; a tag scores a little below zero, and as much below as its element's weight.
-    A linear scan keeps the region with the highest sum (the earliest of equal ones).  Words of a
-    negative weight inside the region, such as a form between paragraphs, are left out.
+    Inside a labelled content element negative scores count little, so that a form between two
+    paragraphs does not part them, and the end of that element counts much.  A linear scan keeps
+    the region with the highest sum (the earliest of equal ones).  Words of a negative weight
+    inside the region are left out.
     """
     tokens: list = []                       # (score, text or None for the end of a block)
     for kind, value, stack in scanner.tokens(page):
         weight = stack[-1][2] if stack else 1.0
+        loss = min(0.0, weight)
+        if loss and any(e[0] in CONTENT for e in stack):
+            loss *= WITHIN
         if kind == "text":
             words = len(value.split())
-            tokens.append(((1.0 if weight > 0 else weight) * words,
-                           value if weight > 0 else ""))
+            tokens.append(((1.0 if weight > 0 else loss) * words, value if weight > 0 else ""))
         else:
-            score = -0.01 + min(0.0, weight)
+            score = -0.01 + loss
             if kind == "close" and value in CONTENT:
-                score -= 50.0
+                score -= PAST_CONTENT
             tokens.append((score, None if value in BLOCK else " " if value == "br" else ""))
     best = total = 0.0
     start = first = last = 0

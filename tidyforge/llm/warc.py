@@ -27,6 +27,7 @@ DATE = "2024-01-01T00:00:00Z"
 # Constants of the two formats (fixed values).
 _DICTIONARY_FRAME = 0x184D2A5D
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+_READ = 1 << 15              # bytes of an archive read at once
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -146,7 +147,7 @@ def _frames(rest: list, records: Iterator[dict], dictionary: bytes, date: str,
             told: dict) -> Iterator[bytes]:
     """Frames of one file; ``rest`` has its first record and gets the next file's, if any."""
     yield struct.pack("<II", _DICTIONARY_FRAME, len(dictionary)) + dictionary
-    packer = zstandard.ZstdCompressor(level=3, dict_data=_usable(dictionary))
+    packer = zstandard.ZstdCompressor(level=3, dict_data=_usable(dictionary), write_checksum=True)
     row = rest.pop()
     while row is not None:
         frame = packer.compress(record(row["kind"], row["page_id"], row["url"], row["payload"],
@@ -165,37 +166,28 @@ def _usable(dictionary: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def read_file(path: str) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of an archive file."""
+    """Headers (names in lower case) and block of each record of an archive file.
+
+    One frame is read at a time; a file that ends inside a frame is an error.
+    """
     with open_file(path) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != _DICTIONARY_FRAME:
             raise ValueError(f"{path} does not start with a dictionary")
         unpacker = zstandard.ZstdDecompressor(dict_data=_usable(source.read(size)))
-        with unpacker.stream_reader(source, read_across_frames=True, read_size=1 << 20) as stream:
-            held = b""
-            while True:
-                while b"\r\n\r\n" not in held:
-                    more = stream.read(1 << 16)
-                    if not more:
-                        if held.strip():
-                            raise ValueError(f"{path} ends inside a record")
-                        return
-                    held += more
-                head, held = held.split(b"\r\n\r\n", 1)
-                lines = head.decode().split("\r\n")
-                headers = dict((k.lower(), v.strip()) for k, v in (
-                    line.split(":", 1) for line in lines[1:]))
-                size = int(headers["content-length"])
-                parts, have = [held], len(held)
-                while have < size + 4:
-                    more = stream.read(max(1 << 16, size + 4 - have))
-                    if not more:
-                        raise ValueError(f"{path} ends inside a record")
-                    parts.append(more)
-                    have += len(more)
-                held = b"".join(parts)
-                yield headers, held[:size]
-                held = held[size + 4:]
+        held = source.read(_READ)
+        while held:
+            frame, parts = unpacker.decompressobj(), []
+            while not frame.eof:
+                if not held:
+                    raise ValueError(f"{path} ends inside a record")
+                parts.append(frame.decompress(held))
+                held = frame.unused_data if frame.eof else source.read(_READ)
+            held = held or source.read(_READ)
+            head, block = b"".join(parts).split(b"\r\n\r\n", 1)
+            headers = dict((k.lower(), v.strip()) for k, v in (
+                line.split(":", 1) for line in head.decode().split("\r\n")[1:]))
+            yield headers, block[:int(headers["content-length"])]
 
 
 def read_archives(files: DataFrame) -> DataFrame:
