@@ -183,8 +183,8 @@ def test_one_hot_on_other_data_and_limits(spark):
     assert sorted(tuple(r) for r in model.transform(other).collect()) == [(0, 0), (0, 1)]
     with pytest.raises(ValueError, match="too many"):
         OneHotEncoder(["t"], max_categories=1).fit(df)
-    with pytest.raises(ValueError, match="share a name"):
-        encode_categorical(spark.createDataFrame([("x",), ("X",)], "t string"), ["t"], False)
+    both = encode_categorical(spark.createDataFrame([("x",), ("X",)], "t string"), ["t"], False)
+    assert both.columns == ["t_X_0", "t_x_1"]
 
 
 def test_sparse_form_agrees_with_columns(spark):
@@ -280,3 +280,62 @@ def test_units(spark, rows):
     assert normalize_units(lowered, GLUCOSE, F.lower).where("u = 'mg/dL'").count() == 3
     assert normalize_units(df, None) is df
     assert unconverted_units(df, []).count() == 0
+
+
+def test_saved_pipeline_gives_the_same_rows(spark, tmp_path):
+    from pyspark.ml import Pipeline, PipelineModel
+    from tidyforge.operators.clean import TableCleaner
+    from tidyforge.operators.features import FeatureEngineer
+    from tidyforge.operators.format import ModelFormatter
+    from tidyforge.operators.impute import MissingValueImputer
+
+    df = spark.createDataFrame(
+        [(1, 2.0, " A ", 5.0), (2, None, "b", 7.0), (3, 4.5, None, 1.0), (4, 8.0, "B", None)] * 3,
+        "ID int, v double, t string, w double")
+    for encoding in ("columns", "sparse"):
+        pipeline = Pipeline(stages=[
+            TableCleaner(string_columns=["t"], string_options={"lowercase": True, "strip_whitespace": True},
+                         category_mappings=[{"column": "t", "regex_mapping": {"^a$": "first"}}]),
+            MissingValueImputer(["v"], "median"), MissingValueImputer(["t"], "mode"),
+            MissingValueImputer(["w"], "constant", constant_val=0),
+            FeatureEngineer([{"tool": "quantile_binning", "column": "v", "q": 2, "codes": True},
+                             {"tool": "binarize", "column": "w", "threshold": 3}]),
+            ModelFormatter(scale_method="robust", encoding=encoding)])
+        path = str(tmp_path / encoding)
+        pipeline.write().save(path + "-stages")
+        model = Pipeline.load(path + "-stages").fit(df)
+        model.write().save(path)
+        want, got = pipeline.fit(df).transform(df), PipelineModel.load(path).transform(df)
+        assert got.columns == want.columns == model.transform(df).columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_functions_cannot_be_saved(spark, tmp_path):
+    from tidyforge.operators.features import FeatureEngineer
+    step = {"tool": "custom_row_logic", "new_column_name": "x", "func": lambda row: row["v"], "uses": ["v"]}
+    model = FeatureEngineer([step]).fit(spark.range(2).withColumnRenamed("id", "v"))
+    assert model.transform(spark.range(2).withColumnRenamed("id", "v")).columns == ["v", "x"]
+    with pytest.raises(ValueError, match="functions"):
+        model.write().save(str(tmp_path / "f"))
+
+
+def test_any_number_of_categories_and_names_that_differ_in_case(spark):
+    from tidyforge.operators.encode import OneHotEncoder
+    df = spark.range(2500).selectExpr("concat('v', id) AS t")
+    assert len(OneHotEncoder(["t"], drop_first=False).fit(df).dummies()) == 2500
+    with pytest.raises(ValueError, match="too many"):
+        OneHotEncoder(["t"], max_categories=100).fit(df)
+    both = spark.createDataFrame([("A",), ("a",), ("b",)], "t string")
+    out = OneHotEncoder(["t"], drop_first=False).fit(both).transform(both)
+    assert sorted(out.columns) == ["t_A_0", "t_a_1", "t_b"]
+    assert sorted(map(tuple, out.select("t_A_0", "t_a_1", "t_b").collect())) == [
+        (0, 0, 1), (0, 1, 0), (1, 0, 0)]
+
+
+def test_quantiles_are_narrowed_at_any_size(spark, monkeypatch):
+    from tidyforge.operators import stats
+    narrowed = []
+    real = stats._narrow
+    monkeypatch.setattr(stats, "_narrow", lambda *a: (narrowed.append(1), real(*a))[1])
+    df = spark.range(50).selectExpr("CAST(id AS DOUBLE) AS v")
+    assert stats.exact_quantiles(df, {"v": [0.5, 1.0]}) == {"v": [24.5, 49.0]} and narrowed

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidyforge.operators.dedupe import deduplicate, sort_rows
-from tidyforge.operators.merge import merge, resolve_collisions
+from tidyforge.operators.merge import filter_equal, merge, resolve_collisions
 
 HOT = ["AdaptiveSparkPlan", "WindowGroupLimit"]
 
@@ -215,3 +215,11 @@ def test_number_filters_reach_the_scan(spark, tmp_path):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o,5)" in plan and "EqualTo(d,2.0)" in plan
     assert out.collect() == [("1", "5")]
+
+
+def test_text_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(" R ", 1), ("R", 2), ("RA", 3), (None, 4), ("x", 5)], "f string, i int").write.parquet(path)
+    kept = filter_equal(spark.read.parquet(path), {"f": " R "})
+    assert sorted(r["i"] for r in kept.collect()) == [1, 2]
+    assert "StringContains(f,R)" in kept._jdf.queryExecution().executedPlan().toString()

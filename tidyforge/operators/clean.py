@@ -14,6 +14,7 @@ from tidyforge.functions.names import (numeric_columns, present, ref, replace_co
                                        text_columns)
 from tidyforge.functions.numbers import number_type, round_half_even, spark_type, to_number
 from tidyforge.functions.text import apply_string_options, java_pattern, java_replacement
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.stats import counts
 from tidyforge.operators.udf import apply_custom_function, row_function
 
@@ -106,7 +107,7 @@ def clean_numeric(df: DataFrame, columns: list[str], to_numeric: bool = False,
     return replace_columns(df, changed)
 
 
-class TableCleaner(Estimator):
+class TableCleaner(Saved, Estimator):
     """Drop, clean text, map categories, clean numbers, then user functions.
 
     User functions are ``{"columns": [...], "func": f, "returns": type}`` and
@@ -114,6 +115,10 @@ class TableCleaner(Estimator):
     for functions over Columns.
     """
 
+    STATE = ("string_columns", "string_options", "numeric_columns", "to_numeric", "force_dtype",
+             "round_decimals", "drop_columns", "category_mappings", "custom_column_functions",
+             "custom_row_functions")
+
     def __init__(self, string_columns: list[str] | None = None, string_options: dict | None = None,
                  numeric_columns: list[str] | None = None, to_numeric: bool = False,
                  force_dtype: str | None = None, round_decimals: int | None = None,
@@ -143,7 +148,7 @@ class TableCleaner(Estimator):
         return model
 
 
-class TableCleanerModel(Model):
+class TableCleanerModel(Saved, Model):
     """Resolved column lists; the transform is a few projections."""
 
     def __init__(self, settings: TableCleaner, strings: list[str], numbers: list[str],
@@ -155,6 +160,18 @@ class TableCleanerModel(Model):
         self.drop_columns = dropped
         self.castable: list[str] | None = None
 
+    def _state(self) -> dict:
+        return {"settings": self.settings._state(), "strings": self.string_columns,
+                "numbers": self.numeric_columns, "dropped": self.drop_columns,
+                "castable": self.castable}
+
+    @classmethod
+    def _restored(cls, state: dict) -> "TableCleanerModel":
+        model = cls(TableCleaner(**state["settings"]), state["strings"], state["numbers"],
+                    state["dropped"])
+        model.castable = state["castable"]
+        return model
+
     def clean_text(self, df: DataFrame) -> DataFrame:
         """The steps before number cleaning."""
         df = drop_columns(df, self.drop_columns)

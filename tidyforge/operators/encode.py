@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import missing_free, present, ref
 from tidyforge.functions.text import as_text
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.stats import categories, in_merge_groups
 
 ENCODINGS = ("columns", "sparse")
@@ -25,7 +26,7 @@ def encodable(df: DataFrame, exclude_prefixes: tuple[str, ...] = (),
             and not (prefixes and f.name.upper().startswith(prefixes))]
 
 
-class OneHotEncoder(Estimator):
+class OneHotEncoder(Saved, Estimator):
     """Integer column ``<c>_<value>`` per sorted category; missing gives zeros.
 
     The categories of all columns are learned in shared passes; each becomes an output
@@ -34,6 +35,8 @@ class OneHotEncoder(Estimator):
     category in its column as an ending, unless the session tells case apart.
     """
 
+    STATE = ("columns", "drop_first", "max_categories")
+
     def __init__(self, columns: list[str], drop_first: bool = True,
                  max_categories: int | None = None):
         super().__init__()
@@ -46,9 +49,12 @@ class OneHotEncoder(Estimator):
         return OneHotModel(found, self.drop_first)
 
 
-class OneHotModel(Model):
+class OneHotModel(Saved, Model):
     """Fitted categories.  Values unseen in the fit give zeros."""
 
+    def _state(self) -> dict:
+        return {"found": self.categories, "drop_first": self.drop_first}
+
     def __init__(self, found: dict[str, dict[object, int]], drop_first: bool):
         super().__init__()
         self.categories = found
@@ -85,13 +91,15 @@ def encode_categorical(df: DataFrame, columns: list[str], drop_first: bool = Tru
     return OneHotEncoder(columns, drop_first, max_categories).fit(df).transform(df)
 
 
-class SparseOneHotEncoder(Estimator):
+class SparseOneHotEncoder(Saved, Estimator):
     """The same encoding for any number of categories.
 
     Instead of one column per category, ``output`` lists the names of the dummies that
     are 1.  Only the smallest category per column has to be known, to drop it.
     """
 
+    STATE = ("columns", "drop_first", "output")
+
     def __init__(self, columns: list[str], drop_first: bool = True,
                  output: str = "active_dummies"):
         super().__init__()
@@ -110,9 +118,11 @@ class SparseOneHotEncoder(Estimator):
         return SparseOneHotModel(dropped, self.output)
 
 
-class SparseOneHotModel(Model):
+class SparseOneHotModel(Saved, Model):
     """The dropped category of each column, if any."""
 
+    STATE = ("dropped", "output")
+
     def __init__(self, dropped: dict[str, object], output: str):
         super().__init__()
         self.dropped = dropped

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import is_number, missing_free, ref, replace_columns
 from tidyforge.functions.numbers import log1p_or_null, threshold_flag
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.stats import exact_quantiles
 from tidyforge.operators.udf import row_function
 
@@ -105,11 +106,14 @@ def quantile_binning(df: DataFrame, column: str, q: int, labels: list | None = N
 
 
 def custom_row_logic(df: DataFrame, new_column_name: str, func: Callable,
-                     returns: str | None = None) -> DataFrame:
-    """New column from a user function of the whole row; see :mod:`tidyforge.operators.udf`."""
+                     returns: str | None = None, uses: list[str] | None = None) -> DataFrame:
+    """New column from a user function of a row; see :mod:`tidyforge.operators.udf`.
+
+    ``uses`` names the columns the function reads; only those are shipped to Python.
+    """
     if not new_column_name or func is None:
         return df
-    return replace_columns(df, {new_column_name: row_function(df, func, returns)})
+    return replace_columns(df, {new_column_name: row_function(df, func, returns, uses)})
 
 
 # Step names and the argument names each accepts, aliases included.
@@ -119,7 +123,7 @@ TOOLS = {
     "log_transform": ("column", "new_column_name"),
     "polynomial_interaction": ("col1", "col2", "new_column_name"),
     "date_parts": ("column", "parts"),
-    "custom_row_logic": ("new_column_name", "func", "returns"),
+    "custom_row_logic": ("new_column_name", "func", "returns", "uses"),
 }
 REQUIRED = {
     "binarize": ("column", "threshold"), "quantile_binning": ("column", "q"),
@@ -155,9 +159,12 @@ PLAIN_TOOLS = {"binarize": binarize, "log_transform": log_transform, "date_parts
                "custom_row_logic": custom_row_logic}
 
 
-class FeatureEngineer(Estimator):
+class FeatureEngineer(Saved, Estimator):
     """Fit a list of feature steps; quantile edges are learned once and frozen."""
 
+    def _state(self) -> dict:
+        return {"operations": [{"tool": s.tool, **s.arguments} for s in self.steps]}
+
     def __init__(self, operations: list[dict] | None = None):
         super().__init__()
         self.steps = [Step.parse(s) for s in operations or []]
@@ -196,9 +203,16 @@ class FeatureEngineer(Estimator):
         return FeatureModel(self.steps, edges)
 
 
-class FeatureModel(Model):
+class FeatureModel(Saved, Model):
     """Fitted feature steps; only projections, so usable on other data and on streams."""
 
+    def _state(self) -> dict:
+        return {"steps": [{"tool": s.tool, **s.arguments} for s in self.steps], "edges": self.edges}
+
+    @classmethod
+    def _restored(cls, state: dict) -> "FeatureModel":
+        return cls([Step.parse(s) for s in state["steps"]], state["edges"])
+
     def __init__(self, steps: list[Step], edges: dict[int, list[float]]):
         super().__init__()
         self.steps = steps

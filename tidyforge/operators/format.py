@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from tidyforge.functions.names import numeric_columns
 from tidyforge.operators.encode import (ENCODINGS, OneHotEncoder, OneHotModel,
                                          SparseOneHotEncoder, SparseOneHotModel, encodable)
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.scale import (METHODS, ScalerModel, _center_scale, fit_scaling,
                                        flag_stats)
 
@@ -20,7 +21,7 @@ ENCODE_EXCLUSIONS = ("ID", "LNK_", "SITE")
 SCALE_EXCLUSIONS = ("ID", "SEQNO")
 
 
-class ModelFormatter(Estimator):
+class ModelFormatter(Saved, Estimator):
     """Encode text columns, then scale number columns.
 
     Key columns given in ``keys`` are neither encoded nor scaled.  Dummies are scaled
@@ -29,6 +30,14 @@ class ModelFormatter(Estimator):
     that is given, or "sparse", one list of names for columns of any cardinality.
     """
 
+    def _state(self) -> dict:
+        return {"encode_categorical": self.encode_categorical,
+                "exclude_encode_prefixes": self.exclude_encode_prefixes,
+                "scale_method": self.scale_method,
+                "exclude_scale_cols": sorted(self.protected), "default_scale_exclusions": [],
+                "keys": self.keys, "scale_dummies": self.scale_dummies,
+                "max_categories": self.max_categories, "encoding": self.encoding}
+
     def __init__(self, encode_categorical: bool = True,
                  exclude_encode_prefixes: tuple[str, ...] = ENCODE_EXCLUSIONS,
                  scale_method: str | None = "standard",
@@ -72,7 +81,18 @@ class ModelFormatter(Estimator):
         return ModelFormatterModel(encoder, ScalerModel(parameters))
 
 
-class ModelFormatterModel(Model):
+class ModelFormatterModel(Saved, Model):
+    """Fitted encoding and scaling."""
+
+    def _state(self) -> dict:
+        return {"sparse": isinstance(self.encoder, SparseOneHotModel),
+                "encoder": self.encoder._state(), "scaler": self.scaler._state()}
+
+    @classmethod
+    def _restored(cls, state: dict) -> "ModelFormatterModel":
+        kind = SparseOneHotModel if state["sparse"] else OneHotModel
+        return cls(kind(**state["encoder"]), ScalerModel(**state["scaler"]))
+
     def __init__(self, encoder: OneHotModel | SparseOneHotModel, scaler: ScalerModel):
         super().__init__()
         self.encoder = encoder

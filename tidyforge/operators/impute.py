@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidyforge.functions.names import INTEGRAL, missing_free, present, replace_columns
 from tidyforge.functions.nulls import missing
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.stats import column_stats, counts, exact_quantiles, modes
 
 METHODS = ("mean", "median", "mode", "constant")
@@ -134,13 +135,18 @@ class FillPlan:
         return replace_columns(df, changed)
 
 
-class MissingValueImputer(Estimator):
+class MissingValueImputer(Saved, Estimator):
     """Drop sparse columns and fill the rest by mean, median, mode or a constant.
 
     Mean and median turn integer columns into doubles.  A column without any value
     gets no fill.
     """
 
+    def _state(self) -> dict:
+        rule = self.strategy
+        return {"columns": rule.columns, "method": rule.method,
+                "constant_val": rule.constant_val, "drop_threshold": self.drop_threshold}
+
     def __init__(self, columns: list[str] | None = None, method: str = "mean",
                  constant_val: object = None, drop_threshold: float | None = None):
         super().__init__()
@@ -151,9 +157,16 @@ class MissingValueImputer(Estimator):
         return MissingValueModel(fit_imputation(dataset, self.drop_threshold, [self.strategy]))
 
 
-class MissingValueModel(Model):
+class MissingValueModel(Saved, Model):
     """Fitted drop list and fill values; usable on other data and on streams."""
 
+    def _state(self) -> dict:
+        return {"drop_columns": self.plan.drop_columns, "fill_values": self.plan.fill_values}
+
+    @classmethod
+    def _restored(cls, state: dict) -> "MissingValueModel":
+        return cls(FillPlan(**state))
+
     def __init__(self, plan: FillPlan):
         super().__init__()
         self.plan = plan

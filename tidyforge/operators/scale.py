@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidyforge.functions.names import numeric_columns, present, ref, replace_columns
 from tidyforge.functions.nulls import double_or_null
+from tidyforge.operators.saved import Saved
 from tidyforge.operators.stats import column_stats, exact_quantiles
 
 log = logging.getLogger(__name__)
@@ -62,12 +63,14 @@ def fit_scaling(df: DataFrame, columns: list[str], method: str) -> dict[str, tup
     return {c: _center_scale(method, s) for c, s in stats.items()}
 
 
-class NumericScaler(Estimator):
+class NumericScaler(Saved, Estimator):
     """Standard (population deviation), min-max or robust (median, IQR) scaling.
 
     Missing cells are ignored by the fit and stay missing.
     """
 
+    STATE = ("columns", "method")
+
     def __init__(self, columns: list[str] | None = None, method: str = "standard"):
         super().__init__()
         if method not in METHODS:
@@ -80,9 +83,11 @@ class NumericScaler(Estimator):
         return ScalerModel(fit_scaling(dataset, columns, self.method))
 
 
-class ScalerModel(Model):
+class ScalerModel(Saved, Model):
     """Fitted ``(centre, scale)`` per column."""
 
+    STATE = ("parameters",)
+
     def __init__(self, parameters: dict[str, tuple[float, float]]):
         super().__init__()
         self.parameters = parameters
