@@ -191,6 +191,32 @@ def stage_report(t):
     return report.to_df(t.spark)
 
 
+@query("""
+WITH e AS (SELECT event_id, user_id, value, CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit
+    FROM events), c AS (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY')
+SELECT 'load' AS stage, 'rows' AS metric, count(*) AS value FROM e
+UNION ALL SELECT 'merge 1 input', 'rows', count(*) FROM customer
+UNION ALL SELECT 'merge 1 filtered', 'rows', count(*) FROM c
+UNION ALL SELECT 'merge 1 filtered', 'keys', count(DISTINCT c_custkey) FROM c
+UNION ALL SELECT 'deduplicate', 'rows', count(DISTINCT event_id) FROM e
+UNION ALL SELECT 'units', 'rows', count(DISTINCT event_id) FROM e
+UNION ALL SELECT 'units', 'converted_0', count(DISTINCT event_id) FROM e WHERE unit = 'g' AND value IS NOT NULL
+UNION ALL SELECT 'save', 'rows', count(DISTINCT event_id) FROM e
+UNION ALL SELECT 'impute', 'dropped_columns', 0""")
+def run_report(t):
+    """Counters of a whole run: rows read, filtered, collapsed, converted and saved."""
+    report = StageReport()
+    events = t.events.selectExpr("event_id", "user_id", "value",
+                                 "CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit")
+    customers = t.customer.selectExpr("c_custkey AS user_id", "c_acctbal", "c_mktsegment")
+    process_data(t.spark, events, shared_path(t.spark, "reported"), dedupe_subset=["event_id"],
+                 merge_configs=[{"file": customers, "on": ["user_id"], "filters": {"c_mktsegment": "MACHINERY"}}],
+                 lab_configs=[{"value_col": "value", "unit_col": "unit", "canonical": "mg",
+                               "conversions": {"g": 1000}}],
+                 drop_threshold=None, scale_method=None, report=report)
+    return report.to_df(t.spark)
+
+
 # ---------------------------------------------------------------- whole runs
 
 def flagship_frame(t):

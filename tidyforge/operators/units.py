@@ -38,16 +38,18 @@ def _factor(rule: dict, clean: Callable[[Column], Column]) -> Column:
 
 
 def normalize_units(df: DataFrame, configs: list[dict] | None = None,
-                    clean: Callable[[Column], Column] = lambda text: text) -> DataFrame:
+                    clean: Callable[[Column], Column] = lambda text: text,
+                    mark: str | None = None) -> DataFrame:
     """Multiply values of a known other unit by their factor and rewrite the label.
 
     Labels are compared trimmed.  Unknown and missing labels are left alone; see
     :func:`unconverted_units`.  ``clean`` is applied to the labels of the rules when
     the column itself was cleaned before (lower-cased, say).  Several rules for one
     value column apply in turn.  In a text column only cells that are numbers are converted;
-    others, such as ``<5``, and their labels stay, and the column stays text.
+    others, such as ``<5``, and their labels stay, and the column stays text.  ``mark`` is
+    the start of the names of added columns that tell, rule by rule, which rows changed.
     """
-    for rule in _usable(df, configs):
+    for number, rule in enumerate(_usable(df, configs)):
         value, unit = ref(rule["value_col"]), ref(rule["unit_col"])
         factor = _factor(rule, clean)
         known, kind = factor.isNotNull(), df.schema[rule["value_col"]].dataType
@@ -59,8 +61,10 @@ def normalize_units(df: DataFrame, configs: list[dict] | None = None,
         else:
             converted = F.when(known, value.cast("double") * factor).otherwise(
                 value.cast("double"))
+        changed = {} if mark is None else {
+            f"{mark}{number}": F.coalesce(known & (factor != 1.0) & value.isNotNull(), F.lit(False))}
         df = replace_columns(df, {
-            rule["value_col"]: converted,
+            **changed, rule["value_col"]: converted,
             rule["unit_col"]: F.when(known, F.lit(rule["canonical"])).otherwise(unit),
         })
     return df

@@ -5,15 +5,16 @@ from __future__ import annotations
 from copy import deepcopy
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidyforge.functions.names import present
+from tidyforge.functions.names import present, ref
 from tidyforge.functions.text import apply_string_options
 from tidyforge.operators.clean import DEFAULT_OPTIONS, TableCleaner, clean_text
 from tidyforge.operators.dedupe import deduplicate
 from tidyforge.operators.features import FeatureEngineer
 from tidyforge.operators.format import ENCODE_EXCLUSIONS, SCALE_EXCLUSIONS, ModelFormatter
 from tidyforge.operators.impute import Strategy, fit_imputation
-from tidyforge.operators.merge import keys_as_text, merge
+from tidyforge.operators.merge import filter_equal, keys_as_text, merge
 from tidyforge.operators.units import normalize_units
 from tidyforge.plans.report import StageReport
 from tidyforge.session import apply_settings, materialize
@@ -52,6 +53,7 @@ PIPELINE_PARAMETER_TEMPLATE = {
     "exclude_scale_cols": [],
     "default_scale_exclusions": list(SCALE_EXCLUSIONS),
 }
+CONVERTED = "__converted_"
 DISCOVERY_KEYS = ("dir_path", "file_extension", "name_pattern", "on_keys", "how")
 
 
@@ -88,6 +90,13 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
         order = config.get("order_by") or ([SOURCE_ORDER] if SOURCE_ORDER in new.columns else None)
         new = clean_text(new, options=options, cleaner=cleaner)
         renamed = new.withColumnRenamed(SOURCE_ORDER, "__new_order")
+        if report:
+            # Of the incoming table alone, whose scan reads no more than these columns.
+            keys = present(new, [config["on"]] if isinstance(config["on"], str) else config["on"])
+            kept = filter_equal(new, config.get("filters"), label_cleaner(options))
+            report.watch(new, f"merge {number} input")
+            distinct = {"keys": F.count_distinct(F.struct(*map(ref, keys)))} if collapse and keys else {}
+            report.watch(kept, f"merge {number} filtered", **distinct)
         order = ["__new_order" if c == SOURCE_ORDER else c for c in order] if order else None
         if number > 1 and config.get("how", "left") in ("right", "outer"):
             # These joins read the base twice; a chain of them must not double each time.
@@ -141,10 +150,19 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
 
     sort_by = [SOURCE_ORDER] if file_order and SOURCE_ORDER in df.columns else dedupe_sort_by
     df = deduplicate(df, dedupe_subset, dedupe_keep, sort_by, dedupe_sort_ascending)
-    df = normalize_units(df.drop(SOURCE_ORDER), lab_configs, label_cleaner(clean_options))
+    df = normalize_units(df.drop(SOURCE_ORDER), lab_configs, label_cleaner(clean_options),
+                         mark=CONVERTED if report else None)
     df = materialize(df, "prepared")
     if report:
+        # Counted on the written table, so that no join runs again.
+        marks = [c for c in df.columns if c.startswith(CONVERTED)]
         report.watch(df, "deduplicate")
+        if marks:
+            report.watch(df, "units", **{f"converted_{c[len(CONVERTED):]}": F.count_if(ref(c))
+                                         for c in marks})
+        if output_file:
+            report.watch(df, "save")
+        df = df.drop(*marks)
 
     rules = [Strategy(s.get("method", "mean"), s.get("cols", []), s.get("constant_val"))
              for s in impute_strategies or []]
