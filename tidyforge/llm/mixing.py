@@ -87,16 +87,15 @@ def _cuts(sizes: DataFrame, weights: tuple, share: float, most: int) -> DataFram
     held = sums.alias("s").join(target.alias("t"), F.col("s.source").eqNullSafe(
         F.col("t.source"))).where("before <= rest AND rest < before + inside").select(
         F.col("t.source"), "bucket", "before", "rest")
-    within = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size")
-    same = ["source", "bucket", "key", "doc_id", "size"]
-    tied = ranged.groupBy(*same).agg(F.count("*").alias("copies"))
-    run = tied.withColumn("upto", F.sum(F.col("size") * F.col("copies")).over(
-        within.rowsBetween(Window.unboundedPreceding, 0)))
-    cut = run.alias("r").join(held.alias("h"), F.col("r.source").eqNullSafe(F.col("h.source")) & (
-        F.col("r.bucket") == F.col("h.bucket"))).select(
-        "r.source", "key", "doc_id", "size", "copies",
-        (F.col("rest") - F.col("before") - F.col("upto")
-         + F.col("size") * F.col("copies")).alias("room")).where(
+    within = Window.partitionBy("source").orderBy("key", "doc_id", "size")
+    near = ranged.alias("r").join(held.alias("h"), F.col("r.source").eqNullSafe(
+        F.col("h.source")) & (F.col("r.bucket") == F.col("h.bucket"))).select(
+        "r.source", "key", "doc_id", "size", (F.col("rest") - F.col("before")).alias("left"))
+    tied = near.groupBy("source", "key", "doc_id", "size", "left").agg(
+        F.count("*").alias("copies"))
+    earlier = F.sum(F.col("size") * F.col("copies")).over(
+        within.rowsBetween(Window.unboundedPreceding, -1))
+    cut = tied.withColumn("room", F.col("left") - F.coalesce(earlier, F.lit(0))).where(
         "room >= 0 AND room < size * copies").select(
         F.col("source").alias("cut_source"), F.col("key").alias("cut_key"),
         F.col("doc_id").alias("cut_id"), F.col("size").alias("cut_size"),

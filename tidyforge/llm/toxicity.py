@@ -318,12 +318,15 @@ def train_classifier(docs: DataFrame, labels: DataFrame, usable: Column, counts:
                      sample: int = SAMPLE) -> Classifier:
     """Fit on about ``sample`` labelled rows where ``usable`` holds, chosen by a hash of the id.
 
-    Only words of restored texts are features.  Rows without a label or an id are not used; if
-    no row or only one label is left, every text gets the same score.
+    Only words of restored texts are features.  Rows without a label or an id are not used; an
+    id with several labels is toxic if one of them says so, one with several texts counts with
+    the first of them in their order, so that the sample stays bounded.  If no row or only one
+    label is left, every text gets the same score.
     """
     known = labels.where(usable & F.col(f"`{toxic}`").isNotNull() & F.col(
         f"`{doc_id}`").isNotNull()).select(F.col(f"`{doc_id}`").alias("labelled_id"),
                                            (F.col(f"`{toxic}`") == 1).alias("bad"))
+    known = known.groupBy("labelled_id").agg(F.max("bad").alias("bad"))
     share = max(1, -(-known.count() // sample))
     chosen = known.where(F.pmod(F.xxhash64("labelled_id"), F.lit(share)) == 0)
     rows = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias(
@@ -340,6 +343,7 @@ def train_classifier(docs: DataFrame, labels: DataFrame, usable: Column, counts:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())],
                                              ["bad", "found"])
 
+    rows = rows.groupBy("id").agg(F.max("bad").alias("bad"), F.min("text").alias("text"))
     told = rows.select("bad", "text").mapInArrow(read, "bad boolean, found binary").collect()
     told.sort(key=lambda r: (r["bad"], bytes(r["found"])))
     return _fit([np.frombuffer(r["found"], np.uint32) for r in told],
