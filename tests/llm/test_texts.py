@@ -358,6 +358,15 @@ def test_main_text_of_an_unknown_template():
     assert main_text("<p title='a>b'>x</p>", Scanner()) == "x"
 
 
+def test_comments_and_adverts_inside_articles():
+    page = ("<main><article class='post'><h1>T</h1><p>" + "story words " * 9 + "</p><div class='ad-slot'>no buy</div>"
+            "<p>more</p></article><div id=comments><article class=comment><p>" + "no reply " * 40
+            + "</p></article></div><article class='related-teaser'><p>" + "no " * 90 + "</p></article></main>")
+    assert main_text(page, Scanner()) == "T\n\n" + " ".join(["story words"] * 9) + "\n\nmore"
+    page = "<body><div class=content><table><tr><td>a b</td><td>c</td></tr></table><pre>x\n y</pre></div></body>"
+    assert main_text(page, Scanner()) == "a b\n\nc\n\nx y"
+
+
 def test_weights_are_learned_from_labelled_pages(spark):
     page = ("<body><div class=promo>{0}</div><div class=story><article><p>{1}</p></article></div>"
             "<div class=zz9>{0}</div></body>")

@@ -30,10 +30,11 @@ CONTENT = frozenset({"article", "main"})                  # what labels a page
 OUTSIDE_TAGS = frozenset("nav header footer aside form button select option label head menu dialog "
                          "search".split())
 OUTSIDE_WORDS = frozenset(
-    "nav header footer aside form ad ads advert adverts advertisement banner breadcrumb "
-    "breadcrumbs comment comments consent cookie cookies disqus masthead menu modal navbar "
-    "navigation newsletter notice pagination popup promo promoted related replies reply respond "
-    "search share sharing sidebar skip social sponsor sponsored subscribe toolbar widget "
+    "nav header footer aside form ad ads adsense adslot advert adverts advertisement advertising "
+    "alert banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus "
+    "gdpr masthead menu modal navbar navigation newsletter notice pagination paywall popup promo "
+    "promoted recommended related replies reply respond search share sharing sidebar signup "
+    "sitemap skip social sponsor sponsored submenu subscribe toolbar topbar trending widget "
     "contentinfo complementary".split())
 
 _TOKEN = re.compile(
@@ -61,6 +62,11 @@ def default_weight(key: str) -> float:
     return -2.0 if tag in OUTSIDE_TAGS or words & OUTSIDE_WORDS else 1.0
 
 
+def _in_content(stack) -> bool:
+    """Whether an open element is labelled as content; a reader comment's article is not."""
+    return any(e[0] in CONTENT and default_weight(e[1]) > 0 for e in stack)
+
+
 class Scanner:
     """One pass over a page: text runs and tags with the elements they are in."""
 
@@ -128,7 +134,7 @@ def count_labelled(page: str, counts: dict[str, list[int]]) -> None:
     Words outside count against the outermost element around them that has no labelled
     content: a menu's words against the menu, not against the links and lists in it.
     """
-    runs = [(len(text.split()), tuple(stack), any(e[0] in CONTENT for e in stack))
+    runs = [(len(text.split()), tuple(stack), _in_content(stack))
             for kind, text, stack in Scanner().tokens(page) if kind == "text"]
     holders = {e[3] for _, stack, inside in runs if inside for e in stack}
     if not holders:
@@ -185,7 +191,7 @@ def main_text(page: str, scanner: Scanner) -> str:
     for kind, value, stack in scanner.tokens(page):
         weight = stack[-1][2] if stack else 1.0
         loss = min(0.0, weight)
-        if loss and any(e[0] in CONTENT for e in stack):
+        if loss and _in_content(stack):
             loss *= WITHIN
         if kind == "text":
             words = len(value.split())
