@@ -59,6 +59,8 @@ def test_restores_leetspeak_spacing_and_repetition(spark):
     assert restorer.word("***") == () == restorer.word("2024")
     assert "dimwit" in restorer.words("you d i m w i t again")
     assert restorer.text("a  bl0ckhead, is") == "a blockhead is"
+    for long in ("x " * 100_000, "ab0c" * 30_000, "l" * 100_000, "a*b" * 3000):
+        assert restorer.words(long) and restorer.text(long)
 
 
 def test_scores_follow_held_out_labels(spark):

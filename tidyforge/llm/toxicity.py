@@ -199,26 +199,31 @@ class Restorer:
         """Viterbi: the text of the best path through the lattice.
 
         The state is the last two classes; an arc adds a letter, an edge of a word (class 0)
-        or nothing (None).
+        or nothing (None).  A path is a chain of (what it adds, the path before), so the work
+        grows with the length of the lattice alone.
         """
         table = self.model.table
-        paths = {(0, 0): (0.0, "")}
+        paths: dict = {(0, 0): (0.0, None)}
         for options in [*arcs, [(0, "", 0.0)]]:
             step: dict = {}
-            for (a, b), (score, text) in paths.items():
+            for (a, b), (score, path) in paths.items():
                 row = table[a][b]
                 for kind, sign, cost in options:
                     if kind is None:
-                        state, total, written = (a, b), score + cost, text
+                        state, total = (a, b), score + cost
                     elif kind == 0:
-                        total = score + cost + (row[0] if b else 0.0)
-                        state, written = (0, 0), f"{text} {sign} " if sign else text + " "
+                        state, total = (0, 0), score + cost + (row[0] if b else 0.0)
                     else:
-                        state, total, written = (b, kind), score + cost + row[kind], text + sign
+                        state, total = (b, kind), score + cost + row[kind]
                     if state not in step or step[state][0] < total:
-                        step[state] = (total, written)
+                        added = sign if kind else None if kind is None else f" {sign} "
+                        step[state] = (total, (added, path) if added else path)
             paths = step
-        return max(paths.values())[1]
+        parts, path = [], max(paths.values(), key=lambda p: p[0])[1]
+        while path:
+            added, path = path
+            parts.append(added)
+        return "".join(reversed(parts))
 
 
 def _prepared(text: str) -> str:
