@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from tidyforge.session import shared_path
 
 SHARD_BYTES = 16 << 20               # bytes of input text for each shard
-FLUSH_KEYS = 3_000_000               # keys a task gathers before it sends them
+FLUSH_KEYS = 1_500_000               # keys a task gathers before it sends them
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -156,8 +156,9 @@ def counted(batches: Iterator[pa.RecordBatch], keys_of: Callable[[pa.RecordBatch
     held, size = [], 0
 
     def emit():
-        keys, counts = add_up(np.concatenate(held))
-        yield from packed(keys, counts, bits)
+        keys = np.concatenate(held)
+        held.clear()                            # not needed while the keys are sorted
+        yield from packed(*add_up(keys), bits)
 
     for batch in batches:
         for keys in keys_of(batch):
@@ -165,7 +166,7 @@ def counted(batches: Iterator[pa.RecordBatch], keys_of: Callable[[pa.RecordBatch
             size += len(keys)
             if size >= flush:
                 yield from emit()
-                held, size = [], 0
+                size = 0
     if size:
         yield from emit()
 

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyforge.llm.hash_tables import (
-    FLUSH_KEYS, HashTable, new_folder, pack_keys, pack_values, shard_bits, shard_ranges,
+    HashTable, new_folder, pack_keys, pack_values, shard_bits, shard_ranges,
     text_size, unpack_keys, unpack_values, write_array)
 from tidyforge.llm.words import Words, combine, find_words, mix, slices
 
 ORDER = 2
+FLUSH_GRAMS = 2_000_000      # n-grams a task gathers before it sends them
 _START, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0x27D4EB2F165667C5)
 #: Packed rows: n-grams by their words' hashes, or contexts by the hash of their words.
 _ROWS = ("kind string, shard int, words array<binary>, counts binary, raw binary, "
@@ -186,6 +187,7 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator
 
     def emit():
         columns = [np.concatenate(c) for c in zip(*held)]
+        held.clear()                            # not needed while the n-grams are sorted
         ones = np.ones(len(columns[0]), np.uint64)
         key, columns, counts, raw = _records(columns, ones, ones)
         rows = list(_packed("grams", key, columns, counts, raw, bits))
@@ -197,9 +199,9 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator
             ids, ends, _ = token_ids(find_words(batch.column(0).slice(at, to - at), True), order)
             held.append([ids[ends - order + 1 + k] for k in range(order)])
             size += len(ends)
-            if size >= FLUSH_KEYS:
+            if size >= FLUSH_GRAMS:
                 yield from emit()
-                held, size = [], 0
+                size = 0
     if size:
         yield from emit()
 
