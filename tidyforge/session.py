@@ -19,7 +19,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "64MB",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
