@@ -125,7 +125,7 @@ def test_cells_leave_vectors_out(spark):
     import pyarrow as pa
     batch = pa.RecordBatch.from_arrays(
         [pa.array(range(60)), pa.array(["a"] * 60), pa.array([2] * 60, pa.int32()), pa.array([1] * 60),
-         pa.array([u.tobytes() for u in units])], ["class", "label", "size", "copies", "unit"])
+         pa.array([u.tobytes() for u in units])], ["class", "label", "size", "copies", "vector"])
     radius = math.sqrt(2 - 2 * 0.93)
     (cells,) = range_join._cells(batch, pivots, 2 * radius)
     sent = {}

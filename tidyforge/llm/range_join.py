@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyforge.llm.links import components, labels_between
+from tidyforge.llm.links import components, labels_between, split_join
 from tidyforge.llm.vectors import matrices
 from tidyforge.llm.words import mix
 from tidyforge.session import materialize
@@ -44,10 +44,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
                           F.col(f"`{label}`").cast("string").alias("label")).withColumn(
         "seed", F.xxhash64("label"))
     kept = materialize(rows.mapInArrow(
-        _classes, "vec_id long, label string, size int, class long, unit binary"), "vectors")
+        _classes, "vec_id long, label string, size int, class long, vector binary"), "vectors")
     classes = materialize(
         kept.where("class IS NOT NULL").groupBy("class", "label", "size").agg(
-            F.count("*").alias("copies"), F.first("unit").alias("unit")), "classes")
+            F.count("*").alias("copies"), F.first("vector").alias("vector")), "classes")
     largest = classes.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 0
     pivots = _pivots(classes, min(MOST_PIVOTS, -(-largest // CELL)))
     reach = 2 * np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
@@ -56,16 +56,17 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
         for batch in batches:
             yield from _cells(batch, pivots, reach)
 
-    cells = materialize(classes.mapInArrow(
-        deal, "class long, label string, size int, copies long, unit binary, cell int, "
-        "home boolean"), "cells")
+    # Dealt anew for the counts and for each side, which is cheaper than a table of copies.
+    cells = classes.mapInArrow(
+        deal, "class long, label string, size int, copies long, vector binary, cell int, "
+        "home boolean")
     key = ["label", "size", "cell"]
     tiles = cells.groupBy(*key).agg(
         F.ceil(F.count_if("home") / CELL).cast("int").alias("rows"),
         F.ceil(F.count("*") / CELL).cast("int").alias("columns")).where("rows > 0")
     dealt = cells.join(tiles, key)
     number = F.xxhash64("class")
-    side = [*key, "i", "j", "class", "copies", "unit"]
+    side = [*key, "i", "j", "class", "copies", "vector"]
     home = dealt.where("home").withColumn("i", F.pmod(number, "rows").cast("int")).withColumn(
         "j", F.explode(F.expr("sequence(0, columns - 1)"))).select(*side, F.lit(True).alias("home"))
     other = dealt.withColumn("j", F.pmod(number, "columns").cast("int")).withColumn(
@@ -84,9 +85,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
             .join(roots, "class", "left").select(
         "class", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "class").alias("component")))
-    joined = kept.where("class IS NOT NULL").select("vec_id", "class").join(told, "class")
+    joined = split_join(kept.where("class IS NOT NULL").select("vec_id", "class"), told, "class")
     first = joined.groupBy("component").agg(F.min("vec_id").alias("component_id"))
-    linked = joined.join(first, "component").select("vec_id", "n_links", "component_id")
+    linked = split_join(joined, first, "component").select("vec_id", "n_links", "component_id")
     alone = kept.where("class IS NULL").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn(
@@ -94,43 +95,52 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
 
 
 def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors, and one number for equal labels and vectors."""
+    """Vectors in the fewest bytes that hold them, and one number for equal labels and vectors."""
     for batch in batches:
         n = batch.num_rows
         units, sizes = np.full(n, None, object), np.zeros(n, np.int32)
         numbers = np.zeros(n, np.uint64)
         for own, values in matrices(batch.column(1)):
-            norm = np.sqrt((values * values).sum(axis=1))
-            scale = np.abs(values).max(axis=1)
-            usable = scale > 0
-            values, own, norm, scale = values[usable], own[usable], norm[usable], scale[usable]
-            odd = ~np.isfinite(norm) | (norm < 1e-140)      # squares out of range
-            norm[odd] = scale[odd] * np.sqrt(((values[odd] / scale[odd][:, None]) ** 2).sum(axis=1))
-            unit = values / norm[:, None]
-            bits = (values + 0.0).view(np.uint64)
+            usable = (values != 0).any(axis=1)
+            values, own = values[usable] + 0.0, own[usable]           # no negative zeros
+            bits = values.view(np.uint64)
             state = np.full(len(own), values.shape[1], np.uint64)
             for part in bits.T:
                 state = mix(state + part)
             numbers[own], sizes[own] = state, values.shape[1]
-            units[own] = [row.tobytes() for row in unit]
+            with np.errstate(over="ignore"):
+                short = values.astype(np.float32)
+            exact = (short == values).all(axis=1)
+            units[own] = [(s if e else v).tobytes() for s, v, e in zip(short, values, exact)]
         units[batch.column(2).is_null().to_numpy(zero_copy_only=False)] = None
         seeds = batch.column(3).to_numpy(zero_copy_only=False).view(np.uint64)
         numbers = mix(numbers ^ mix(seeds)).view(np.int64)
         none = np.array([u is None for u in units], bool)
         yield pa.RecordBatch.from_arrays([
             batch.column(0), batch.column(2), pa.array(sizes), pa.array(numbers, mask=none),
-            pa.array(units, pa.binary())], ["vec_id", "label", "size", "class", "unit"])
+            pa.array(units, pa.binary())], ["vec_id", "label", "size", "class", "vector"])
+
+
+def _units(vectors, size: int) -> np.ndarray:
+    """Unit vectors, in double precision, of packed ones of one length."""
+    values = np.stack([np.frombuffer(v, np.float64 if len(v) == 8 * size else np.float32)
+                       .astype(np.float64) for v in vectors])
+    largest = np.abs(values).max(axis=1)
+    odd = (largest > 1e140) | (largest < 1e-140)             # squares out of range
+    values[odd] /= largest[odd][:, None]
+    return values / np.sqrt((values * values).sum(axis=1))[:, None]
 
 
 def _pivots(classes: DataFrame, wanted: int) -> dict[int, np.ndarray]:
     """Pivots by length of vector: spread-out members of a sample of fixed size."""
     sample: dict[int, list] = {}
     if wanted > 1:
-        for row in classes.select("size", "class", "unit").orderBy("class").limit(SAMPLE).collect():
-            sample.setdefault(row["size"], []).append(np.frombuffer(row["unit"]))
+        for row in classes.select("size", "class", "vector").orderBy("class").limit(
+                SAMPLE).collect():
+            sample.setdefault(row["size"], []).append(bytes(row["vector"]))
     found = {}
-    for size, units in sample.items():
-        own = np.stack(units)
+    for size, vectors in sample.items():
+        own = _units(vectors, size)
         chosen, nearest = [0], own @ own[0]
         while len(chosen) < min(wanted, len(own)):
             chosen.append(int(nearest.argmin()))
@@ -147,14 +157,14 @@ def _cells(batch: pa.RecordBatch, pivots: dict, reach: float) -> Iterator[pa.Rec
         if around is None:
             row, cell, home = own, np.zeros(len(own), np.int32), np.ones(len(own), bool)
         else:
-            units = np.stack([np.frombuffer(batch.column(4)[int(i)].as_py()) for i in own])
+            units = _units([batch.column(4)[int(i)].as_py() for i in own], int(size))
             far = np.sqrt(np.maximum(0, 2 - 2 * (units @ around.T)))
             nearest = far.argmin(axis=1)
             sent = far <= far.min(axis=1)[:, None] + reach
             at, cell = np.nonzero(sent)
             row, home = own[at], nearest[at] == cell
         part = batch.take(pa.array(row))
-        order = ["class", "label", "size", "copies", "unit"]
+        order = ["class", "label", "size", "copies", "vector"]
         yield pa.RecordBatch.from_arrays(
             [part.column(part.schema.get_field_index(c)) for c in order] + [
                 pa.array(cell.astype(np.int32)), pa.array(home)], [*order, "cell", "home"])
@@ -163,7 +173,7 @@ def _cells(batch: pa.RecordBatch, pivots: dict, reach: float) -> Iterator[pa.Rec
 def _tile(table: pa.Table, cosine: float) -> pa.Table:
     home = table["home"].to_numpy(zero_copy_only=False).astype(bool)
     number = table["class"].to_numpy()
-    units = np.stack([np.frombuffer(u.as_py()) for u in table["unit"]])
+    units = _units(table["vector"].to_pylist(), table["size"][0].as_py())
     copies = table["copies"].to_numpy()[~home]
     rows, columns = number[home], number[~home]
     if not len(rows) or not len(columns):
