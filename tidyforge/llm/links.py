@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from tidyforge.session import materialize
 
 
+def split_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on one column that may have a hot value on the left.
+
+    The null-safe form has exchanges of its own on both sides, also next to an aggregate on
+    the same column, and so adaptive execution can split the hot value.
+    """
+    other = right.withColumnRenamed(key, "__key")
+    return left.join(other, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, the smallest node that its links reach.
 
@@ -24,10 +34,9 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = _straight(both.join(lowest, "a").where("b > a")
-                          .select(F.col("m").alias("a"), "b"))
+        large = split_join(both, lowest, "a").where("b > a").select(F.col("m").alias("a"), "b")
         hub = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(hub, "b").select(F.col("m").alias("a"), F.col("a").alias("b"))
+        small = split_join(large, hub, "b").select(F.col("m").alias("a"), F.col("a").alias("b"))
         edges = materialize(_straight(small.unionByName(
             hub.select(F.col("m").alias("a"), "b"))), "links")
         before, state = state, _state(edges)

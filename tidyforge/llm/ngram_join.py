@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidyforge.llm.hash_tables import (
     PACKED, HashTable, counted, new_folder, shard_bits, text_size, write_table)
-from tidyforge.llm.links import Forest, components, labels_between
+from tidyforge.llm.links import Forest, components, labels_between, split_join
 from tidyforge.llm.words import mix, shingle_sets, slices
 from tidyforge.session import materialize
 
@@ -79,7 +79,7 @@ def jaccard_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined = rows.where("set_id IS NOT NULL").join(found, "set_id", "left").withColumn(
         "class", F.coalesce("component", "set_id"))
     first = joined.groupBy("class").agg(F.min("doc_id").alias("component_id"))
-    linked = joined.join(first, "class").select("doc_id", "n_shingles", "set_id", "component_id")
+    linked = split_join(joined, first, "class").select("doc_id", "n_shingles", "set_id", "component_id")
     alone = rows.where("set_id IS NULL").select(
         "doc_id", "n_shingles", "set_id", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
@@ -138,6 +138,10 @@ def _class_sets(source: DataFrame, chosen: HashTable, shingle: int) -> DataFrame
     return source.mapInArrow(collect, "set_id long, n long, shingles binary")
 
 
+def _parts(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
 def _concatenated(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     parts = [np.frombuffer(x.as_py(), np.uint64) for x in column]
     owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
@@ -149,14 +153,15 @@ def _links(sets: DataFrame, bits: int, percent: int) -> DataFrame:
     spark = sets.sparkSession
 
     def columns(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        yield _concatenated(batch.column(0))[0]
+        for part in _parts(batch):
+            yield _concatenated(part.column(0))[0]
 
     counts = write_table(
         sets.select("shingles").mapInArrow(lambda b: counted(b, columns, bits), PACKED),
         new_folder(spark, "columns"), bits, least=2, with_counts=True)
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             hashes, owner = _concatenated(batch.column(2))
             n = batch.column(1).to_numpy(zero_copy_only=False)
             df = counts.counts(hashes)
@@ -174,7 +179,7 @@ def _links(sets: DataFrame, bits: int, percent: int) -> DataFrame:
 
     keys = materialize(sets.mapInArrow(rarest, "set_id long, shingle long"), "keys")
     hubs = keys.groupBy("shingle").agg(F.min("set_id").alias("a"), F.count("*").alias("n"))
-    near = keys.join(hubs.where("n > 1"), "shingle").select("a", F.col("set_id").alias("b"))
+    near = split_join(keys, hubs.where("n > 1"), "shingle").select("a", F.col("set_id").alias("b"))
     blocks = materialize(components(near), "blocks")
     members = sets.join(blocks.withColumnRenamed("node", "set_id"), "set_id")
     sizes = (sets.select("set_id", "n").join(blocks.withColumnRenamed("node", "set_id"), "set_id")
@@ -182,7 +187,7 @@ def _links(sets: DataFrame, bits: int, percent: int) -> DataFrame:
                  F.ceil(F.count("*") / TILE_DOCS),
                  F.ceil(F.sum("n") / TILE_ENTRIES)).cast("int").alias("tiles")))
     tile = F.pmod(F.xxhash64("set_id"), F.col("tiles")).cast("int")
-    pairs = (members.join(sizes, "component").withColumn("tile", tile)
+    pairs = (split_join(members, sizes, "component").withColumn("tile", tile)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
              .withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
              .select("component", "i", "j", "set_id", "n", "shingles"))
