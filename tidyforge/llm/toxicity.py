@@ -18,7 +18,7 @@ from tidyforge.llm.words import slices
 
 SAMPLE = 8000                # labelled rows the classifier is fitted on, about
 FEATURES = 4000              # features it has at most
-CACHE = 600_000              # words a worker remembers
+CACHE = 250_000              # words a worker remembers
 
 # What a written sign may stand for (fixed values).
 SIGNS = {
