@@ -191,6 +191,14 @@ def test_held_out_score_beats_single_words(spark):
     assert got["s"] > got["b"]
 
 
+def test_query_scores_words_after_two_others(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    model = language_model.fit(docs, fold() != 1, order=3)
+    want = {r["doc_id"]: r["score"] for r in language_model.score(docs, model).collect()}
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op4_language_model"](spark, FOLDER).collect()}
+    assert got == pytest.approx(want)
+
+
 # ---------------------------------------------------------------- packing
 
 def check_packing(rows, capacity=2048):

@@ -14,11 +14,13 @@ from tidyforge.llm.hash_tables import (
     HashTable, new_folder, pack_keys, pack_values, shard_bits, shard_ranges,
     text_size, unpack_keys, unpack_values, write_array)
 from tidyforge.llm.words import Words, combine, find_words, mix, slices
+from tidyforge.session import WorkTables
 
-ORDER = 2
+ORDER = 3
 FLUSH_GRAMS = 2_000_000      # n-grams a task gathers before it sends them
 _START, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0x27D4EB2F165667C5)
-#: Packed rows: n-grams by their words' hashes, or contexts by the hash of their words.
+#: Packed rows: n-grams by their words' hashes, or contexts by the hash of their words.  The
+#: first of ``words`` has the row's different hashes, the others their places in it.
 _ROWS = ("kind string, shard int, words array<binary>, counts binary, raw binary, "
          "ones binary, twos binary, more binary")
 
@@ -106,12 +108,15 @@ def fit(docs: DataFrame, training: Column, text: str = "text", order: int = ORDE
     dealt = {k: bits if k > 1 or order == 1 else max(3, bits - 3)
              for k in range(1, order + 1)}               # single words are far fewer
     grams, contexts, seen, facts = {}, {}, {}, np.zeros(8)
+    passed = WorkTables(spark)                           # what the next order has read
     for k in range(order, 0, -1):
         step = _Level(k, folder, dealt.get(k - 1, bits))
         sent = rows.where(F.col("kind") == "grams").groupBy("shard").applyInArrow(
             _by_table(step.grams), f"{_ROWS}, facts array<long>, size long")
         path = new_folder(spark, f"ngrams-{k}")
         sent.write.parquet(path)
+        passed.release()
+        passed.paths.append(path)
         sent = spark.read.schema(sent.schema).parquet(path)
         told = sent.where("kind = 'facts'").select("shard", "facts", "size").collect()
         grams[k] = HashTable(f"{folder}/{k}", dealt[k], [r["shard"] for r in told if r["size"]],
@@ -126,6 +131,7 @@ def fit(docs: DataFrame, training: Column, text: str = "text", order: int = ORDE
                                     {"counts": np.float64, "ones": np.uint32,
                                      "twos": np.uint32, "more": np.uint32})
         rows = sent
+    passed.release()
     pairs, types, tokens = (int(x) for x in facts[5:8])
     return NgramModel(order, grams, contexts, seen, tokens, types, pairs)
 
@@ -158,9 +164,11 @@ def _follow(key: np.ndarray, column: np.ndarray) -> np.ndarray:
 def _packed(kind: str, key, columns, counts, raw, bits, more=None):
     """Packed rows; within a row the n-grams are in the order of their words."""
     for shard, at in shard_ranges(key, bits):
-        order = np.lexsort([c[at] for c in columns[::-1]])
-        packed = [pack_keys(columns[0][at][order])] + [
-            pack_values(c[at][order]) for c in columns[1:]]
+        names, places = np.unique(np.concatenate([c[at] for c in columns]), return_inverse=True)
+        places = places.reshape(len(columns), -1)
+        order = np.lexsort(places[::-1])
+        packed = [pack_keys(names), pack_keys(places[0][order].astype(np.uint64))] + [
+            pack_values(p[order]) for p in places[1:]]
         extra = [pack_values(m[at][order]) for m in more] if more else [None] * 3
         yield {"kind": kind, "shard": shard, "words": packed,
                "counts": pack_values(counts[at][order]), "raw": pack_values(raw[at][order]),
@@ -174,9 +182,13 @@ _ARROW_SENT = _ARROW.append(pa.field("facts", pa.list_(pa.int64()))).append(
 
 
 def _unpacked(table: pa.Table):
-    rows = table["words"].to_pylist()
-    columns = [np.concatenate([(unpack_values if i else unpack_keys)(r[i]) for r in rows])
-               for i in range(len(rows[0]))]
+    held: list = []
+    for packed in table["words"]:
+        names, *places = packed.as_py()
+        names = unpack_keys(names)
+        held.append([names[(unpack_values if i else unpack_keys)(p).astype(np.int64)]
+                     for i, p in enumerate(places)])
+    columns = [np.concatenate(c) for c in zip(*held)]
     return columns, [np.concatenate([unpack_values(v.as_py()) for v in table[c]])
                      if table[c][0].is_valid else None
                      for c in ("counts", "raw", "ones", "twos", "more")]
