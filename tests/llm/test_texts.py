@@ -63,6 +63,38 @@ def test_restores_leetspeak_spacing_and_repetition(spark):
         assert restorer.words(long) and restorer.text(long)
 
 
+RUDE = "idiot loser trash shit ass dumbass".split()
+
+
+@pytest.fixture(scope="module")
+def rude(spark):
+    """Rows of the toxic corpus with ruder words, and their labels."""
+    rows, labels = toxic_corpus(900)
+    pick = random.Random(6)
+    return [(i, " ".join(pick.choice(RUDE) if w in NASTY else w for w in t.split()))
+            for i, t in rows], labels
+
+
+def test_signs_at_the_ends_are_letters(spark, rude):
+    restorer = Restorer(count_letters(spark.createDataFrame([(t,) for _, t in rude[0]], "text string")))
+    for written, word in {"!diot": "idiot", "|oser": "loser", "+rash": "trash", "shi+": "shit",
+                          "a$$": "ass", "dumba$$": "dumbass", "$hit": "shit", "the***": "the",
+                          "loser!!": "loser", "loser!": "loser", "idiot###": "idiot"}.items():
+        assert restorer.word(written) == (word,), written
+    for written, word in {"|loser|": "loser", "+idiot": "idiot", "$$$trash$$$": "trash"}.items():
+        assert word in restorer.words(written), written
+
+
+def test_scores_of_disguises_at_the_ends(spark, rude):
+    rows, labels = rude
+    hidden = ["the !diot is", "that |oser was", "an a$$ for", "is +rash", "loser!! the", "|loser| is"]
+    clean = ["the*** of 2024!", "that is $100, +49 or 50€", "!!! *** $$ the"]
+    docs = spark.createDataFrame(rows + list(enumerate(hidden + clean, start=5000)), "doc_id long, text string")
+    told = spark.createDataFrame(labels, "doc_id long, toxic int")
+    scored = {r["doc_id"]: r["score"] for r in score_toxicity(docs, told).collect()}
+    assert [scored[5000 + k] >= 0.5 for k in range(9)] == [True] * 6 + [False] * 3
+
+
 def test_scores_follow_held_out_labels(spark):
     rows, labels = toxic_corpus(900)
     docs = spark.createDataFrame(rows, "doc_id long, text string")

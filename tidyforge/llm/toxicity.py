@@ -32,6 +32,7 @@ STANDS_FOR, MASKED = -1.2, -4.5          # a sign, or a mask, for a letter
 IS_MARK, DROPPED, EDGE_MARK = -0.7, -2.5, -0.3   # a mark that parts words, hides, or ends one
 LIKE_MARK, LIKE_DROPPED, IS_DIGIT = -8.0, -10.0, -9.0      # the same of signs like letters
 SECOND, THIRD = -3.0, -0.3   # a letter written twice, or more often, by repetition
+TWO_SIGNS = -6.0             # a sign like a letter written twice by repetition
 GAP, NO_GAP = -1.0, -0.4     # a space between single letters is real, or is not
 UNUSUAL = -4.6               # a doubled letter less likely than this may be repetition
 
@@ -49,7 +50,7 @@ _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!|+*])(?:[ \t._*~-]{1,3}(?:[^\W_]|[@$
 _PARTS = re.compile(r"[^\W_]|[@$!|+]")
 _MARKS = ".,;:?\"'()[]%&/\\^~`=-_«»“”‘’„…–—•·¿"
 _EDGE = re.compile(r"^[^\w@$!|+*#(<{€£¡¢§]+|[^\w@$!|+*#€£¢§]+$")
-_ENDS = re.compile(r"^(?:[!*#|+]|([^\w])\1)+|(?:[!*#|+]|([^\w])\2)(?:[^\w])*$")
+_OUTER = _MARKS + MASKS + "".join(c for c in SIGNS if not c.isalnum())
 _REPEATED = re.compile(r"(\w)\1")
 
 
@@ -108,7 +109,7 @@ class Restorer:
         """Distinct words of the restored text, in lower case."""
         found: set[str] = set()
         for written in set(text.split()):
-            found.update(self.word(written))
+            found.update(self.readings(written, self.word))
         for match in _SPACED.finditer(text):
             found.update(self.spaced(match.group()))
         return found
@@ -127,6 +128,17 @@ class Restorer:
             found = self.known[written] = self.restore(written)
         return found
 
+    @staticmethod
+    def readings(written: str, read) -> tuple[str, ...]:
+        """What ``read`` makes of a run as it is and, if signs enclose it, without them."""
+        if written[0].isalnum() and written[-1].isalnum():
+            return read(written)
+        whole = _prepared(written).strip(_MARKS)
+        inner = whole.strip(_OUTER)
+        plain = inner != whole and any(c.isalpha() for c in inner)
+        found = read(written)
+        return found + tuple(w for w in read(inner) if w not in found) if plain else found
+
     def spaced(self, run: str) -> tuple[str, ...]:
         """The words that single letters with blanks or marks between them stand for."""
         arcs, end = [], 0
@@ -143,9 +155,6 @@ class Restorer:
         if word.isalpha() and word.isascii() and not _REPEATED.search(word):
             return (word,)
         word = _EDGE.sub("", _prepared(word).lower())
-        if not word.isalpha():
-            plain = _ENDS.sub("", word)          # "word!!", "word***": marks, not letters
-            word = plain if plain.isalpha() else word
         if word.isalpha() and not self._stretched(word):
             return (word,)
         if not any(c.isalpha() for c in word):
@@ -153,7 +162,8 @@ class Restorer:
         runs = [(m.group(1), len(m.group())) for m in re.finditer(r"(.)\1*", word, re.S)]
         arcs: list = []
         for k, (sign, times) in enumerate(runs):
-            edge = k == 0 or k == len(runs) - 1
+            last = k == len(runs) - 1
+            edge = last if sign == "!" else sign not in SIGNS and (k == 0 or last)
             arcs += self._run(sign, times, edge)
         return tuple(self._decode(arcs).split())
 
@@ -180,7 +190,7 @@ class Restorer:
         return found
 
     def _run(self, sign: str, times: int, edge: bool) -> list:
-        """Arcs for a sign written ``times`` times in a row."""
+        """Arcs for a sign written ``times`` times in a row; a mark is usual at an ``edge``."""
         letters = self._letters(sign)
         if sign.isalpha():
             again = [(c, t, 0.0) for c, t, _ in letters] + [
@@ -191,7 +201,8 @@ class Restorer:
                               IS_DIGIT if sign.isdigit() else EDGE_MARK if edge else LIKE_MARK)]
             if not sign.isdigit():
                 own.append((None, "", EDGE_MARK if edge else LIKE_DROPPED))
-            return [own] + [[*letters, (None, "", THIRD)]] * (times > 1)
+            again = TWO_SIGNS if times == 2 and not edge else THIRD
+            return [own] + [[*letters, (None, "", again)]] * (times > 1)
         mark = [(0, "", EDGE_MARK if edge else IS_MARK), (None, "", EDGE_MARK if edge else DROPPED)]
         return [[*letters, *mark]] * (min(times, 2) if letters and not edge else 1)
 
@@ -272,7 +283,8 @@ class Scorer:
             if telling is None:
                 if len(known) >= CACHE:
                     known.clear()
-                telling = known[written] = self._telling(self.restorer.restore(written))
+                telling = known[written] = self._telling(
+                    self.restorer.readings(written, self.restorer.restore))
             if telling:
                 found.update(telling)
         for match in _SPACED.finditer(text):
@@ -364,7 +376,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     repeated, marks or blanks stand between them.  The readings of a word are a lattice of
     letters; the Viterbi path under a model of letter triples, counted over all texts, is the
     restored word, and a classifier learned from ``labels`` (where ``usable`` holds) scores the
-    restored words.  Words that have one reading only are their own path.  An empty or missing
+    restored words.  Words that have one reading only are their own path.  Signs around a word
+    may be letters or marks: the word without them is scored too.  An empty or missing
     text gets the score of a text without any telling word.  Equal texts have equal scores,
     rows that occur twice are scored twice; ``restored`` names a column for the restored text.
     All other columns stay; ones with the added names are replaced.
