@@ -85,14 +85,23 @@ def test_signs_at_the_ends_are_letters(spark, rude):
         assert word in restorer.words(written), written
 
 
-def test_scores_of_disguises_at_the_ends(spark, rude):
+def test_words_of_signs_alone(spark, rude):
+    restorer = Restorer(count_letters(spark.createDataFrame([(t,) for _, t in rude[0]], "text string")))
+    for written in ("@$$", "455", "4$$", "@$$!!", "(455)"):
+        assert restorer.word(written) == ("ass",), written
+    for written in ("2024", "1,200", "$100", "+49", "50€", "$$", "!!!", "|", "7", "--", "***"):
+        assert restorer.word(written) == (), written
+
+
+def test_scores_of_disguises_at_the_ends_and_without_letters(spark, rude):
     rows, labels = rude
-    hidden = ["the !diot is", "that |oser was", "an a$$ for", "is +rash", "loser!! the", "|loser| is"]
+    hidden = ["the !diot is", "that |oser was", "an a$$ for", "is +rash", "loser!! the", "|loser| is",
+              "the @$$ was", "from 455"]
     clean = ["the*** of 2024!", "that is $100, +49 or 50€", "!!! *** $$ the"]
     docs = spark.createDataFrame(rows + list(enumerate(hidden + clean, start=5000)), "doc_id long, text string")
     told = spark.createDataFrame(labels, "doc_id long, toxic int")
     scored = {r["doc_id"]: r["score"] for r in score_toxicity(docs, told).collect()}
-    assert [scored[5000 + k] >= 0.5 for k in range(9)] == [True] * 6 + [False] * 3
+    assert [scored[5000 + k] >= 0.5 for k in range(11)] == [True] * 8 + [False] * 3
 
 
 def test_scores_follow_held_out_labels(spark):

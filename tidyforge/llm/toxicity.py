@@ -51,6 +51,7 @@ _PARTS = re.compile(r"[^\W_]|[@$!|+]")
 _MARKS = ".,;:?\"'()[]%&/\\^~`=-_«»“”‘’„…–—•·¿"
 _EDGE = re.compile(r"^[^\w@$!|+*#(<{€£¡¢§]+|[^\w@$!|+*#€£¢§]+$")
 _OUTER = _MARKS + MASKS + "".join(c for c in SIGNS if not c.isalnum())
+_MONEY = re.compile(r"[$€£¢+]\d+\W*")
 _REPEATED = re.compile(r"(\w)\1")
 
 
@@ -157,15 +158,19 @@ class Restorer:
         word = _EDGE.sub("", _prepared(word).lower())
         if word.isalpha() and not self._stretched(word):
             return (word,)
-        if not any(c.isalpha() for c in word):
-            return ()
+        letters = any(c.isalpha() for c in word)
+        if not letters:
+            word = word.strip(MASKS)
+            if len(set(word)) < 2 or not all(c in SIGNS for c in word) or _MONEY.fullmatch(word):
+                return ()
         runs = [(m.group(1), len(m.group())) for m in re.finditer(r"(.)\1*", word, re.S)]
         arcs: list = []
         for k, (sign, times) in enumerate(runs):
             last = k == len(runs) - 1
             edge = last if sign == "!" else sign not in SIGNS and (k == 0 or last)
             arcs += self._run(sign, times, edge)
-        return tuple(self._decode(arcs).split())
+        found = tuple(self._decode(arcs).split())
+        return found if letters or all(w.isalpha() for w in found) else ()
 
     def _stretched(self, word: str) -> bool:
         for match in _REPEATED.finditer(word):
@@ -377,7 +382,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column | None = N
     letters; the Viterbi path under a model of letter triples, counted over all texts, is the
     restored word, and a classifier learned from ``labels`` (where ``usable`` holds) scores the
     restored words.  Words that have one reading only are their own path.  Signs around a word
-    may be letters or marks: the word without them is scored too.  An empty or missing
+    may be letters or marks: the word without them is scored too.  Digits and signs alone are a
+    word if that is likelier than a number; numbers are no words.  An empty or missing
     text gets the score of a text without any telling word.  Equal texts have equal scores,
     rows that occur twice are scored twice; ``restored`` names a column for the restored text.
     All other columns stay; ones with the added names are replaced.
