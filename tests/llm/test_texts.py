@@ -418,6 +418,15 @@ def test_comments_and_adverts_inside_articles():
     assert main_text(page, Scanner()) == "a b\n\nc\n\nx y"
 
 
+def test_all_names_of_an_element_are_read():
+    names = "flex flex-col gap-4 items-center lg:w-1/4 mt-4 p-4 rounded"
+    for last in ("sidebar", "social", "widget", "z-10 sidebar"):
+        page = f"<div class=story><p>{'words ' * 9}</p></div><div class='{names} {last}'><p>not this</p></div>"
+        assert main_text(page, Scanner()) == " ".join(["words"] * 9)
+    page = f"<main><article class='{names} widget'><p>{'no ' * 9}</p></article><p>{'words ' * 9}</p></main>"
+    assert main_text(page, Scanner()) == " ".join(["words"] * 9)
+
+
 def test_weights_are_learned_from_labelled_pages(spark):
     page = ("<body><div class=promo>{0}</div><div class=story><article><p>{1}</p></article></div>"
             "<div class=zz9>{0}</div></body>")

@@ -52,7 +52,7 @@ def element_key(tag: str, attributes: str) -> str:
         return tag
     names = sorted({w.lower() for _, value in _NAME.findall(attributes)
                     for w in value.strip("\"'").split()})
-    return ".".join([tag, *names[:8]])
+    return ".".join([tag, *names])
 
 
 def default_weight(key: str) -> float:
