@@ -427,6 +427,18 @@ def test_all_names_of_an_element_are_read():
     assert main_text(page, Scanner()) == " ".join(["words"] * 9)
 
 
+def test_text_after_icons_and_custom_elements():
+    for tag in ("<svg class=x />", "<svg/>", '<svg-icon n="x"></svg-icon>', "<svg><path d='z'/><text>no</text></svg>",
+                "<object-view></object-view>", "<title-bar></title-bar>", "<math/>", "<script-x></script-x>",
+                "<style>no</style >", "<object data=x>no</object>", "<iframe src=x></iframe>"):
+        assert main_text(f"{tag}<p>the article</p>", Scanner()) == "the article", tag
+        assert main_text(f"<article><p>one {tag} two</p><p>three</p></article>", Scanner()) == (
+            "one two\n\nthree"), tag
+    page = ("<p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><mspace/><annotation encoding='t'>x=2</annotation>"
+            "</math> holds</p><p>next</p>")
+    assert main_text(page, Scanner()) == "where x=2 holds\n\nnext"
+
+
 def test_weights_are_learned_from_labelled_pages(spark):
     page = ("<body><div class=promo>{0}</div><div class=story><article><p>{1}</p></article></div>"
             "<div class=zz9>{0}</div></body>")

@@ -24,7 +24,8 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav "
     "ol p pre search section summary table tbody td tfoot th thead title tr ul".split())
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|title"
+RAW = "script|style|noscript|template|textarea|iframe|svg|object|title|annotation|annotation-xml"
+FOREIGN = frozenset({"svg", "math"})                      # "/>" ends these, unlike HTML's own
 CONTENT = frozenset({"article", "main"})                  # what labels a page
 #: Elements that hold no article text unless pages show it, and such words of class, id, role.
 OUTSIDE_TAGS = frozenset("nav header footer aside form button select option label head menu dialog "
@@ -38,7 +39,8 @@ OUTSIDE_WORDS = frozenset(
     "contentinfo complementary".split())
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<(?!svg\b[^>]*/>)({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-z][^\s/>]*)([^>]*)>"""
     r"|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -109,6 +111,8 @@ class Scanner:
                 continue
             if tag in _CLOSES_P:
                 self._end_paragraph(stack)
+            if tag in FOREIGN and (attributes or "").rstrip().endswith("/"):
+                continue
             if tag in VOID:
                 yield "open", tag, stack
                 continue
