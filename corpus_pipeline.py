@@ -23,17 +23,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each group of near duplicates.
 
-    Of rows with the same doc_id one is kept.  Rows without a doc_id get a name from their text
-    for the time being, below all real ones, so equal ones are one document.
+    Groups are made of rows, so texts under one doc_id are told apart; rows with equal doc_ids
+    follow the hash of their text, rows without one come last.  Rows without words stay.
     """
-    named = docs.withColumn("doc_id", F.coalesce(
-        F.col("doc_id"), F.lit(-1) - F.abs(F.xxhash64("text"))))
-    missing = F.col("doc_id") < 0
-    first = jaccard_classes(named).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    unnamed = docs.where("doc_id < 0").limit(1).count() == 0
-    return kept.withColumn("doc_id", F.when(missing, F.lit(None)).otherwise(
-        F.col("doc_id")) if unnamed else F.col("doc_id")).select(*docs.columns)
+    rows = materialize(docs.withColumn(" row", F.monotonically_increasing_id()), "rows")
+    groups = jaccard_classes(rows, " row").select(F.col("doc_id").alias(" row"), "component_id")
+    first = rows.select(" row", "doc_id", F.xxhash64("text").alias("text")).join(
+        groups, " row").groupBy("component_id").agg(F.min(F.struct(
+            F.col("doc_id").isNull(), "doc_id", "text", F.col(" row").alias("row"))).alias("first"))
+    return rows.join(first.select(F.col("first.row").alias(" row")), " row", "left_semi").select(
+        *docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

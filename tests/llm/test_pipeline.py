@@ -140,6 +140,19 @@ def test_stages_with_odd_rows(spark):
             assert out.count() >= 0 if source is docs else out.count() == 0
 
 
+def test_rows_that_share_an_id_are_told_apart(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(7, one), (7, two), (7, two), (9, one), (3, two), (-4, three), (None, three + " more"), (None, None),
+            (None, "..."), (None, "!"), (None, "a lost text of some words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows],
+                                 spark.read.parquet(f"{FOLDER}/documents.parquet").schema)
+    for source in (docs, docs.repartition(5)):
+        kept = corpus_pipeline.one_of_each_group(spark, source, FOLDER)
+        assert kept.dtypes == docs.dtypes
+        assert Counter((r["doc_id"], r["text"]) for r in kept.collect()) == Counter(
+            [(7, one), (3, two), (-4, three), (None, None), (None, "..."), (None, "!"), rows[-1]])
+
+
 def test_queries_return_the_columns_of_their_contracts(spark):
     want = {
         "op1": "doc_id held_out score predicted", "op2": "query_id rank vec_id score",
