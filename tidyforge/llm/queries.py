@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyforge.llm import language_model
 from tidyforge.llm.main_text import extract_main_text
+from tidyforge.llm.merkle import manifest, proof_digest
 from tidyforge.llm.mixing import mix_plan
 from tidyforge.llm.ngram_join import jaccard_classes
 from tidyforge.llm.packing import pack
@@ -237,3 +238,84 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     files = write_archives(table(spark, folder, "pages"))
     return read_archives(files).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def tampered() -> Column:
+    """``n_chars`` of a document, one more where 7 divides the CRC-32 of its id."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
+    return F.when(F.crc32(name) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+
+
+@_query(r"""
+WITH RECURSIVE t AS (
+  SELECT list((SELECT list_reduce([i] || range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) ORDER BY i) AS crc
+  FROM range(256) r(i)),
+c AS (
+  SELECT *, 4294967295 - list_reduce([4294967295::BIGINT] || list_transform(
+      string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: coalesce(ascii(x), 0)::BIGINT),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])) AS crc32
+  FROM documents, t),
+l AS (
+  SELECT doc_id, lang, n_chars, coalesce(n_chars + (crc32 % 7 = 0)::BIGINT, n_chars) AS told,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
+      || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM c),
+h AS (
+  SELECT doc_id, lang,
+    sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(told::VARCHAR) || ':' || told, '-') || tail) AS claim
+  FROM l),
+o AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS pos
+  FROM h),
+low(level, tree, pos, n, digest) AS (
+  SELECT 0, tree, pos, count(*) OVER (PARTITION BY tree), leaf FROM o
+  UNION ALL
+  SELECT DISTINCT level + 1, tree, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '')
+    OVER (PARTITION BY level, tree, pos // 2 ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM low WHERE n > 1),
+subroots AS (SELECT tree, digest, count(*) OVER () AS n FROM low WHERE n = 1),
+high(level, tree, pos, n, digest) AS (
+  SELECT 0, 0, tree, n, digest FROM subroots
+  UNION ALL
+  SELECT DISTINCT level + 1, tree, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '')
+    OVER (PARTITION BY level, tree, pos // 2 ORDER BY pos
+      ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+  FROM high WHERE n > 1),
+heights AS (SELECT tree, max(level) AS height FROM low GROUP BY tree),
+nodes AS (
+  SELECT level, tree, pos, n, digest FROM low
+  UNION ALL SELECT level - 1000, tree, pos, n, digest FROM high),
+walk(doc, leaf, tree, k, level, slot, node, folded, siblings) AS (
+  SELECT o.tree || ':' || o.pos, o.leaf, o.tree, 0, 0, o.pos, o.tree, claim, '' FROM o
+  UNION ALL
+  SELECT doc, leaf, w.tree, k + 1,
+    CASE WHEN w.level >= 0 AND p.n = 1 THEN -1000 ELSE w.level + 1 END,
+    CASE WHEN w.level >= 0 AND p.n = 1 THEN w.tree ELSE slot // 2 END,
+    CASE WHEN w.level >= 0 AND p.n = 1 THEN 0 ELSE node END,
+    CASE WHEN p.n = 1 THEN folded
+      WHEN slot % 2 = 1 THEN sha256(s.digest || folded)
+      ELSE sha256(folded || coalesce(s.digest, '')) END,
+    siblings || CASE WHEN p.n = 1 THEN '' ELSE coalesce(s.digest, '') END
+  FROM walk w JOIN nodes p ON p.level = w.level AND p.tree = w.node AND p.pos = w.slot
+    LEFT JOIN nodes s ON s.level = w.level AND s.tree = w.node AND s.pos = xor(w.slot, 1)
+  WHERE NOT (w.level < 0 AND p.n = 1)),
+ends AS (SELECT doc, arg_max(folded, k) AS folded, arg_max(siblings, k) AS siblings
+         FROM walk GROUP BY doc)
+SELECT o.doc_id, o.leaf, subroots.digest AS subroot, r.digest AS root,
+  sha256(siblings) AS proof_sha256, folded AS folded_root, folded = r.digest AS verified
+FROM o JOIN ends ON doc = o.tree || ':' || o.pos JOIN subroots ON subroots.tree = o.tree
+  JOIN (SELECT digest FROM high WHERE n = 1) r ON true""")
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf and proof in a tree per language, checked against a changed copy."""
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    claims = [tampered() if c == "n_chars" else F.col(c) for c in columns]
+    proven = manifest(table(spark, folder, "documents"), "lang", ["doc_id"], columns, claims)
+    return proven.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"),
+        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
