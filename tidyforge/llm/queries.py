@@ -16,6 +16,7 @@ from tidyforge.llm.ngram_join import jaccard_classes
 from tidyforge.llm.packing import pack
 from tidyforge.llm.range_join import near_vectors
 from tidyforge.llm.repeats import remove_repeats
+from tidyforge.llm.sharding import shard_rows
 from tidyforge.llm.top_k import top_k
 from tidyforge.llm.toxicity import score_toxicity
 from tidyforge.llm.warc import read_archives, write_archives
@@ -240,6 +241,18 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@_query()
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of near equal bytes, equal texts in one shard."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", F.crc32(text).alias("text_crc32"), F.octet_length(text).alias("bytes"),
+        F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("key"))
+    placed = shard_rows(docs, F.col("key"), F.col("bytes") + 1, 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def tampered() -> Column:
     """``n_chars`` of a document, one more where 7 divides the CRC-32 of its id."""
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")
