@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyforge.llm import language_model
+from tidyforge.llm.conversations import ordered_sha256, repair
 from tidyforge.llm.main_text import extract_main_text
 from tidyforge.llm.merkle import manifest, proof_digest
 from tidyforge.llm.mixing import mix_plan
@@ -241,6 +242,115 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def _crc32_sql(name: str, key: str) -> str:
+    """Parts of a WITH clause: ``c``, the table with the CRC-32 of an ASCII text as ``crc32``."""
+    return rf"""t AS (
+  SELECT list((SELECT list_reduce([i] || range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) ORDER BY i) AS crc
+  FROM range(256) r(i)),
+c AS (
+  SELECT *, 4294967295 - list_reduce([4294967295::BIGINT] || list_transform(list_filter(
+      string_split({key}, ''), lambda x: x <> ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])) AS crc32
+  FROM {name}, t)"""
+
+
+def _way(state: str, cost: str, letter: str, line: str, allowed: str = "true") -> str:
+    """An edit in SQL: its letter and line, then the cheapest way on from ``state``."""
+    return (f"{{'cost': CASE WHEN {allowed} THEN {state}.cost + {cost} ELSE 1000000000 END, "
+            f"'audit': '{letter}' || {state}.audit, 'said': {line} || {state}.said}}")
+
+
+def _best(state: str, role: str, following: str) -> str:
+    """The cheapest edit of row ``r`` in ``state``, where ``role`` leads to ``following``."""
+    ways = [_way(f"p.{state}", "2", "D", "''"),
+            _way(f"p.{following}", "late + 1", "R", rf"chr(10) || '{role}:' || r.text", "stays"),
+            _way(f"p.{following}", "late", "K", "chr(10) || r.role || ':' || r.text",
+                 f"stays AND r.role[1] = '{role[0]}'")]
+    if state == "n":
+        ways.append(_way("p.s", "late", "K", "chr(10) || r.role || ':' || r.text",
+                         "stays AND r.role[1] = 's'"))
+    return f"list_sort([{', '.join(ways)}])[1]"
+
+
+def _or_insert(state: str, role: str, following: str) -> str:
+    return (f"list_sort([{state}, " + _way(following, "5", "I", f"chr(10) || '{role}:'")
+            + "])[1]")
+
+
+@_query(rf"""
+WITH RECURSIVE {_crc32_sql("conversations",
+    "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")},
+d AS (
+  SELECT conv_id, turn, CASE WHEN crc32 % 20 = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE crc32 % 20 WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g')
+      ELSE coalesce(text, ' ') END AS text,
+    unnest(CASE crc32 % 20 WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id
+        ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
+f AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 3 ELSE 0 END AS fault,
+    lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair FROM o),
+r AS (SELECT *, fault NOT IN (1, 2) AS stays, CASE WHEN fault = 3 THEN 5 ELSE 0 END AS late FROM f),
+b AS (
+  SELECT conv_id, greatest(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+    count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id),
+p(conv_id, i, n, s, u, a) AS (
+  SELECT conv_id, n + 1, {{'cost': 0, 'audit': '', 'said': ''}},
+    {{'cost': 10, 'audit': 'II', 'said': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+    {{'cost': 5, 'audit': 'I', 'said': chr(10) || 'assistant:'}},
+    {{'cost': 0, 'audit': '', 'said': ''}} FROM b
+  UNION ALL
+  SELECT conv_id, i, {_or_insert("x.n", "user", "y.u")}, {_or_insert("x.s", "user", "y.u")}, y.u, y.a
+  FROM (SELECT x, {{'u': {_or_insert("x.u", "assistant", "x.a")},
+      'a': {_or_insert("x.a", "user", "x.u")}}} AS y, conv_id, i
+    FROM (SELECT p.conv_id, r.i, {{'n': {_best("n", "user", "u")}, 's': {_best("s", "user", "u")},
+        'u': {_best("u", "assistant", "a")}, 'a': {_best("a", "user", "u")}}} AS x
+      FROM p JOIN r ON p.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = p.i - 1)))
+SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(p.n.cost, 0)::BIGINT AS cost,
+  coalesce(p.n.audit, '') AS audit, sha256(coalesce(p.n.said[2:], '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) k
+  LEFT JOIN b ON k.conv_id IS NOT DISTINCT FROM b.conv_id
+  LEFT JOIN p ON k.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = 1""")
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation damaged by a rule and repaired at the least cost."""
+    rows = table(spark, folder, "conversations")
+    found, repaired = repair(damaged(rows))
+    said = ordered_sha256(repaired, "conv_id", ["place", "step"],
+                          F.concat("role", F.lit(":"), "text"))
+    out = rows.select(F.col("conv_id").alias("__id")).distinct()
+    for part in (found, said):
+        out = out.join(part, F.col("__id").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    zero = F.lit(0).cast("long")
+    return out.select(
+        F.col("__id").alias("conv_id"),
+        *[F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated",
+                                                 "illegal", "cost")],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut short, repeated or renamed by a hash."""
+    def space(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    key = F.concat(space("conv_id"), F.lit(":"), space("turn"))
+    kind = F.crc32(key.cast("binary")) % 20
+    text = F.when(kind == 1, "").when(
+        kind == 2, F.regexp_replace(space("text"), "[.!?]", "")).otherwise(space("text"))
+    copies = F.when(kind == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(space("role")).alias("role"),
+        text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
 @_query()
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 16 shards of near equal bytes, equal texts in one shard."""
@@ -259,16 +369,8 @@ def tampered() -> Column:
     return F.when(F.crc32(name) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
 
 
-@_query(r"""
-WITH RECURSIVE t AS (
-  SELECT list((SELECT list_reduce([i] || range(8), lambda c, k:
-    CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) ORDER BY i) AS crc
-  FROM range(256) r(i)),
-c AS (
-  SELECT *, 4294967295 - list_reduce([4294967295::BIGINT] || list_transform(
-      string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: coalesce(ascii(x), 0)::BIGINT),
-    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])) AS crc32
-  FROM documents, t),
+@_query(rf"""
+WITH RECURSIVE {_crc32_sql("documents", "coalesce(doc_id::VARCHAR, '')")},
 l AS (
   SELECT doc_id, lang, n_chars, coalesce(n_chars + (crc32 % 7 = 0)::BIGINT, n_chars) AS told,
     coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-')
