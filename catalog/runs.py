@@ -1,6 +1,7 @@
 """Sources, sinks, whole runs and tuning."""
 
 import io
+from contextlib import contextmanager
 from functools import reduce
 
 import pyarrow as pa
@@ -86,6 +87,54 @@ def csv_documents_roundtrip(t):
     return load(t.spark, path, schema="doc_id bigint, text string, n_chars bigint", na_tokens=[])
 
 
+@query("""
+SELECT doc_id, concat('  "', text, '" , ', lang, chr(10), source, ' ') AS text, n_chars FROM documents""")
+def csv_split_file(t):
+    """Whole texts with line breaks in a single file, which is cut into many splits."""
+    path = shared_path(t.spark, "documents") + ".csv"
+    dirty = F.concat(F.lit('  "'), "text", F.lit('" , '), "lang", F.lit("\n"), "source", F.lit(" "))
+    save_output(t.documents.select("doc_id", dirty.alias("text"), "n_chars"), path, single_file=True)
+    with _many_splits(t.spark):
+        return load(t.spark, path, na_tokens=[])
+
+
+@contextmanager
+def _many_splits(spark):
+    """Split files evenly among the cores, however small they are."""
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    yield
+    spark.conf.set(name, before)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_split_array(t):
+    """Arrays of records, each cut into many splits."""
+    path = shared_path(t.spark, "arrays") + ".json"
+    record = F.struct("c_custkey", "c_name", "c_acctbal")
+    t.customer.groupBy(F.expr("c_custkey % 3 AS part")).agg(
+        F.to_json(F.collect_list(record)).alias("value")).write.partitionBy("part").text(path)
+    with _many_splits(t.spark):
+        return load(t.spark, path, orient="records").select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer")
+def json_column_objects(t):
+    """Files that hold an object of cells, by row label, for every column."""
+    path = shared_path(t.spark, "columns") + ".json"
+    texts = {"c_custkey": F.col("c_custkey").cast("string"), "c_acctbal": F.col("c_acctbal").cast("string"),
+             "c_name": F.concat(F.lit('"'), "c_name", F.lit('"'))}
+    label = F.concat(F.lit('"'), F.col("c_custkey").cast("string"), F.lit('":'))
+    members = [F.concat(F.lit(f'"{c}":{{'), F.array_join(F.collect_list(F.concat(label, text)), ","),
+                        F.lit("}")) for c, text in texts.items()]
+    t.customer.groupBy(F.expr("c_custkey % 3 AS part")).agg(F.concat(
+        F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("value")).write.partitionBy(
+        "part").text(path)
+    with _many_splits(t.spark):
+        return load(t.spark, path).select("c_custkey", "c_name", "c_acctbal")
+
+
 @query("SELECT * FROM supplier")
 def parquet_scan(t):
     return load_data(t.spark, t.path("supplier"))
@@ -192,8 +241,8 @@ def stage_report(t):
 
 
 @query("""
-WITH e AS (SELECT event_id, user_id, value, CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit
-    FROM events), c AS (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY')
+WITH e AS (SELECT event_id, user_id, value, CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit,
+    CASE WHEN event_id % 4 > 0 THEN value END AS told FROM events), c AS (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY')
 SELECT 'load' AS stage, 'rows' AS metric, count(*) AS value FROM e
 UNION ALL SELECT 'merge 1 input', 'rows', count(*) FROM customer
 UNION ALL SELECT 'merge 1 filtered', 'rows', count(*) FROM c
@@ -201,19 +250,24 @@ UNION ALL SELECT 'merge 1 filtered', 'keys', count(DISTINCT c_custkey) FROM c
 UNION ALL SELECT 'deduplicate', 'rows', count(DISTINCT event_id) FROM e
 UNION ALL SELECT 'units', 'rows', count(DISTINCT event_id) FROM e
 UNION ALL SELECT 'units', 'converted_0', count(DISTINCT event_id) FROM e WHERE unit = 'g' AND value IS NOT NULL
+UNION ALL SELECT 'units', 'converted_1', count(DISTINCT event_id) FROM e WHERE event_id % 2 = 1 AND told IS NOT NULL
 UNION ALL SELECT 'save', 'rows', count(DISTINCT event_id) FROM e
 UNION ALL SELECT 'impute', 'dropped_columns', 0""")
 def run_report(t):
     """Counters of a whole run: rows read, filtered, collapsed, converted and saved."""
     report = StageReport()
     events = t.events.selectExpr("event_id", "user_id", "value",
-                                 "CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit")
+                                 "CASE event_id % 3 WHEN 0 THEN 'mg' WHEN 1 THEN 'g' ELSE 'odd' END AS unit",
+                                 "CASE WHEN event_id % 4 = 0 THEN '<5' ELSE CAST(value AS STRING) END AS told",
+                                 "CASE event_id % 2 WHEN 1 THEN 'kg' ELSE 'g' END AS told_unit")
     customers = t.customer.selectExpr("c_custkey AS user_id", "c_acctbal", "c_mktsegment")
     process_data(t.spark, events, shared_path(t.spark, "reported"), dedupe_subset=["event_id"],
                  merge_configs=[{"file": customers, "on": ["user_id"], "filters": {"c_mktsegment": "MACHINERY"}}],
                  lab_configs=[{"value_col": "value", "unit_col": "unit", "canonical": "mg",
-                               "conversions": {"g": 1000}}],
-                 drop_threshold=None, scale_method=None, report=report)
+                               "conversions": {"g": 1000}},
+                              {"value_col": "told", "unit_col": "told_unit", "canonical": "g",
+                               "conversions": {"kg": 1000}}],
+                 drop_threshold=None, scale_method=None, exclude_encode_prefixes=("told",), report=report)
     return report.to_df(t.spark)
 
 

@@ -53,7 +53,8 @@ def test_vitals_scenario(spark, vitals, tmp_path):
     assert [got[i]["Cigarettes_Per_Day_binarized"] for i in range(1, 6)] == [0, 0, 1, 0, 1]
     assert spark.read.csv(out_file, header=True).count() == 5
     found = {(r["stage"], r["metric"]): r["value"] for r in report.to_df(spark).collect()}
-    assert found == {("load", "rows"): 6, ("deduplicate", "rows"): 5, ("impute", "dropped_columns"): 1}
+    assert found == {("load", "rows"): 6, ("deduplicate", "rows"): 5, ("impute", "dropped_columns"): 1,
+                     ("save", "rows"): 5}
     assert StageReport().to_df(spark).columns == ["stage", "metric", "value"]
 
 

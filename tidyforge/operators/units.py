@@ -54,9 +54,9 @@ def normalize_units(df: DataFrame, configs: list[dict] | None = None,
         factor = _factor(rule, clean)
         known, kind = factor.isNotNull(), df.schema[rule["value_col"]].dataType
         if isinstance(kind, T.StringType):
-            number = to_number(value, kind)
-            known = known & (number.isNotNull() | value.isNull())
-            plain = as_text(number * factor, T.DoubleType())
+            read = to_number(value, kind)
+            known = known & (read.isNotNull() | value.isNull())
+            plain = as_text(read * factor, T.DoubleType())
             converted = F.when(known & (factor != 1.0), plain).otherwise(value)
         else:
             converted = F.when(known, value.cast("double") * factor).otherwise(

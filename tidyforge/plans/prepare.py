@@ -20,7 +20,7 @@ from tidyforge.plans.report import StageReport
 from tidyforge.session import apply_settings, materialize
 from tidyforge.sources.discover import auto_prepare_merges
 from tidyforge.sources.load import SOURCE_ORDER, load, load_data
-from tidyforge.sources.save import save_output
+from tidyforge.sources.save import save_output, saved
 from pyspark.sql import types as T
 
 # The configuration keys of a run and their defaults.
@@ -160,8 +160,6 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
         if marks:
             report.watch(df, "units", **{f"converted_{c[len(CONVERTED):]}": F.count_if(ref(c))
                                          for c in marks})
-        if output_file:
-            report.watch(df, "save")
         df = df.drop(*marks)
 
     rules = [Strategy(s.get("method", "mean"), s.get("cols", []), s.get("constant_val"))
@@ -181,6 +179,8 @@ def process_data(spark: SparkSession, primary_file: str | DataFrame, output_file
     df = formatter.fit(df).transform(df)
     if output_file:
         save_output(df, output_file)
+        if report:
+            report.watch(saved(spark, output_file), "save")
     return df
 
 
