@@ -113,6 +113,18 @@ def merge_filtered_collapsed(t):
                  order_by=["l_shipdate"])
 
 
+@query("""
+WITH one AS (SELECT * FROM (SELECT o_custkey, o_orderkey, o_totalprice, row_number() OVER (
+    PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) AS r FROM orders) WHERE r = 1)
+SELECT CAST(c_custkey AS VARCHAR) AS custkey, c_name, o_orderkey, o_totalprice
+FROM customer LEFT JOIN one ON c_custkey = o_custkey WHERE c_mktsegment = 'BUILDING'""")
+def merge_known_keys(t):
+    """A few customers and all orders: those of others are left out before the collapse."""
+    base = t.customer.where("c_mktsegment = 'BUILDING'").selectExpr("c_custkey AS custkey", "c_name")
+    new = t.orders.selectExpr("o_custkey AS custkey", "o_orderkey", "o_totalprice")
+    return merge(base, new, ["custkey"], order_by=["o_totalprice", "o_orderkey"], key_filter=True)
+
+
 @query("""
 SELECT CAST(o_orderkey AS VARCHAR) AS orderkey, o_orderstatus, l_linenumber, l_extendedprice
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from tidyforge.operators.encode import encode_categorical, one_hot_sparse
+from tidyforge.operators.encode import encode_categorical, one_hot_sparse, one_hot_vector
 from tidyforge.operators.features import (FeatureEngineer, binarize, date_parts, log_transform,
                                           polynomial_interaction, quantile_binning)
 from tidyforge.operators.format import format_for_ml
@@ -119,6 +119,23 @@ def one_hot_many(t):
         "", F.transform("active_dummies", lambda name: F.concat(name, F.lit(";")))).alias("active"))
 
 
+@query("""
+WITH d AS (SELECT doc_id, lang, CASE WHEN doc_id % 5 > 0 THEN text END AS text FROM documents),
+t AS (SELECT text, row_number() OVER (ORDER BY text) - 2 AS place FROM (SELECT DISTINCT text FROM d WHERE text IS NOT NULL)),
+l AS (SELECT lang, row_number() OVER (ORDER BY lang) AS n, (SELECT count(*) FROM t) + n - 3 AS place
+    FROM (SELECT DISTINCT lang FROM d WHERE lang IS NOT NULL))
+SELECT doc_id, (SELECT count(*) FROM t) + (SELECT count(*) FROM l) - 2 AS size, concat('[', concat_ws(',',
+    CASE WHEN t.place >= 0 THEN t.place END, CASE WHEN l.n > 1 THEN l.place END), ']') AS active
+FROM d LEFT JOIN t ON d.text = t.text LEFT JOIN l ON d.lang = l.lang""")
+def one_hot_texts(t):
+    """Whole texts as categories, nearly one for each row, in one sparse vector."""
+    df = t.documents.selectExpr("doc_id", "lang", "CASE WHEN doc_id % 5 > 0 THEN text END AS text")
+    out = one_hot_vector(df, ["text", "lang"])
+    told = F.to_json(F.struct("dummies"))
+    return out.select("doc_id", F.get_json_object(told, "$.dummies.size").cast("long").alias("size"),
+                      F.get_json_object(told, "$.dummies.indices").alias("active"))
+
+
 BALANCE = "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS balance"
 
 

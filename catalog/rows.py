@@ -1,13 +1,13 @@
 """Duplicates, units, missing values."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from catalog.registry import query
 from tidyforge.operators.dedupe import deduplicate, sort_rows
 from tidyforge.operators.impute import MissingValueImputer, impute_missing, missingness_report
+from tidyforge.operators.ranks import number_tasks
+from tidyforge.operators.stats import modes
 from tidyforge.operators.units import normalize_units, unconverted_units
-from tidyforge.session import materialize
 
 EVENTS = ("event_id, user_id, event_type, value, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS ts")
 
@@ -210,6 +210,22 @@ def sorted_rows(t):
                              "CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS value")
     ordered = sort_rows(df, ["value", "event_id"], ascending=False)
     # Sorted output is in the order of its tasks and their rows.
-    numbered = materialize(ordered.withColumn("at", F.monotonically_increasing_id()), "sorted")
-    return numbered.select("event_id", "user_id", "value", F.row_number().over(
-        Window.orderBy("at")).alias("place"))
+    return number_tasks(ordered).withColumn("place", (F.col("place") + 1).cast("long"))
+
+
+MODE_EXPRESSIONS = [
+    "doc_id", "text", "n_chars", "CASE WHEN doc_id % 3 = 0 THEN 'often' ELSE text END AS clear",
+    "CASE WHEN doc_id < 100 THEN concat('t', doc_id % 2) ELSE concat('u', doc_id) END AS tied"]
+
+
+def most_frequent(column):
+    return (f"SELECT '{column}' AS \"column\", CAST({column} AS VARCHAR) AS value FROM (SELECT {column}, count(*) AS n "
+            f"FROM d GROUP BY 1 ORDER BY n DESC, {column} LIMIT 1)")
+
+
+@query(f"WITH d AS (SELECT {', '.join(MODE_EXPRESSIONS)} FROM documents) "
+       + " UNION ALL ".join(most_frequent(c) for c in ("text", "n_chars", "clear", "tied")))
+def modes_of_many_values(t):
+    """Modes of columns with nearly as many values as rows, a clear one, and a tie."""
+    found = modes(t.documents.selectExpr(*MODE_EXPRESSIONS), ["text", "n_chars", "clear", "tied"])
+    return t.spark.createDataFrame([(c, str(v)) for c, v in found.items()], "column string, value string")

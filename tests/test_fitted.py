@@ -8,11 +8,12 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from tidyforge.operators.encode import OneHotEncoder, encode_categorical, encodable, one_hot_sparse
+from tidyforge.operators.encode import (OneHotEncoder, VectorOneHotEncoder, VectorOneHotModel,
+                                        encode_categorical, encodable, one_hot_sparse, one_hot_vector)
 from tidyforge.operators.features import (FeatureEngineer, binarize, bin_by_edges, custom_row_logic,
                                           date_parts, engineer_features, log_transform,
                                           polynomial_interaction, quantile_binning)
-from tidyforge.operators.format import ModelFormatter, format_for_ml
+from tidyforge.operators.format import ModelFormatter, ModelFormatterModel, format_for_ml
 from tidyforge.operators.impute import (MissingValueImputer, impute_missing, missing_percent,
                                         missingness_report)
 from tidyforge.operators.scale import NumericScaler, flag_stats, scale_numeric
@@ -339,3 +340,42 @@ def test_quantiles_are_narrowed_at_any_size(spark, monkeypatch):
     monkeypatch.setattr(stats, "_narrow", lambda *a: (narrowed.append(1), real(*a))[1])
     df = spark.range(50).selectExpr("CAST(id AS DOUBLE) AS v")
     assert stats.exact_quantiles(df, {"v": [0.5, 1.0]}) == {"v": [24.5, 49.0]} and narrowed
+
+
+# ---------------------------------------------------------------- vectors of dummies
+
+def test_vector_encoding_of_any_number_of_categories(spark, tmp_path):
+    rows = [(i, f"t{i % 900:03d}" if i % 7 else None, ["b", "a", None][i % 3], float(i % 2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, t string, s string, x double").repartition(5)
+    model = VectorOneHotEncoder(["t", "s", "x", "not_there"]).fit(df)
+    names = {c: sorted({r[k] for r in rows if r[k] is not None}) for k, c in ((1, "t"), (2, "s"), (3, "x"))}
+    places = {}
+    for c in ("t", "s", "x"):
+        for v in names[c][1:]:
+            places[c, v] = len(places)
+    assert model.size == len(places) == model.dictionary.count()
+    out = model.transform(df)
+    assert out.columns == ["i", "dummies"]
+    for r in out.collect():
+        own = rows[r["i"]]
+        want = [places[c, own[k]] for k, c in ((1, "t"), (2, "s"), (3, "x")) if (c, own[k]) in places]
+        assert r["dummies"].size == model.size and r["dummies"].indices.tolist() == want
+    model.save(str(tmp_path / "m"))
+    again = VectorOneHotModel.load(str(tmp_path / "m"))
+    assert sorted(map(str, again.transform(df).collect())) == sorted(map(str, out.collect()))
+    unseen = spark.createDataFrame([(1, "new", "a", None)], df.schema)
+    assert model.transform(unseen).first()["dummies"].indices.tolist() == []
+    every = one_hot_vector(df, ["s"], drop_first=False, output="v")
+    assert every.columns == ["i", "t", "x", "v"] and every.first()["v"].size == 2
+    assert one_hot_vector(df.limit(0), ["s"]).count() == 0
+
+
+def test_formatter_with_vectors_saves_its_dictionary(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (4.0, "c")], "x double, s string")
+    model = ModelFormatter(encoding="vector").fit(df)
+    model.save(str(tmp_path / "f"))
+    again = ModelFormatterModel.load(str(tmp_path / "f"))
+    assert [str(r) for r in again.transform(df).collect()] == [str(r) for r in model.transform(df).collect()]
+    assert again.transform(df).first()["dummies"].size == 2
+    with pytest.raises(ValueError):
+        ModelFormatter(encoding="vector", scale_dummies=True)

@@ -223,3 +223,22 @@ def test_text_filters_reach_the_scan(spark, tmp_path):
     kept = filter_equal(spark.read.parquet(path), {"f": " R "})
     assert sorted(r["i"] for r in kept.collect()) == [1, 2]
     assert "StringContains(f,R)" in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_filter_leaves_out_rows_before_they_are_shuffled(spark, rows):
+    from tidyforge.operators.merge import with_known_keys
+    base = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (7, "d")], "k int, v string")
+    new = spark.range(20000).selectExpr("CASE WHEN id % 50 > 0 THEN id % 5000 END AS k",
+                                        "CAST(id AS STRING) AS w", "id % 3 AS z")
+    for how in ("left", "inner", "right", "outer"):
+        plain = merge(base, new, ["k"], how=how, order_by=["w"])
+        assert rows(merge(base, new, ["k"], how=how, order_by=["w"], key_filter=True)) == rows(plain)
+    words = new.withColumn("k", F.concat(F.lit(" K"), "k"))
+    named = base.withColumn("k", F.concat(F.lit("k"), "k"))
+    assert rows(merge(named, words, ["k"], order_by=["w"], key_filter=True)) == rows(
+        merge(named, words, ["k"], order_by=["w"]))
+    left = with_known_keys(base, new, ["k"])
+    assert left.columns == new.columns
+    assert new.count() == 20000 and left.count() == new.where("k in (1, 2, 7) or k is null").count()
+    plan = merge(base, new, ["k"], order_by=["w"], key_filter=True)._jdf.queryExecution().toString()
+    assert "BroadcastHashJoin" in plan and "CartesianProduct" not in plan

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidyforge.operators import stats
+from tidyforge.operators.ranks import number_tasks, numbered
 from tidyforge.operators.stats import categories, column_stats, exact_quantiles, modes
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -93,3 +94,33 @@ def test_labels_match_pandas():
     _, edges = pd.qcut(values, 4, retbins=True)
     want = [str(i) for i in pd.qcut(values, 4).cat.categories]
     assert interval_labels(list(edges)) == want
+
+
+def test_modes_by_sketch_and_by_counting_agree(spark, monkeypatch):
+    """Clear modes need no grouping by value; unclear ones and ties are counted in full."""
+    from collections import Counter
+    pick = np.random.default_rng(2)
+    n = 30_000
+    data = pd.DataFrame({
+        "clear": np.where(pick.random(n) < 0.2, "often", pick.integers(0, 10**6, n).astype(str)),
+        "unclear": pick.integers(0, 20_000, n).astype(str), "tie": np.arange(n) % 2,
+        "few": pick.integers(0, 5, n) / 2, "unique": np.arange(n)})
+    df = spark.createDataFrame(data).withColumn("empty", F.lit(None).cast("string"))
+    want = {}
+    for c in data:
+        counted = Counter(data[c].tolist())
+        most = max(counted.values())
+        want[c] = min(v for v, k in counted.items() if k == most)
+    asked = []
+    plain = stats.value_counts
+    monkeypatch.setattr(stats, "value_counts", lambda d, cs: asked.append(cs) or plain(d, cs))
+    assert stats.modes(df, df.columns) == want
+    assert asked == [["unclear", "unique"]]
+
+
+def test_rows_are_numbered_in_order(spark):
+    df = spark.range(4000).selectExpr("id * 7919 % 4000 AS v")
+    assert all(r["v"] == r["place"] for r in numbered(df, "v").collect())
+    ordered = df.orderBy(F.col("v").desc())
+    assert all(r["v"] == 3999 - r["place"] for r in number_tasks(ordered).collect())
+    assert numbered(df.limit(0), "v").count() == 0

@@ -7,7 +7,8 @@ from pyspark import cloudpickle
 from tidyforge.operators.clean import (TableCleaner, clean_numeric, clean_strings, clean_text,
                                        drop_columns, map_categories_regex)
 from tidyforge.operators.dedupe import deduplicate, sort_rows
-from tidyforge.operators.encode import OneHotEncoder, encode_categorical, one_hot_sparse
+from tidyforge.operators.encode import (OneHotEncoder, encode_categorical, one_hot_sparse,
+                                        one_hot_vector)
 from tidyforge.operators.features import (FeatureEngineer, binarize, custom_row_logic, date_parts,
                                           engineer_features, log_transform,
                                           polynomial_interaction, quantile_binning)

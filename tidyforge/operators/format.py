@@ -8,8 +8,9 @@ from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 
 from tidyforge.functions.names import numeric_columns
-from tidyforge.operators.encode import (ENCODINGS, OneHotEncoder, OneHotModel,
-                                         SparseOneHotEncoder, SparseOneHotModel, encodable)
+from tidyforge.operators.encode import (ENCODINGS, OneHotEncoder, OneHotModel, SparseOneHotEncoder,
+                                        SparseOneHotModel, VectorOneHotEncoder, VectorOneHotModel,
+                                        encodable)
 from tidyforge.operators.saved import Saved
 from tidyforge.operators.scale import (METHODS, ScalerModel, _center_scale, fit_scaling,
                                        flag_stats)
@@ -48,8 +49,8 @@ class ModelFormatter(Saved, Estimator):
         super().__init__()
         if encoding not in ENCODINGS:
             raise ValueError(f"encoding must be one of {ENCODINGS}, not {encoding!r}")
-        if encoding == "sparse" and scale_dummies:
-            raise ValueError("a sparse encoding has no dummy columns to scale")
+        if encoding != "columns" and scale_dummies:
+            raise ValueError(f"a {encoding} encoding has no dummy columns to scale")
         self.encoding = encoding
         self.encode_categorical = encode_categorical
         self.exclude_encode_prefixes = tuple(exclude_encode_prefixes)
@@ -65,6 +66,8 @@ class ModelFormatter(Saved, Estimator):
                    if self.encode_categorical else [])
         if self.encoding == "sparse" and columns:
             encoder = SparseOneHotEncoder(columns).fit(dataset)
+        elif self.encoding == "vector" and columns:
+            encoder = VectorOneHotEncoder(columns).fit(dataset)
         else:
             encoder = OneHotEncoder(columns, True, self.max_categories).fit(dataset)
         if not self.scale_method:
@@ -81,19 +84,33 @@ class ModelFormatter(Saved, Estimator):
         return ModelFormatterModel(encoder, ScalerModel(parameters))
 
 
+MODELS = {"columns": OneHotModel, "sparse": SparseOneHotModel, "vector": VectorOneHotModel}
+
+
 class ModelFormatterModel(Saved, Model):
     """Fitted encoding and scaling."""
 
     def _state(self) -> dict:
-        return {"sparse": isinstance(self.encoder, SparseOneHotModel),
+        return {"encoding": next(k for k, v in MODELS.items() if type(self.encoder) is v),
                 "encoder": self.encoder._state(), "scaler": self.scaler._state()}
 
     @classmethod
     def _restored(cls, state: dict) -> "ModelFormatterModel":
-        kind = SparseOneHotModel if state["sparse"] else OneHotModel
-        return cls(kind(**state["encoder"]), ScalerModel(**state["scaler"]))
+        return cls(MODELS[state["encoding"]](**state["encoder"]), ScalerModel(**state["scaler"]))
+
+    def _tables(self) -> dict:
+        return self.encoder._tables()
+
+    @property
+    def dictionary(self) -> DataFrame | None:
+        """The table of a vector encoding."""
+        return getattr(self.encoder, "dictionary", None)
+
+    @dictionary.setter
+    def dictionary(self, table: DataFrame) -> None:
+        self.encoder.dictionary = table
 
-    def __init__(self, encoder: OneHotModel | SparseOneHotModel, scaler: ScalerModel):
+    def __init__(self, encoder: OneHotModel | SparseOneHotModel | VectorOneHotModel, scaler: ScalerModel):
         super().__init__()
         self.encoder = encoder
         self.scaler = scaler

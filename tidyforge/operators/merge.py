@@ -17,6 +17,7 @@ log = logging.getLogger(__name__)
 
 HOW = ("left", "inner", "right", "outer")
 CANONICAL = "canonical_key"
+FILTER_BITS = 1 << 26        # 8 MB
 COLLISIONS = ("keep_base", "keep_new", "keep_both", "suffix")
 
 
@@ -61,13 +62,18 @@ def merge(base: DataFrame, new: DataFrame, on: list[str], how: str = "left",
           key_scrubber: Callable[[Column], Column] | None = scrub,
           collision: str = "keep_base", order_by: list[str] | None = None,
           null_keys: str = "match", on_missing_key: str = "raise", text_keys: bool = True,
-          clean_filter: Callable[[Column], Column] = lambda text: text) -> DataFrame:
+          clean_filter: Callable[[Column], Column] = lambda text: text,
+          key_filter: bool = False) -> DataFrame:
     """Equi-join ``new`` onto ``base``: harmonise keys, filter, collapse, join.
 
     Missing keys match missing keys unless ``null_keys="never"``.  ``collision`` says
     what happens to other columns both sides have: keep one side's, keep both as
     ``_base``/``_new``, or keep both as ``_x``/``_y`` ("suffix").  Whole-number keys of
     both sides are joined as such and become text afterwards, unless ``text_keys`` is off.
+
+    ``key_filter`` is for a left or inner merge of a table that is much larger than the base:
+    rows whose key the base surely lacks are left out before they are collapsed and shuffled.
+    The result is the same.
     """
     on = [on] if isinstance(on, str) else list(on)
     if not on:
@@ -88,12 +94,37 @@ def merge(base: DataFrame, new: DataFrame, on: list[str], how: str = "left",
     if not same_whole:
         base, new = (harmonize_keys(d, on, key_scrubber) for d in (base, new))
     new = filter_equal(new, filters, clean_filter)
+    if key_filter and how in ("left", "inner"):
+        new = with_known_keys(base, new, on)
     if collapse_duplicates:
         new = collapse(new, on, order_by)
     joined = _join(base, new, on, how, collision, null_keys)
     return keys_as_text(joined, on) if same_whole and text_keys else joined
 
 
+def with_known_keys(base: DataFrame, new: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``new`` whose key's hash is among the hashes of the keys of ``base``.
+
+    The hashes are bits of a map of ``FILTER_BITS``, cut into rows of 4 KB, which is therefore
+    small enough to broadcast whatever the size of the base; one scan of the base's keys fills
+    it.  With n keys a row of another key stays with a chance of less than n / ``FILTER_BITS``.
+    """
+    def bit(side: DataFrame) -> Column:
+        # whole numbers of both sides are joined whatever their widths
+        keys = [ref(k).cast("long") if isinstance(side.schema[k].dataType, INTEGRAL) else ref(k)
+                for k in on]
+        return F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    own = base.select(bit(base).alias("__bit"))
+    known = own.groupBy(F.bitmap_bucket_number("__bit").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__bit")).alias("__map"))
+    marked = new.withColumn("__bit", bit(new))
+    joined = marked.join(F.broadcast(known), F.bitmap_bucket_number("__bit") == F.col("__bucket"))
+    position = F.bitmap_bit_position("__bit")
+    byte = F.conv(F.hex(F.substring("__map", F.floor(position / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    there = F.call_function("getbit", byte.cast("int"), (position % 8).cast("int")) == 1
+    return joined.where(there).select(*map(ref, new.columns))
+
+
 def keys_as_text(df: DataFrame, keys: list[str]) -> DataFrame:
     """Whole-number keys as canonical text."""
     return harmonize_keys(df, [k for k in keys if isinstance(df.schema[k].dataType, INTEGRAL)])

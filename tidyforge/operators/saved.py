@@ -50,6 +50,8 @@ class _Writer(MLWriter):
     def saveImpl(self, path: str) -> None:
         state = {"state": _plain(self.instance._state())}
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession, state)
+        for name, table in self.instance._tables().items():
+            table.write.parquet(f"{path.rstrip('/')}/{name}")
 
 
 class _Reader(MLReader):
@@ -59,16 +61,23 @@ class _Reader(MLReader):
 
     def load(self, path: str):
         metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
-        return self.kind._restored(_value(metadata["state"]))
+        found = self.kind._restored(_value(metadata["state"]))
+        for name in found._tables():
+            setattr(found, name, self.sparkSession.read.parquet(f"{path.rstrip('/')}/{name}"))
+        return found
 
 
 class Saved(MLReadable, MLWritable):
     """``save(path)`` and ``load(path)`` for a class that tells its state.
 
     ``_state`` returns a dict of plain values, ``_restored`` makes an instance from it; by
-    default the dict holds the arguments of the constructor.
+    default the dict holds the arguments of the constructor.  ``_tables`` names attributes that
+    hold frames; they are written beside it.
     """
 
+    def _tables(self) -> dict:
+        return {}
+
     def _state(self) -> dict:
         return {name: getattr(self, name) for name in self.STATE}
 

@@ -15,6 +15,7 @@ from functools import reduce
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyforge.functions.names import ref
 from tidyforge.functions.nulls import double_or_null, missing
@@ -279,16 +280,66 @@ def value_counts(df: DataFrame, columns: list[str]) -> list[DataFrame]:
     return frames
 
 
+# Frequent values that a sketch tracks, and those whose rows are then counted.  A value that
+# a sketch does not report has at most the share 2 * 3.5 / map size of the rows, where the map
+# has a third more places than values tracked.
+TRACKED = 10_000
+CANDIDATES = 32
+UNREPORTED = 2 * 3.5 * 0.75 / TRACKED
+SKETCHED = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+
+
 def modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent value per column; the smallest one on a tie; absent if all missing."""
-    found = {}
-    for counted in value_counts(df, columns):
+    """Most frequent value per column; the smallest one on a tie; absent if all missing.
+
+    Mergeable sketches propose a few values per column, whose rows one more pass counts.  The
+    most frequent of them is the mode if it has more rows than any other value can have, by
+    the sketch's bound; then nothing but sketches was shuffled.  The other columns, without a
+    clear mode, are grouped by value.
+    """
+    found: dict[str, object] = {}
+    open_columns = list(columns)
+    sketched = [c for c in columns if isinstance(df.schema[c].dataType, SKETCHED)]
+    if sketched:
+        proposed = _frequent(df, sketched)
+        tests, values = {}, {}
+        for i, c in enumerate(sketched):
+            for j, item in enumerate(proposed[c]):
+                values[f"v{i}_{j}"] = item["item"]
+                tests[f"v{i}_{j}"] = ref(c) == F.lit(item["item"])
+            tests[f"n{i}"] = ~missing(df, c)
+        rows = counts(df, tests).first().asDict()
+        for i, c in enumerate(sketched):
+            own = [(rows[f"v{i}_{j}"], values[f"v{i}_{j}"]) for j in range(len(proposed[c]))]
+            # what is not among the candidates: unreported, or reported with fewer rows
+            others = UNREPORTED * rows[f"n{i}"]
+            if len(own) == CANDIDATES:
+                others = max(others, proposed[c][-1]["count"])
+            most = max((n for n, _ in own), default=0)
+            if most > others:
+                found[c] = min(v for n, v in own if n == most)
+            if rows[f"n{i}"] == 0 or c in found:
+                open_columns.remove(c)
+    for counted in value_counts(df, open_columns):
         best = counted.groupBy("column").agg(
             F.min(F.struct((-F.col("rows")).alias("order"), F.col("value"))).alias("best"))
         found |= {r["column"]: r["best"]["value"] for r in best.collect()}
     return found
 
 
+def _frequent(df: DataFrame, columns: list[str]) -> dict[str, list]:
+    """Values of each column that sketches report as frequent, most frequent first."""
+    parts = [F.expr(f"approx_top_k_accumulate(`c{i}`, {TRACKED}) FILTER (WHERE `c{i}` IS NOT NULL)")
+             .alias(f"s{i}") for i in range(len(columns))]
+    cells = df.select(*[F.when(~missing(df, c), ref(c)).alias(f"c{i}")
+                        for i, c in enumerate(columns)])
+    merged = in_merge_groups(cells, parts).agg(*[
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(`s{i}`, {TRACKED}), {CANDIDATES})").alias(
+            f"s{i}") for i in range(len(columns))]).first()
+    return {c: [x for x in merged[f"s{i}"] or [] if x["item"] is not None]
+            for i, c in enumerate(columns)}
+
+
 def categories(df: DataFrame, columns: list[str], most: int | None = None) -> dict[str, dict[object, int]]:
     """Sorted categories with their row counts.
 

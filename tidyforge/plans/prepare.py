@@ -73,7 +73,7 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
     """Merge supplemental tables one after the other, in the given order.
 
     Each config has ``file`` (path, view text or DataFrame), ``on``, and optionally
-    ``how``, ``filters``, ``collapse_duplicates``, ``collision``, ``order_by``,
+    ``how``, ``filters``, ``collapse_duplicates``, ``collision``, ``order_by``, ``key_filter``,
     ``clean_options`` and ``load_kwargs``.  Incoming tables are cleaned with the same
     options as the primary one, so that keys and filter values meet.
     """
@@ -104,6 +104,7 @@ def merge_datasets(df: DataFrame, merge_configs: list[dict] | None = None,
         df = merger(df, renamed, on=config["on"], how=config.get("how", "left"),
                     filters=config.get("filters"), collapse_duplicates=collapse,
                     collision=config.get("collision", "keep_base"), order_by=order,
+                    **({"key_filter": True} if config.get("key_filter") else {}),
                     clean_filter=label_cleaner(options), text_keys=False).drop("__new_order")
         # A left merge with collapse keeps the row count, so there is nothing to count.
         if report and not (collapse and config.get("how", "left") == "left"):
