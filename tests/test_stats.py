@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidyforge.operators import stats
-from tidyforge.operators.ranks import number_tasks, numbered
+from tidyforge.operators.ranks import number_tasks, numbered, sums_before
 from tidyforge.operators.stats import categories, column_stats, exact_quantiles, modes
 
 SHARES = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
@@ -124,3 +124,12 @@ def test_rows_are_numbered_in_order(spark):
     ordered = df.orderBy(F.col("v").desc())
     assert all(r["v"] == 3999 - r["place"] for r in number_tasks(ordered).collect())
     assert numbered(df.limit(0), "v").count() == 0
+
+
+def test_sums_before_each_row(spark):
+    df = spark.range(3000).selectExpr("id * 7919 % 3000 AS v", "id % 5 AS n")
+    got = {r["v"]: (r["n"], r["before"]) for r in sums_before(df, ["v"], "n").collect()}
+    total = 0
+    for v in range(3000):
+        assert got[v][1] == total
+        total += got[v][0]

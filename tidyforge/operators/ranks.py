@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyforge.session import materialize
 
-PART, AT = "__part", "__at"
+PART, AT = "__task_of_row", "__place_in_task"
 
 
 def numbered(df: DataFrame, *keys: Column | str, place: str = "place") -> DataFrame:
@@ -24,13 +24,33 @@ def number_tasks(df: DataFrame, place: str = "place") -> DataFrame:
 
     What the driver holds is one count for each task.
     """
-    table = materialize(df.select("*", F.spark_partition_id().alias(PART), F.monotonically_increasing_id()
-                                  .bitwiseAND(F.lit((1 << 33) - 1)).alias(AT)), "numbered")
-    counts = {r[0]: r[1] for r in table.groupBy(PART).count().collect()}
+    return _after_earlier_tasks(_with_task(df), F.count("*"), F.col(AT), place)
+
+
+def sums_before(df: DataFrame, keys: list[str], amount: str, output: str = "before") -> DataFrame:
+    """For each row the sum of ``amount`` over all rows before it in the order of ``keys``.
+
+    Sums within a range of the keys and sums of whole ranges; of the latter the driver holds
+    one for each task.
+    """
+    table = _with_task(df.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    earlier = Window.partitionBy(PART).orderBy(AT).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum(amount).over(earlier), F.lit(0))
+    return _after_earlier_tasks(table, F.sum(amount), inside, output)
+
+
+def _with_task(df: DataFrame) -> DataFrame:
+    """A written table of the rows with the number of their task and theirs within it."""
+    return materialize(df.select("*", F.spark_partition_id().alias(PART), F.monotonically_increasing_id()
+                                 .bitwiseAND(F.lit((1 << 33) - 1)).alias(AT)), "numbered")
+
+
+def _after_earlier_tasks(table: DataFrame, total: Column, inside: Column, output: str) -> DataFrame:
+    totals = {r[0]: r[1] for r in table.groupBy(PART).agg(total).collect()}
     starts, seen = [], 0
-    for task in sorted(counts):
+    for task in sorted(totals):
         starts.append((task, seen))
-        seen += counts[task]
+        seen += totals[task]
     offsets = table.sparkSession.createDataFrame(starts, "__task int, __start long")
-    return table.join(offsets, F.col(PART) == F.col("__task")).withColumn(
-        place, F.col("__start") + F.col(AT)).drop(PART, AT, "__task", "__start")
+    return table.withColumn(output, inside).join(offsets, F.col(PART) == F.col("__task")).withColumn(
+        output, F.col("__start") + F.col(output)).drop(PART, AT, "__task", "__start")

@@ -15,10 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyforge.functions.names import ref
+from tidyforge.operators.ranks import sums_before
 from tidyforge.session import materialize
 
-# Ranges of row hashes in which the rows of one label are numbered apart.
-FOLD_GROUPS = 1024
 # Parts into which copies of one row are dealt, so that they are numbered by several tasks.
 COPY_PARTS = 64
 FEATURES = "__features"
@@ -36,8 +35,9 @@ def assign_folds(df: DataFrame, label: str, order_by: list[str], folds: int,
     Stratified folds number the rows of each label in the order of a hash of the label and the
     ordering columns, and deal the numbers out in turn, so folds are as even as they can be and
     depend on the rows alone, not on their number, order or files.  The numbers are running
-    sums: of copies of a row, of rows within a range of hashes, of ranges within a label.  No
-    task numbers a whole label, nor all copies of one row.  Which of several copies gets which
+    sums: of copies of a row, of rows within a range of hashes, of ranges.  Ranges are cut at
+    points sampled from the rows, so no task numbers a whole label, however large, nor all
+    copies of one row.  Which of several copies gets which
     number follows the task that reads it; pass a written table to keep that the same.
     """
     key = F.xxhash64(*map(ref, order_by))
@@ -48,17 +48,10 @@ def assign_folds(df: DataFrame, label: str, order_by: list[str], folds: int,
         "__part": F.pmod(F.spark_partition_id(), F.lit(COPY_PARTS))})
     copies = rows.groupBy("__key", "__part").agg(
         F.count(F.lit(1)).alias("copies"), F.first(ref(label)).alias("label"))
-    copies = copies.withColumn("range", F.pmod(F.xxhash64("__key"), F.lit(FOLD_GROUPS)))
-    before = Window.partitionBy("label", "range").orderBy("__key", "__part").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranges = copies.groupBy("label", "range").agg(F.sum("copies").alias("rows"))
-    ranges = ranges.withColumn("earlier", F.coalesce(F.sum("rows").over(
-        Window.partitionBy("label").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)))
-    starts = copies.withColumn("inside", F.coalesce(F.sum("copies").over(before), F.lit(0))).alias(
-        "c").join(ranges.alias("r"), F.col("c.label").eqNullSafe(F.col("r.label")) & (
-            F.col("c.range") == F.col("r.range"))).select(
-        "__key", "__part", (F.col("inside") + F.col("earlier")).alias("__start"))
+    before = sums_before(copies, ["label", "__key", "__part"], "copies")
+    firsts = before.groupBy("label").agg(F.min("before").alias("first"))
+    starts = before.alias("c").join(firsts.alias("f"), F.col("c.label").eqNullSafe(
+        F.col("f.label"))).select("__key", "__part", (F.col("before") - F.col("first")).alias("__start"))
     own = Window.partitionBy("__key", "__part").orderBy(*map(ref, order_by))
     number = F.col("__start") + F.row_number().over(own) - 1
     return rows.join(starts, ["__key", "__part"]).withColumn(
