@@ -1,6 +1,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -12,7 +13,8 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidyforge.llm import language_model, packing
-from tidyforge.llm.main_text import Scanner, extract_main_text, learn_weights, main_text
+from tidyforge.llm.main_text import (Scanner, best_region, count_labelled, extract_main_text,
+                                     learn_weights, main_text)
 from tidyforge.llm.mixing import budgets, mix_documents, mix_plan, word_count
 from tidyforge.llm.queries import QUERIES, fold
 from tidyforge.llm.toxicity import Restorer, count_letters, score_toxicity
@@ -468,3 +470,55 @@ def test_main_text_of_the_table(spark):
         blocks = [" ".join(html.unescape(re.sub("<[^>]*>", "", b.replace("<br>", " "))).split())
                   for b in re.split("</?(?:p|h1)>", inner)]
         assert r["text"] == "\n\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+
+
+ARTICLE = "<h1>T</h1>" + "<p>" + " ".join(["story words"] * 30) + "</p><p>and more</p>"
+MENU = "<nav><ul><li><a href=a>Home</a></li></ul></nav>"
+BELOW = '<div class="comments"><p>' + "me too " * 20 + "</p></div><footer>site name</footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<html><body class="single-post has-sidebar">{MENU}{{}}{BELOW}</body></html>',
+    f'<html class="no-js header-fixed"><body>{MENU}<article>{{}}</article>{BELOW}</body></html>',
+    f'{MENU}<div id="main-content-with-sidebar">{{}}</div>{BELOW}',
+    f'{MENU}<main class="page-with-header">{{}}</main>{BELOW}',
+    f'<form id="aspnetForm">{MENU}<article>{{}}</article></form>{BELOW}',
+    f'<div id="wrapper" class="nav-container">{MENU}<div class="main sidebar-left">{{}}</div></div>{BELOW}',
+    f'<article class="post widget">{MENU}{{}}</article>{BELOW}'])
+def test_outer_names_do_not_empty_a_page(page):
+    want = "T\n\n" + " ".join(["story words"] * 30) + "\n\nand more"
+    assert main_text(page.replace("{}", ARTICLE), Scanner()) == want
+
+
+def test_names_of_paragraphs_and_of_asides():
+    text = " ".join(["story words"] * 30)
+    page = (f'<article><p>{text}</p><p class="has-alert widget-text">kept</p><p class="ad">buy</p>'
+            f'<div class="sidebar-widget">links</div><p>end</p><article class="comment"><p>I think</p></article></article>')
+    assert main_text(page, Scanner()) == f"{text}\n\nkept\n\nend"
+    menus = '<div class="sidebar">' + "link text " * 40 + f"</div><div><p>{text}</p></div>"
+    assert main_text(menus, Scanner()) == text
+
+
+@pytest.mark.parametrize("part", ["<a ", "<b>", "<a '", "<svg ", "<!x ", "<p class=\"", "</i><b>", "<hr><b>",
+                                  "<form><b>x", "<div class=ad>w", "</b></i>", "<article>a"])
+def test_broken_pages_take_linear_time(part):
+    start = time.time()
+    page = "<p>text</p>" + part * (200_000 // len(part))
+    main_text(page, Scanner())
+    count_labelled("<article>a b</article>" + page, {})
+    assert time.time() - start < 6
+
+
+def test_scan_equals_all_regions():
+    pick = random.Random(3)
+    for _ in range(300):
+        scores = [pick.choice([-3, -1, -0.5, 0, 1, 2]) for _ in range(pick.randint(0, 12))]
+        first, last = best_region(scores)
+        sums = [sum(scores[i:j]) for i in range(len(scores)) for j in range(i, len(scores) + 1)]
+        assert sum(scores[first:last]) == max([0, *sums])
+
+
+def test_labelled_words_are_counted_once_for_each_key():
+    counts = {}
+    count_labelled("<div><div><article><p>a b<p>c</article>x</div></div><nav><ul><li>m n</ul></nav>", counts)
+    assert counts == {"div": [3, 0], "article": [3, 0], "p": [3, 0], "nav": [0, 2]}

@@ -43,9 +43,19 @@ _TOKEN = re.compile(
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"""|<(/?)([a-z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-z][^\s/>]*)([^>]*)>"""
     r"|<[!?/][^>]*>|([^<]+|<)", re.S | re.I)
+_ENDED = re.compile(rf"(?:--|\]\]|</(?:{RAW})\s*)>\Z", re.I)
 _NAME = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _CLOSES_P = BLOCK - {"html", "body", "head", "title"}
+#: Elements whose names describe the whole page, and words that do so in other elements.
+PAGE_TAGS = frozenset({"html", "body", "main"})
+PAGE_WORDS = frozenset("main content article post entry story page wrapper container site app".split())
+READER_WORDS = frozenset("comment comments disqus replies reply respond".split())
+#: Words after which a name tells a state of the element, not what it is.
+STATE_WORDS = frozenset("has no with without is js".split())
+#: Elements of running text, in which only a whole name says that they are no text.
+TEXT_TAGS = frozenset("p span em strong b i a li td h1 h2 h3 h4 h5 h6 blockquote pre".split())
+MOST = 0.5                   # share of a page's words that no menu or form holds
 
 
 def element_key(tag: str, attributes: str) -> str:
@@ -57,20 +67,55 @@ def element_key(tag: str, attributes: str) -> str:
     return ".".join([tag, *names])
 
 
+def name_words(name: str) -> list[str]:
+    """Words of a class, id or role, without those that tell a state, as in ``has-sidebar``."""
+    words = [w.lower() for w in _WORD.findall(name)]
+    return [w for i, w in enumerate(words) if not (i and words[i - 1] in STATE_WORDS)]
+
+
 def default_weight(key: str) -> float:
     """Weight of an element that labelled pages do not show."""
     tag, *names = key.split(".")
-    words = {w.lower() for n in names for w in _WORD.findall(n)} | set(names)
-    return -2.0 if tag in OUTSIDE_TAGS or words & OUTSIDE_WORDS else 1.0
+    if tag in OUTSIDE_TAGS:
+        return -2.0
+    if tag in PAGE_TAGS:
+        return 1.0
+    if tag in TEXT_TAGS:
+        words = set(names)
+    else:
+        words = {w for n in names for w in [n, *name_words(n)]}
+    return -2.0 if words & OUTSIDE_WORDS else 1.0
+
+
+def may_hold_page(key: str) -> bool:
+    """Whether an element with a negative weight is the page itself if it holds most words.
+
+    Forms around whole pages are, articles, and elements with a name of both kinds.
+    """
+    tag, *names = key.split(".")
+    words = {w.lower() for n in names for w in _WORD.findall(n)}
+    return not words & READER_WORDS and (tag in ("form", "article") or bool(words & PAGE_WORDS))
+
 
+class Open:
+    """An open element; ``weight`` is the least of its own and those around it."""
 
-def _in_content(stack) -> bool:
-    """Whether an open element is labelled as content; a reader comment's article is not."""
-    return any(e[0] in CONTENT and default_weight(e[1]) > 0 for e in stack)
+    __slots__ = ("tag", "key", "weight", "number", "content", "near", "suspect", "outer", "parent")
+
+    def __init__(self, tag, key, weight, number, content, near, suspect, outer, parent):
+        self.tag, self.key, self.weight, self.number = tag, key, weight, number
+        self.content = content               # within an element labelled as content
+        self.near = near                     # place in the stack of the nearest block or p
+        self.suspect = suspect               # number of the nearest element that may hold the
+        self.outer = outer                   # page, itself included, and of the one around that
+        self.parent = parent                 # number of the element around it
 
 
 class Scanner:
-    """One pass over a page: text runs and tags with the elements they are in."""
+    """One pass over a page: text runs and tags with the elements they are in.
+
+    The work is linear in the page, however many elements it leaves open.
+    """
 
     def __init__(self, weights: dict[str, float] | None = None):
         self.weights = weights or {}
@@ -83,53 +128,85 @@ class Scanner:
                 self.weights[key] = found
         return found
 
-    def tokens(self, page: str) -> Iterator[tuple[str, str, tuple]]:
-        """(kind, text or tag, stack); kinds are ``text``, ``open`` and ``close``.
+    def tokens(self, page: str, holders: frozenset = frozenset()) -> Iterator[
+            tuple[str, str, Open | None]]:
+        """(kind, text or tag, innermost open element); kinds are ``text``, ``open``, ``close``.
 
-        The stack has (tag, key, weight, number) of the open elements; the weight is the least
-        of the element and those around it.
+        Elements are numbered from 1 in page order.  ``holders`` are numbers of elements whose
+        own weight does not count, because they hold the page.
         """
-        stack: list[tuple] = []
+        stack: list[Open] = []
+        opened: Counter = Counter()
         number = 0
-        for match in _TOKEN.finditer(page):
+        # what follows the last ">" has no tags
+        limit = page.rfind(">") + 1
+        unclosed = False                     # a comment or raw element goes on to the end
+        for match in _TOKEN.finditer(page, 0, limit):
             text = match.group(8)
             if text is not None:
-                yield "text", text, stack
+                yield "text", text, stack[-1] if stack else None
                 continue
             closing, tag, attributes = match.group(2, 3, 4) if match.group(3) else (
                 match.group(5, 6, 7))
             if not tag:
+                unclosed = match.end() == limit and bool(
+                    match.group(1) or match.group().startswith(("<!--", "<![CDATA["))) and (
+                    not _ENDED.search(match.group()[-40:]))
                 continue
             tag = tag.lower()
             if closing:
-                if any(e[0] == tag for e in stack):
-                    yield "close", tag, stack
-                    while stack.pop()[0] != tag:
-                        pass
+                if opened[tag]:
+                    yield "close", tag, stack[-1]
+                    while True:
+                        gone = stack.pop()
+                        opened[gone.tag] -= 1
+                        if gone.tag == tag:
+                            break
                 elif tag in BLOCK:
-                    yield "close", tag, stack
+                    yield "close", tag, stack[-1] if stack else None
                 continue
-            if tag in _CLOSES_P:
-                self._end_paragraph(stack)
+            if tag in _CLOSES_P and stack and stack[-1].near >= 0 and (
+                    stack[stack[-1].near].tag == "p"):
+                for gone in stack[stack[-1].near:]:
+                    opened[gone.tag] -= 1
+                del stack[stack[-1].near:]
             if tag in FOREIGN and (attributes or "").rstrip().endswith("/"):
                 continue
+            top = stack[-1] if stack else None
             if tag in VOID:
-                yield "open", tag, stack
+                yield "open", tag, top
                 continue
             key = element_key(tag, attributes or "")
-            above = stack[-1][2] if stack else 4.0
             number += 1
-            stack.append((tag, key, min(above, self.weight(key)), number))
-            yield "open", tag, stack
-
-    @staticmethod
-    def _end_paragraph(stack: list) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == "p":
-                del stack[i:]
-                return
-            if stack[i][0] in BLOCK:
-                return
+            own = 4.0 if number in holders else self.weight(key)
+            suspect = number if own < 0 and may_hold_page(key) else top.suspect if top else 0
+            content = bool(top and top.content) or (
+                tag in CONTENT and (number in holders or default_weight(key) > 0))
+            near = len(stack) if tag == "p" or tag in BLOCK else top.near if top else -1
+            stack.append(Open(tag, key, min(top.weight if top else 4.0, own), number, content,
+                              near, suspect, top.suspect if top else 0,
+                              top.number if top else 0))
+            opened[tag] += 1
+            yield "open", tag, stack[-1]
+        if limit < len(page) and not unclosed:
+            yield "text", page[limit:], stack[-1] if stack else None
+
+
+def page_holders(tokens: list) -> frozenset:
+    """Numbers of elements that hold more than half of a page's words, though their name or
+    kind would have them left out."""
+    total, held, outer = 0, Counter(), {}
+    for kind, value, element in tokens:
+        if kind == "text":
+            n = len(value.split())
+            total += n
+            if element and element.suspect:
+                held[element.suspect] += n
+        elif kind == "open" and element and element.suspect == element.number:
+            outer[element.number] = element.outer
+    for number in sorted(outer, reverse=True):
+        held[outer[number]] += held[number]
+    return frozenset(n for n in outer if held[n] > MOST * total)
 
 
 def count_labelled(page: str, counts: dict[str, list[int]]) -> None:
@@ -138,15 +215,41 @@ def count_labelled(page: str, counts: dict[str, list[int]]) -> None:
     Words outside count against the outermost element around them that has no labelled
     content: a menu's words against the menu, not against the links and lists in it.
     """
-    runs = [(len(text.split()), tuple(stack), _in_content(stack))
-            for kind, text, stack in Scanner().tokens(page) if kind == "text"]
-    holders = {e[3] for _, stack, inside in runs if inside for e in stack}
-    if not holders:
+    parents, keys, inside, outside = [0], [""], Counter(), Counter()
+    for kind, text, element in Scanner().tokens(page):
+        if kind == "open" and element and element.number == len(parents):
+            parents.append(element.parent)
+            keys.append(element.key)
+        elif kind == "text":
+            n = len(text.split())
+            (inside if element and element.content else outside)[element.number if element else 0] += n
+    labelled = set()
+    for number in inside:
+        while number and number not in labelled:
+            labelled.add(number)
+            number = parents[number]
+    if not labelled:
         return
-    for n, stack, inside in runs:
-        blamed = stack if inside else [e for e in stack if e[3] not in holders][:1]
-        for key in {e[1] for e in blamed} if n else ():
-            counts.setdefault(key, [0, 0])[0 if inside else 1] += n
+    words = [0] * len(parents)
+    for number in range(len(parents) - 1, 0, -1):        # children have larger numbers
+        words[number] += inside[number]
+        words[parents[number]] += words[number]
+    around: Counter = Counter()
+    path: list[int] = []
+    first = [0] * len(parents)
+    for number in range(1, len(parents)):
+        while path and path[-1] != parents[number]:
+            around[keys[path.pop()]] -= 1
+        # an element within another of the same key adds nothing to that one's words
+        if words[number] and not around[keys[number]]:
+            counts.setdefault(keys[number], [0, 0])[0] += words[number]
+        around[keys[number]] += 1
+        path.append(number)
+        if number not in labelled:
+            up = parents[number]
+            first[number] = first[up] or number
+            if outside[number]:
+                counts.setdefault(keys[first[number]], [0, 0])[1] += outside[number]
 
 
 def learn_weights(pages: DataFrame, page_id: str = "page_id", html: str = "html",
@@ -181,6 +284,20 @@ def learn_weights(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     return weights
 
 
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Start and end of the contiguous scores with the highest sum, the earliest of equal ones
+    and the shortest from there; nothing if no sum is above zero."""
+    best = total = 0.0
+    start = first = last = 0
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, i
+        total += score
+        if total > best + 1e-9:
+            best, first, last = total, start, i + 1
+    return first, last
+
+
 def main_text(page: str, scanner: Scanner) -> str:
     """Blocks of the best contiguous region, joined by a blank line.
 
@@ -189,13 +306,18 @@ def main_text(page: str, scanner: Scanner) -> str:
     Inside a labelled content element negative scores count little, so that a form between two
     paragraphs does not part them, and the end of that element counts much.  A linear scan keeps
     the region with the highest sum (the earliest of equal ones).  Words of a negative weight
-    inside the region are left out.
+    inside the region are left out.  A name or a form that would leave out most of the page's
+    words is taken for that of the page: then it does not count.
     """
+    read = list(scanner.tokens(page))
+    holders = page_holders(read)
+    if holders:
+        read = list(scanner.tokens(page, holders))
     tokens: list = []                       # (score, text or None for the end of a block)
-    for kind, value, stack in scanner.tokens(page):
-        weight = stack[-1][2] if stack else 1.0
+    for kind, value, element in read:
+        weight = element.weight if element else 1.0
         loss = min(0.0, weight)
-        if loss and _in_content(stack):
+        if loss and element and element.content:
             loss *= WITHIN
         if kind == "text":
             words = len(value.split())
@@ -205,14 +327,7 @@ def main_text(page: str, scanner: Scanner) -> str:
             if kind == "close" and value in CONTENT:
                 score -= PAST_CONTENT
             tokens.append((score, None if value in BLOCK else " " if value == "br" else ""))
-    best = total = 0.0
-    start = first = last = 0
-    for i, (score, _) in enumerate(tokens):
-        if total <= 0:
-            total, start = 0.0, i
-        total += score
-        if total > best + 1e-9:
-            best, first, last = total, start, i + 1
+    first, last = best_region([score for score, _ in tokens])
     blocks, part = [], []
     for _, text in [*tokens[first:last], (0, None)]:
         if text is None:
