@@ -213,3 +213,26 @@ def test_damaged_archives_are_refused(spark, tmp_path):
     (tmp_path / "plain").write_bytes(b"WARC/1.1 no dictionary")
     with pytest.raises(ValueError):
         list(warc.read_file(str(tmp_path / "plain")))
+
+
+def test_a_payload_of_very_many_pages_is_split(spark):
+    names = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        pages = spark.range(0, 8000, 1, 8).selectExpr(
+            "id AS page_id", "if(id % 3 > 0, repeat('0', 1200), CAST(id AS STRING)) AS html")
+        marked = warc.with_revisits(pages).select("page_id", "kind", "refers_to")
+        got = {r["page_id"]: (r["kind"], r["refers_to"]) for r in marked.collect()}
+        newest = max(i for i in range(8000) if i % 3 > 0)
+        assert got == {i: ("revisit", newest) if i % 3 > 0 and i < newest else ("response", None)
+                       for i in range(8000)}
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 from tidyforge.session import materialize
 
 
-def split_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join on one column that may have a hot value on the left.
+def split_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Inner or left join on one column that may have a hot value on the left.
 
     The null-safe form has exchanges of its own on both sides, also next to an aggregate on
     the same column, and so adaptive execution can split the hot value.
     """
     other = right.withColumnRenamed(key, "__key")
-    return left.join(other, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+    return left.join(other, F.col(key).eqNullSafe(F.col("__key")), how).drop("__key")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidyforge.llm.hash_tables import new_folder, open_file, write_file
+from tidyforge.llm.links import split_join
 
 LEAST_REVISIT = 1000         # bytes from which an equal payload is archived once
 SAMPLE = 1000                # records the dictionary is trained on, about
@@ -88,19 +89,22 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     Of equal payloads of at least ``LEAST_REVISIT`` bytes those with the largest page_id are
     responses and the others revisit them; all smaller ones are responses.  Payloads are equal
     if their SHA-1 and length are.  A missing page has an empty payload; a missing page_id counts
-    as the smallest, and payloads that have no other id are all responses.
+    as the smallest, and payloads that have no other id are all responses.  Rows that share
+    page_id and payload are written alike, under one record id.  A payload that very many pages
+    have is split between tasks by the join.
     """
     payload = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.withColumn("payload", payload).withColumns(
         {"digest": F.sha1("payload"), "bytes": F.octet_length("payload")})
-    groups = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("digest", "bytes").agg(
+    rows = rows.withColumn("same", F.concat_ws(":", "digest", F.col("bytes").cast("string")))
+    groups = rows.where(F.col("bytes") >= LEAST_REVISIT).groupBy("same").agg(
         F.max(f"`{page_id}`").alias("newest"), F.count("*").alias("members"))
     groups = groups.where("members > 1 AND newest IS NOT NULL").drop("members")
     own = F.col(f"`{page_id}`")
     newer = F.col("newest").isNotNull() & ~own.eqNullSafe(F.col("newest"))
-    return rows.join(groups, ["digest", "bytes"], "left").withColumns({
+    return split_join(rows, groups, "same", "left").withColumns({
         "kind": F.when(newer, F.lit("revisit")).otherwise(F.lit("response")),
-        "refers_to": F.when(newer, F.col("newest"))}).drop("newest", "bytes")
+        "refers_to": F.when(newer, F.col("newest"))}).drop("newest", "bytes", "same")
 
 
 def write_archives(pages: DataFrame, folder: str | None = None, page_id: str = "page_id",
