@@ -184,9 +184,10 @@ def manifest(rows: DataFrame, group: str, order: Sequence[str], columns: Sequenc
     lower = build_levels(leaves.select("tree", "pos", "n", "digest"), fanout)
     subroots = materialize(roots(lower), "subroots")
     n_trees = subroots.count()
-    upper = build_levels(subroots.select(
+    # a written table, since Spark would drop the constant tree from the joins' conditions
+    upper = build_levels(materialize(subroots.select(
         F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"),
-        F.lit(n_trees).cast("long").alias("n"), "digest"), fanout)
+        F.lit(n_trees).cast("long").alias("n"), "digest"), "subroots"), fanout)
     tops = proofs(upper, None, fanout).select(F.col("pos").alias("tree"), "path")
     tops = materialize(tops, "tops")
     root = [r["digest"] for r in roots(upper).collect()]
