@@ -1,11 +1,12 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidyforge.llm.links import components
-from tidyforge.llm.ngram_join import _products, jaccard_classes
+from tidyforge.llm.ngram_join import _forest, _products, jaccard_classes
 from tidyforge.llm.repeats import remove_repeats
 
 ROWS = list(enumerate(brute.ODD_TEXTS, start=10))
@@ -127,3 +128,20 @@ def test_repeats_keep_layout_and_columns(spark):
         [(1, " a\n b ", 2, 0), (2, "x y", 42, 40), (3, "", 40, 40), (None, None, 0, 0)],
         got.schema).collect()))
     assert remove_repeats(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 24, 25, 80])
+def test_blocks_of_any_size_keep_every_link(n):
+    """Pairs, a chain and a star that touch no other set, in blocks of few and many sets."""
+    pick = np.random.default_rng(n)
+    sets = []
+    for i in range(n):
+        base = sets[0] if i % 5 == 4 else sets[-1] if i % 2 else np.unique(pick.integers(0, 2**62, 60))
+        own = base.copy()
+        own[:5] = pick.integers(0, 2**62, 5)
+        sets.append(np.unique(own).astype(np.uint64))
+    links = [(i, j) for i in range(n) for j in range(i) if 100 * len(np.intersect1d(
+        sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))]
+    want = brute.groups(range(n), links)
+    members, roots = _forest(sets, 80)
+    assert brute.groups(range(n), zip(members.tolist(), roots.tolist())) == want

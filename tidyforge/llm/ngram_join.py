@@ -205,19 +205,10 @@ def _links(sets: DataFrame, bits: int, percent: int) -> DataFrame:
 def _forest(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Members and roots of a spanning forest of the links between some sets."""
     forest = Forest(len(sets))
-    if len(sets) <= 24:
-        for i in range(len(sets)):
-            for j in range(i):
-                n, m = len(sets[i]), len(sets[j])
-                if 100 * min(n, m) < percent * max(n, m) or forest.root(i) == forest.root(j):
-                    continue
-                overlap = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if (100 + percent) * overlap >= percent * (n + m):
-                    forest.join([(i, j)])
-    else:
-        alive, linked = _products(sets, percent)
-        root, _ = labels_between(linked)
-        forest.join(zip(alive, alive[root]))
+    alive, linked = _products(sets, percent)
+    np.fill_diagonal(linked, True)               # a set is the same as a row and as a column
+    root, _ = labels_between(linked)
+    forest.join(zip(alive, alive[root]))
     roots = forest.roots()
     members = np.flatnonzero(roots != np.arange(len(sets)))
     return members, roots[members]
@@ -237,7 +228,7 @@ def _products(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndar
     rows, column = rows[order], column[order]
     at = 0
     while at < len(rows) and len(alive):
-        width = max(64, BLOCK_CELLS // len(alive))
+        width = max(1, min(int(column[-1] - column[at]) + 1, max(64, BLOCK_CELLS // len(alive))))
         to = int(np.searchsorted(column, column[at] + width))
         own, cell = rows[at:to], column[at:to] - column[at]
         left -= np.bincount(own, minlength=len(sets))
