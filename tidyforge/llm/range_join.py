@@ -34,8 +34,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
 
     On the unit sphere the cosine is a distance r.  Each vector's home is the cell of its
     nearest pivot; by the triangle inequality a vector can be within r of a vector at home in
-    another cell only if that cell's pivot is at most 2 r farther than its own, and it is sent
-    there as well.  Every link of a vector is thus found in its home cell, and cells are joined
+    another cell only if that cell's pivot is at most 2 r farther than its own, and only if it
+    is within r of the plane between the two pivots; then it is sent there as well.  Every link of a vector is thus found in its home cell, and cells are joined
     independently.  A large cell is dealt into tiles.  Tasks return link counts and a spanning
     forest, never pairs of a whole group.
     """
@@ -49,8 +49,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, vec_id: str = "vec_
         kept.where("class IS NOT NULL").groupBy("class", "label", "size").agg(
             F.count("*").alias("copies"), F.first("vector").alias("vector")), "classes")
     largest = classes.groupBy("label", "size").count().agg(F.max("count")).first()[0] or 0
-    pivots = _pivots(classes, min(MOST_PIVOTS, -(-largest // CELL)))
-    reach = 2 * np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
+    pivots = _pivots(classes, max(2, min(MOST_PIVOTS, -(-largest // CELL))))
+    reach = np.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,10 +134,8 @@ def _units(vectors, size: int) -> np.ndarray:
 def _pivots(classes: DataFrame, wanted: int) -> dict[int, np.ndarray]:
     """Pivots by length of vector: spread-out members of a sample of fixed size."""
     sample: dict[int, list] = {}
-    if wanted > 1:
-        for row in classes.select("size", "class", "vector").orderBy("class").limit(
-                SAMPLE).collect():
-            sample.setdefault(row["size"], []).append(bytes(row["vector"]))
+    for row in classes.select("size", "class", "vector").orderBy("class").limit(SAMPLE).collect():
+        sample.setdefault(row["size"], []).append(bytes(row["vector"]))
     found = {}
     for size, vectors in sample.items():
         own = _units(vectors, size)
@@ -158,9 +156,14 @@ def _cells(batch: pa.RecordBatch, pivots: dict, reach: float) -> Iterator[pa.Rec
             row, cell, home = own, np.zeros(len(own), np.int32), np.ones(len(own), bool)
         else:
             units = _units([batch.column(4)[int(i)].as_py() for i in own], int(size))
-            far = np.sqrt(np.maximum(0, 2 - 2 * (units @ around.T)))
+            cosines = units @ around.T
+            far = np.sqrt(np.maximum(0, 2 - 2 * cosines))
             nearest = far.argmin(axis=1)
-            sent = far <= far.min(axis=1)[:, None] + reach
+            apart = np.sqrt(np.maximum(0, 2 - 2 * (around @ around.T)))[nearest]
+            # the distance to the plane between two unit pivots is the difference of the
+            # cosines, divided by the distance of the pivots
+            nearer = cosines[np.arange(len(own)), nearest][:, None] - cosines
+            sent = (far <= far.min(axis=1)[:, None] + 2 * reach) & (nearer <= reach * apart + 1e-9)
             at, cell = np.nonzero(sent)
             row, home = own[at], nearest[at] == cell
         part = batch.take(pa.array(row))
