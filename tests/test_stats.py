@@ -133,3 +133,12 @@ def test_sums_before_each_row(spark):
     for v in range(3000):
         assert got[v][1] == total
         total += got[v][0]
+
+
+def test_more_categories_than_the_driver_may_hold_are_refused(spark, monkeypatch):
+    df = spark.range(50).selectExpr("CAST(id AS STRING) AS s", "id % 3 AS n")
+    monkeypatch.setattr(stats, "FETCHED", 49)
+    with pytest.raises(ValueError, match="vector encoding"):
+        categories(df, ["s"])
+    monkeypatch.setattr(stats, "FETCHED", 50)
+    assert len(categories(df, ["s", "n"])["s"]) == 50

@@ -22,6 +22,8 @@ from tidyforge.functions.nulls import double_or_null, missing
 
 # Rows that may be left inside the brackets when their values are fetched one by one.
 GATHER_ROWS = 20_000
+# Categories that may be fetched for the columns of one type.
+FETCHED = 100_000
 # Sketch size and the margin, in rank share, put around a sketched quantile.
 SKETCH_K = 1024
 MARGIN = 0.004
@@ -343,8 +345,8 @@ def _frequent(df: DataFrame, columns: list[str]) -> dict[str, list]:
 def categories(df: DataFrame, columns: list[str], most: int | None = None) -> dict[str, dict[object, int]]:
     """Sorted categories with their row counts.
 
-    The categories become output columns, so how many there may be is the caller's choice.
-    With ``most`` a column that has more raises before any is fetched; nothing is cut off.
+    The categories become output columns, so how many there may be is the caller's choice, up
+    to ``FETCHED`` for all columns of a type, which is what the driver may hold.  With ``most`` a column that has more raises before any is fetched; nothing is cut off.
     """
     found: dict[str, dict[object, int]] = {c: {} for c in columns}
     if not columns:
@@ -357,7 +359,11 @@ def categories(df: DataFrame, columns: list[str], most: int | None = None) -> di
                                for i in range(len(columns))]).first()
         _refuse_wide({c: about[f"d{i}"] or 0 for i, c in enumerate(columns)}, most * 1.2, most)
     for counted in value_counts(df, columns):
-        for r in counted.collect():
+        rows = counted.limit(FETCHED + 1).collect()
+        if len(rows) > FETCHED:
+            raise ValueError(f"more than {FETCHED} categories in {columns}; exclude columns, or use "
+                             "the sparse or the vector encoding")
+        for r in rows:
             found[r["column"]][r["value"]] = r["rows"]
     if most is not None:
         _refuse_wide({c: len(v) for c, v in found.items()}, most, most)
