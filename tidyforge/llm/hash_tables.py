@@ -24,15 +24,18 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidyforge.session import shared_path
+from tidyforge.session import WorkTables, shared_path
 
 SHARD_BYTES = 16 << 20               # bytes of input text for each shard
 FLUSH_KEYS = 1_500_000               # keys a task gathers before it sends them
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``."""
-    return shared_path(spark, name)
+    """A new folder below ``spark.checkpoint.dir``, deleted with the tables of an open run."""
+    folder = shared_path(spark, name)
+    for tables in WorkTables._open:
+        tables.paths.append(folder)
+    return folder
 
 
 def _plain(path: str) -> str | None:
