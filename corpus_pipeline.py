@@ -10,7 +10,7 @@ from tidyforge.llm.ngram_join import jaccard_classes
 from tidyforge.llm.queries import fold, packed_pieces, table
 from tidyforge.llm.repeats import remove_repeats
 from tidyforge.llm.toxicity import score_toxicity
-from tidyforge.session import materialize
+from tidyforge.session import WorkTables, materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,8 +73,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages applied to ``documents``, each result written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The stages applied to ``documents``, each result written and read again.
+
+    What a stage wrote on its way, and the result before its own, are deleted once its result
+    is written; the last but one result stays, since the last stage is not yet computed.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with WorkTables(spark) as tables:
+            docs = materialize(stage(spark, docs, sf_dir), name)
+            tables.paths, before = [*tables.paths[:-1], *before], tables.paths[-1:]
+            tables.release()
     return STAGES[-1][1](spark, docs, sf_dir)
