@@ -12,7 +12,7 @@ from tidyforge.sources.discover import auto_prepare_merges, directory_crawler, f
 from tidyforge.sources.html import extract_html_tables, table_rows
 from tidyforge.sources.load import (SOURCE_ORDER, infer_types, is_sql, jdbc_reader, load, load_data,
                                     read_csv)
-from tidyforge.sources.save import save_output
+from tidyforge.sources.save import save_output, saved
 
 CSV = 'id,n,x,flag,day,t,none\n1,1,1.5,True,2024-01-01,"a ""q"", b",\n2,NA,,False,2024-01-02,N/A,\n' \
       '3, 7 ,1e3,true,x,NaN,null\n'
@@ -260,7 +260,26 @@ def test_csv_sink(spark, tmp_path, rows):
     assert save_output(df, path) is df
     back = load(spark, path + ".csv")
     assert back.columns == ["i", "t.x [1]"] and rows(back) == [(1, 'a "b", c'), (2, None)]
-    save_output(df, path + "2.csv", single_file=True)
-    assert len([f for f in os.listdir(path + "2.csv") if f.endswith(".csv")]) == 1
     save_output(df, path + ".parquet", format="parquet")
     assert spark.read.parquet(path + ".parquet").count() == 2
+
+
+def test_single_csv_file_of_many_parts(spark, tmp_path, rows):
+    """Parts are written by their tasks and put together in the order of the rows."""
+    path = str(tmp_path / "one.csv")
+    df = spark.range(0, 500, 1, 7).selectExpr("id AS i", "concat('a\nb, ', id) AS t")
+    save_output(df, path, single_file=True)
+    assert os.path.isfile(path)
+    back = pd.read_csv(path)
+    assert back["i"].tolist() == list(range(500)) and back["t"][3] == "a\nb, 3"
+    assert saved(spark, path).count() == 500
+    save_output(df.where("i < 2"), path, single_file=True, header=False)
+    with open(path) as text:
+        assert text.read() == '0,"a\nb, 0"\n1,"a\nb, 1"\n'
+    with pytest.raises(FileExistsError):
+        save_output(df, path, single_file=True, mode="error")
+    save_output(df.where("i < 0"), path, single_file=True)
+    with open(path) as text:
+        assert text.read() == "i,t\n"
+    with pytest.raises(ValueError):
+        save_output(df, path, single_file=True, format="parquet")
