@@ -161,11 +161,15 @@ def test_queries_return_the_columns_of_their_contracts(spark):
         "op5": "doc_id size source_size target taken", "op6": "vec_id n_links component_id kept",
         "op7": "page_id url text n_chars", "op8": "doc_id n_shingles component_id",
         "op9": "doc_id n_words n_removed kept_sha256",
-        "op10": "page_id payload_bytes payload_digest record_type refers_to"}
+        "op10": "page_id payload_bytes payload_digest record_type refers_to",
+        "op11": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+        "op12": "doc_id size text_crc32 law shard slot grown_shard",
+        "op13": "doc_id leaf subroot root proof_sha256 folded_root verified"}
     assert [re.match("op[0-9]+", n)[0] for n in QUERIES] == list(want)
     longs = {"start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "n_tokens", "n_known",
              "train_tokens", "size", "taken", "n_links", "component_id", "n_chars", "n_shingles",
-             "n_words", "n_removed", "payload_bytes", "vec_id", "query_id"}
+             "n_words", "n_removed", "payload_bytes", "vec_id", "query_id", "conv_id", "gaps", "blank",
+             "duplicate", "truncated", "illegal", "cost", "text_crc32", "slot"}
     for name, query in QUERIES.items():
         df = query(spark, FOLDER)
         assert df.columns == want[re.match("op[0-9]+", name)[0]].split()
