@@ -285,8 +285,8 @@ def value_counts(df: DataFrame, columns: list[str]) -> list[DataFrame]:
 # Frequent values that a sketch tracks, and those whose rows are then counted.  A value that
 # a sketch does not report has at most the share 2 * 3.5 / map size of the rows, where the map
 # has a third more places than values tracked.
-TRACKED = 10_000
-CANDIDATES = 32
+TRACKED = 3_000
+CANDIDATES = 8
 UNREPORTED = 2 * 3.5 * 0.75 / TRACKED
 SKETCHED = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
 
