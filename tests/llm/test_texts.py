@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import random
 import time
@@ -522,3 +523,49 @@ def test_labelled_words_are_counted_once_for_each_key():
     counts = {}
     count_labelled("<div><div><article><p>a b<p>c</article>x</div></div><nav><ul><li>m n</ul></nav>", counts)
     assert counts == {"div": [3, 0], "article": [3, 0], "p": [3, 0], "nav": [0, 2]}
+
+
+def test_decoding_finds_the_best_of_all_paths(spark):
+    """The lattice search against every path through small lattices."""
+    rows, _ = toxic_corpus(200)
+    restorer = Restorer(count_letters(spark.createDataFrame([(t,) for t, _ in [
+        (text, 0) for _, text in rows]], "text string")))
+    table, pick = restorer.model.table, random.Random(12)
+
+    def paths(arcs):
+        for path in itertools.product(*arcs, [(0, "", 0.0)]):
+            a, b, total, text = 0, 0, 0.0, ""
+            for kind, sign, cost in path:
+                total += cost
+                if kind is None:
+                    continue
+                if kind == 0:
+                    total += table[a][b][0] if b else 0.0
+                    a, b, text = 0, 0, text + f" {sign} "
+                else:
+                    total += table[a][b][kind]
+                    a, b, text = b, kind, text + sign
+            yield total, text
+
+    for _ in range(60):
+        arcs = []
+        for _ in range(pick.randint(1, 6)):
+            letters = [(k, chr(96 + k), -pick.random()) for k in pick.sample(range(1, 27), pick.randint(1, 3))]
+            others = [(0, pick.choice(["", "7"]), -2 * pick.random()), (None, "", -3 * pick.random())]
+            arcs.append(letters + others[:pick.randint(0, 2)])
+        best = max(total for total, _ in paths(arcs))
+        allowed = {text.split() and " ".join(text.split()) or "" for total, text in paths(arcs) if total > best - 1e-9}
+        assert " ".join(restorer._decode(arcs).split()) in allowed
+
+
+def test_weights_are_those_of_a_plain_logistic_regression():
+    """Words that only toxic texts have score high, whatever else a text has."""
+    pick = random.Random(6)
+    bad, good = ["vile", "nasty"], ["plain", "table", "water", "stone", "river"]
+    texts = [[*pick.sample(good, 3), *([pick.choice(bad)] if i % 4 == 0 else [])] for i in range(400)]
+    from tidyforge.llm import toxicity
+    model = toxicity._fit([np.array(sorted({f for w in t for f in toxicity.features(w)}), np.int64) for t in texts],
+                          np.array([i % 4 == 0 for i in range(400)], float))
+    found = [model.chance({f for w in t for f in model.telling(w)}) for t in texts]
+    assert min(found[::4]) > 0.5 > max(p for i, p in enumerate(found) if i % 4)
+    assert all(w >= 0 for w in model.weights.values())
