@@ -146,15 +146,20 @@ def kneser_ney(training, order):
     """(probability function, words' counts) of a model counted with plain dictionaries."""
     def tokens(text):
         return ["<s>"] * (order - 1) + brute.words((text or "").translate(brute.LOWER)) + ["</s>"]
-    counts = {order: Counter()}
-    for text in training:
-        own = tokens(text)
+    counts, texts = {order: Counter()}, [tokens(text) for text in training]
+
+    def occurrences(gram):
+        return sum(tuple(own[i:i + len(gram)]) == gram for own in texts for i in range(len(own)))
+
+    for own in texts:
         counts[order].update(tuple(own[i - order + 1:i + 1]) for i in range(order - 1, len(own)))
     raw = Counter()
     for gram, n in counts[order].items():
         raw[gram[-1]] += n
     for k in range(order - 1, 0, -1):
-        counts[k] = Counter(gram[1:] for gram in counts[k + 1])
+        counts[k] = Counter()
+        for gram in counts[k + 1]:
+            counts[k][gram[1:]] += occurrences(gram) if k > 1 and gram[1] == "<s>" else 1
     off = {}
     for k, own in counts.items():
         n = [sum(1 for c in own.values() if c == i) for i in (1, 2, 3, 4)]

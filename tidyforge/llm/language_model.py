@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -10,57 +11,92 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidyforge.llm.coded_tables import CodedTable, shard_of, write_coded
 from tidyforge.llm.hash_tables import (
-    HashTable, new_folder, pack_keys, pack_values, shard_bits, shard_ranges,
-    text_size, unpack_keys, unpack_values, write_array)
+    add_up, new_folder, pack_keys, pack_values, shard_bits, text_size, unpack_keys, unpack_values)
 from tidyforge.llm.words import Words, combine, find_words, mix, slices
-from tidyforge.session import WorkTables
 
 ORDER = 3
 FLUSH_GRAMS = 2_000_000      # n-grams a task gathers before it sends them
+SPLIT_BITS = 20              # a word before 1 / 2^20 of all words is always split
+SCORED_BYTES = 4 << 20       # texts scored at once
 _START, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0x27D4EB2F165667C5)
-#: Packed rows: n-grams by their words' hashes, or contexts by the hash of their words.  The
-#: first of ``words`` has the row's different hashes, the others their places in it.
-_ROWS = ("kind string, shard int, words array<binary>, counts binary, raw binary, "
-         "ones binary, twos binary, more binary")
+#: N-grams of one shard: the different hashes of their words, and the words' places in these.
+_GRAMS = "shard int, words binary, places array<binary>, counts binary"
+#: Parts of words (level 1) or of contexts of split words (the order), or facts (level 0).
+_PARTS = "level int, shard int, keys binary, columns array<binary>, facts array<long>"
+_STATS = 4                   # a context's total and its words counted once, twice, more often
+
+
+class Deal(NamedTuple):
+    """Where n-grams go: by the word before their last, so that all n-grams of a context, and
+    the n-grams of all lower orders that end like one, meet in one shard.  ``split`` has the
+    words that come before more words than a shard should hold; n-grams with these are dealt by
+    the last word too, and the figures of their contexts are put together afterwards.
+    """
+
+    bits: int
+    split: np.ndarray
+
+    def is_split(self, words: np.ndarray) -> np.ndarray:
+        if not len(self.split):
+            return np.zeros(len(words), bool)
+        place = np.minimum(np.searchsorted(self.split, words), len(self.split) - 1)
+        return self.split[place] == words
+
+    def shards(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return shard_of(np.where(self.is_split(before), _follow(before, last), before), self.bits)
 
 
 class NgramModel:
-    """A counted model: one table of n-grams and one of contexts per order, and totals.
+    """A counted model: tables of words, and of n-grams and contexts per order, and totals.
 
     The probability of a word after a context is its count less a discount, over the
     context's total, plus what the discounts leave times the probability after the context
-    without its first word.  Counts are occurrences at the highest order and numbers of
-    different left neighbours below it; below single words every word, and one unknown word,
-    is equally likely.  There are three discounts per order, for counts 1, 2 and more, from
-    the numbers of n-grams seen one to four times; where those are too few, all three are
-    n1 / (n1 + 2 n2), or 0.5 without any.
+    without its first word.  Counts are occurrences at the highest order, and at the start of
+    a text; below it they are numbers of different left neighbours.  Below single words every
+    word, and one unknown word, is equally likely.  There are three discounts per order, for
+    counts 1, 2 and more, from the numbers of n-grams seen one to four times; where those are
+    too few, all three are n1 / (n1 + 2 n2), or 0.5 without any.
     """
 
-    def __init__(self, order: int, grams: dict[int, HashTable], contexts: dict[int, HashTable],
+    def __init__(self, order: int, deal: Deal, words: CodedTable, grams: dict[int, CodedTable],
+                 contexts: dict[int, CodedTable], split_contexts: dict[int, CodedTable],
                  seen: dict[int, np.ndarray], tokens: int, types: int, pairs: int):
-        self.order, self.grams, self.contexts = order, grams, contexts
+        self.order, self.deal, self.words, self.grams = order, deal, words, grams
+        self.contexts, self.split_contexts = contexts, split_contexts
         self.tokens, self.types, self.pairs = tokens, types, pairs
         self.discounts = {k: _discounts(n) for k, n in seen.items()}
         self.seen = seen
 
     def probabilities(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Model probability and training count of the tokens at ``ends``."""
-        _, values = self.grams[1].search(mix(ids[ends]))
+        single, again = np.unique(ids[ends], return_inverse=True)
+        single = mix(single)
+        counts, raw = self.words.search(single, shard_of(single, self.deal.bits))[again].T
         chance = np.full(len(ends), 1 / (self.types + 1))
         if self.pairs:
             left = self.discounts[1] @ self.seen[1][[0, 1, 4]] / self.pairs
-            chance = self._kept(1, values["counts"]) / self.pairs + left * chance
+            chance = self._kept(1, counts) / self.pairs + left * chance
         for k in range(2, self.order + 1):
-            _, own = self.grams[k].search(mix(combine(ids, k))[ends - k + 1])
-            _, around = self.contexts[k].search(mix(combine(ids, k - 1))[ends - k + 1])
-            known = around["counts"] > 0
-            total = np.where(known, around["counts"], 1).astype(float)
-            left = sum(d * around[c] for d, c in zip(
-                self.discounts[k], ("ones", "twos", "more"))) / total
-            chance = np.where(known, self._kept(k, own["counts"]) / total + left * chance,
-                              chance)
-        return chance, values["raw"]
+            before = ids[ends - 1]
+            own = self.grams[k].search(mix(combine(ids, k))[ends - k + 1],
+                                       self.deal.shards(before, ids[ends]))[:, 0]
+            key, first, again = np.unique(mix(combine(ids, k - 1))[ends - k + 1],
+                                          return_index=True, return_inverse=True)
+            before = before[first]
+            split = self.deal.is_split(before)
+            around = np.zeros((len(key), _STATS), np.int64)
+            around[~split] = self.contexts[k].search(
+                key[~split], shard_of(before[~split], self.deal.bits))
+            around[split] = self.split_contexts[k].search(
+                key[split], shard_of(key[split], self.deal.bits))
+            around = around[again]
+            known = around[:, 0] > 0
+            total = np.where(known, around[:, 0], 1).astype(float)
+            left = around[:, 1:] @ self.discounts[k] / total
+            chance = np.where(known, self._kept(k, own) / total + left * chance, chance)
+        return chance, raw
 
     def _kept(self, k: int, counts: np.ndarray) -> np.ndarray:
         off = np.concatenate([[0.0], self.discounts[k]])[np.minimum(counts, 3).astype(int)]
@@ -97,43 +133,34 @@ def token_ids(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndar
 def fit(docs: DataFrame, training: Column, text: str = "text", order: int = ORDER) -> NgramModel:
     """Count the model over the rows where ``training`` holds.
 
-    Tasks count the n-grams of their texts and send them by hash range; one task per range
-    writes sorted arrays and passes partial context totals and the n-grams of the next lower
-    order on, so a frequent word is a few numbers per task.  Only totals reach the driver.
+    Tasks count the n-grams of the highest order in their texts and send them as ``Deal`` says,
+    the only large shuffle.  One task per shard writes the tables of all orders but single
+    words and sends these, with the contexts of split words, to their own shards.  Which words
+    are split decides on balance alone.  Only totals and numbers of shards reach the driver.
     """
-    spark = docs.sparkSession
     source = docs.where(training).select(F.col(f"`{text}`").cast("string").alias("text"))
-    bits, folder = shard_bits(text_size(source)), new_folder(spark, "ngrams")
-    rows = source.mapInArrow(lambda b: _count(b, order, bits), _ROWS)
-    dealt = {k: bits if k > 1 or order == 1 else max(3, bits - 3)
-             for k in range(1, order + 1)}               # single words are far fewer
-    grams, contexts, seen, facts = {}, {}, {}, np.zeros(8)
-    passed = WorkTables(spark)                           # what the next order has read
-    for k in range(order, 0, -1):
-        step = _Level(k, folder, dealt.get(k - 1, bits))
-        sent = rows.where(F.col("kind") == "grams").groupBy("shard").applyInArrow(
-            _by_table(step.grams), f"{_ROWS}, facts array<long>, size long")
-        path = new_folder(spark, f"ngrams-{k}")
-        sent.write.parquet(path)
-        passed.release()
-        passed.paths.append(path)
-        sent = spark.read.schema(sent.schema).parquet(path)
-        told = sent.where("kind = 'facts'").select("shard", "facts", "size").collect()
-        grams[k] = HashTable(f"{folder}/{k}", dealt[k], [r["shard"] for r in told if r["size"]],
-                             {"counts": np.uint32, "raw": np.uint64} if k == 1
-                             else {"counts": np.uint32})
-        facts = np.sum([r["facts"] for r in told], axis=0) if told else facts
-        seen[k] = facts[:5]
-        if k > 1:
-            made = sent.where("kind = 'contexts'").groupBy("shard").applyInArrow(
-                _by_table(step.contexts), "shard int").collect()
-            contexts[k] = HashTable(f"{folder}/{k}c", dealt[k - 1], [r["shard"] for r in made],
-                                    {"counts": np.float64, "ones": np.uint32,
-                                     "twos": np.uint32, "more": np.uint32})
-        rows = sent
-    passed.release()
-    pairs, types, tokens = (int(x) for x in facts[5:8])
-    return NgramModel(order, grams, contexts, seen, tokens, types, pairs)
+    bits, folder = shard_bits(text_size(source)), new_folder(docs.sparkSession, "ngrams")
+    deal = Deal(bits, _split_words(source, order, bits))
+    parts = source.mapInArrow(lambda b: _count(b, order, deal), _GRAMS).groupBy(
+        "shard").applyInArrow(_by_table(_Tables(order, deal, folder).write), _PARTS)
+    told = parts.groupBy("level", "shard").applyInArrow(
+        _by_table(_Parts(folder).write), "level int, shard int, facts array<long>").collect()
+    facts = {k: np.sum([np.zeros(8, np.int64), *(
+        r["facts"] for r in told if r["level"] == 1 and k == 1),
+        *(r["facts"][8 * (k - 2):8 * (k - 1)] for r in told if r["level"] == 0 and k > 1)],
+        axis=0) for k in range(1, order + 1)}
+
+    def shards(level: int) -> list[int]:
+        return [r["shard"] for r in told if r["level"] == level]
+
+    upper = range(2, order + 1)
+    pairs, types, tokens = (int(x) for x in facts[1][5:8])
+    return NgramModel(
+        order, deal, CodedTable(f"{folder}/1", shards(1), 2),
+        {k: CodedTable(f"{folder}/{k}", shards(0), 1) for k in upper},
+        {k: CodedTable(f"{folder}/{k}c", shards(0), _STATS) for k in upper},
+        {k: CodedTable(f"{folder}/{k}s", shards(k), _STATS) for k in upper},
+        {k: n[:5] for k, n in facts.items()}, tokens, types, pairs)
 
 
 def _by_table(method):
@@ -141,133 +168,194 @@ def _by_table(method):
     return lambda table: method(table)
 
 
+def _split_words(source: DataFrame, order: int, bits: int) -> np.ndarray:
+    """Words that come before at least about 1 / 2^bits of all words, 2^(bits + 1) at most."""
+    none = np.zeros(0, np.uint64)
+    if order == 1:
+        return none
+    share = 0.5 ** (min(bits, SPLIT_BITS) + 1)
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, ends in _gathered(batches, 2):
+            words, counts = add_up(np.concatenate([i[e - 1] for i, e in zip(ids, ends)]))
+            total = int(counts.sum())
+            keep = counts >= share * total
+            words, counts = (np.append(x[keep], np.uint64(rest)) for x, rest in (
+                (words, 0), (counts, total)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words.view(np.int64)), pa.array(counts.astype(np.int64)),
+                 pa.array(np.arange(len(words)) == len(words) - 1)], ["word", "n", "total"])
+
+    sums = source.mapInArrow(often, "word long, n long, total boolean").groupBy(
+        "total", "word").agg(F.sum("n").alias("n"))
+    total = sums.where("total").first()
+    if total is None:
+        return none
+    found = sums.where(~F.col("total") & (F.col("n") >= share * total["n"])).collect()
+    return np.sort(np.array([r["word"] for r in found], np.int64).view(np.uint64))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[list, list]]:
+    """Token hashes and ends of the texts of about ``FLUSH_GRAMS`` tokens at a time."""
+    ids, ends, size = [], [], 0
+    for batch in batches:
+        for at, to in slices(batch.column(0)):
+            own, last, _ = token_ids(find_words(batch.column(0).slice(at, to - at), True), order)
+            ids.append(own)
+            ends.append(last)
+            size += len(last)
+            if size >= FLUSH_GRAMS:
+                yield ids, ends
+                ids, ends, size = [], [], 0
+    if size:
+        yield ids, ends
+
+
 def _records(columns: list[np.ndarray], counts: np.ndarray, raw: np.ndarray):
     """Distinct n-grams in the order of their hash, with summed counts."""
     if not len(counts):
         return np.zeros(0, np.uint64), columns, counts, raw
-    key = columns[0]
-    for column in columns[1:]:
-        key = _follow(key, column)
-    key = mix(key)
+    key = _state(columns)
     order = np.argsort(key, kind="stable")
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    return (key[new], [c[order][new] for c in columns], np.add.reduceat(counts[order], new),
+    return (key[new], [c[order[new]] for c in columns], np.add.reduceat(counts[order], new),
             np.add.reduceat(raw[order], new))
 
 
+def _state(columns: list[np.ndarray]) -> np.ndarray:
+    """Hash of n-grams by their words; as ``mix`` and ``combine`` make it."""
+    key = columns[0]
+    for column in columns[1:]:
+        key = _follow(key, column)
+    return mix(key)
+
+
 def _follow(key: np.ndarray, column: np.ndarray) -> np.ndarray:
     """Hash state of words followed by one more; as ``combine`` does it."""
     return combine(np.array([1, 0], np.uint64), 2)[0] * key + column
 
 
-def _packed(kind: str, key, columns, counts, raw, bits, more=None):
-    """Packed rows; within a row the n-grams are in the order of their words."""
-    for shard, at in shard_ranges(key, bits):
-        names, places = np.unique(np.concatenate([c[at] for c in columns]), return_inverse=True)
-        places = places.reshape(len(columns), -1)
-        order = np.lexsort(places[::-1])
-        packed = [pack_keys(names), pack_keys(places[0][order].astype(np.uint64))] + [
-            pack_values(p[order]) for p in places[1:]]
-        extra = [pack_values(m[at][order]) for m in more] if more else [None] * 3
-        yield {"kind": kind, "shard": shard, "words": packed,
-               "counts": pack_values(counts[at][order]), "raw": pack_values(raw[at][order]),
-               "ones": extra[0], "twos": extra[1], "more": extra[2]}
-
-
-_ARROW = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("words", pa.list_(pa.binary())),
-                    *[(c, pa.binary()) for c in ("counts", "raw", "ones", "twos", "more")]])
-_ARROW_SENT = _ARROW.append(pa.field("facts", pa.list_(pa.int64()))).append(
-    pa.field("size", pa.int64()))
-
-
-def _unpacked(table: pa.Table):
-    held: list = []
-    for packed in table["words"]:
-        names, *places = packed.as_py()
-        names = unpack_keys(names)
-        held.append([names[(unpack_values if i else unpack_keys)(p).astype(np.int64)]
-                     for i, p in enumerate(places)])
-    columns = [np.concatenate(c) for c in zip(*held)]
-    return columns, [np.concatenate([unpack_values(v.as_py()) for v in table[c]])
-                     if table[c][0].is_valid else None
-                     for c in ("counts", "raw", "ones", "twos", "more")]
-
-
-def _count(batches: Iterator[pa.RecordBatch], order: int, bits: int) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-
-    def emit():
-        columns = [np.concatenate(c) for c in zip(*held)]
-        held.clear()                            # not needed while the n-grams are sorted
+def _parted(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard and the places of its rows."""
+    order = np.argsort(shards, kind="stable")
+    names, first = np.unique(shards[order], return_index=True)
+    yield from zip(names.tolist(), np.split(order, first[1:]) if len(names) else [])
+
+
+def _count(batches: Iterator[pa.RecordBatch], order: int, deal: Deal) -> Iterator[pa.RecordBatch]:
+    """Packed n-grams by shard; within a row in the order of the last words but one."""
+    for ids, ends in _gathered(batches, order):
+        columns = [np.concatenate([i[e - order + 1 + k] for i, e in zip(ids, ends)])
+                   for k in range(order)]
+        ids.clear()                             # not needed while the n-grams are sorted
+        ends.clear()
         ones = np.ones(len(columns[0]), np.uint64)
-        key, columns, counts, raw = _records(columns, ones, ones)
-        rows = list(_packed("grams", key, columns, counts, raw, bits))
-        for at in range(0, len(rows), 64):
-            yield pa.RecordBatch.from_pylist(rows[at:at + 64], _ARROW)
+        _, columns, counts, _ = _records(columns, ones, ones)
+        shards = deal.shards(columns[-2], columns[-1]) if order > 1 else shard_of(
+            columns[0], deal.bits)
+        for shard, at in _parted(shards):
+            names, places = np.unique(np.concatenate([c[at] for c in columns]),
+                                      return_inverse=True)
+            places = places.reshape(order, -1)
+            sort = np.lexsort((places[-1], places[0], places[max(order - 2, 0)]))
+            packed = [pack_values(p[sort]) for p in places]
+            packed[max(order - 2, 0)] = pack_keys(
+                places[max(order - 2, 0)][sort].astype(np.uint64))
+            yield pa.RecordBatch.from_pylist(
+                [{"shard": shard, "words": pack_keys(names), "places": packed,
+                  "counts": pack_values(counts[at][sort])}], _ARROW_GRAMS)
+
+
+_ARROW_GRAMS = pa.schema([("shard", pa.int32()), ("words", pa.binary()),
+                          ("places", pa.list_(pa.binary())), ("counts", pa.binary())])
+_ARROW_PARTS = pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()),
+                          ("columns", pa.list_(pa.binary())), ("facts", pa.list_(pa.int64()))])
+
+
+def _unpacked(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """Words and counts of the n-grams of a shard's rows."""
+    held = []
+    for words, places in zip(table["words"], table["places"]):
+        names = unpack_keys(words.as_py())
+        packed = places.as_py()
+        sorted_at = max(len(packed) - 2, 0)
+        held.append([names[(unpack_keys if k == sorted_at else unpack_values)(p).astype(np.int64)]
+                     for k, p in enumerate(packed)])
+    return ([np.concatenate(c) for c in zip(*held)],
+            np.concatenate([unpack_values(c.as_py()) for c in table["counts"]]))
+
+
+def _facts(counts: np.ndarray, raw: np.ndarray) -> list[int]:
+    """N-grams counted 1, 2, 3, 4 times and more than twice; all counts, n-grams, occurrences."""
+    return [*(int((counts == i).sum()) for i in (1, 2, 3, 4)), int((counts > 2).sum()),
+            int(counts.sum()), len(counts), int(raw.sum())]
+
+
+class _Tables:
+    """Write the n-grams and contexts of a shard, from the highest order down to pairs."""
+
+    def __init__(self, order: int, deal: Deal, folder: str):
+        self.order, self.deal, self.folder = order, deal, folder
+
+    def write(self, table: pa.Table) -> pa.Table:
+        shard = table["shard"][0].as_py()
+        columns, counts = _unpacked(table)
+        key, columns, counts, raw = _records(columns, counts, counts)
+        rows, facts = [], []
+        for k in range(self.order, 1, -1):
+            write_coded(f"{self.folder}/{k}/{shard}", key, [counts])
+            rows += self._contexts(k, shard, columns, counts)
+            facts = _facts(counts, raw) + facts
+            left = np.ones(len(key), np.uint64)
+            if k > 2:                           # nothing differs to the left of a start mark
+                left = np.where(columns[1] == _START, raw, left)
+            key, columns, counts, raw = _records(columns[1:], left, raw)
+        rows += _parts(1, key, [counts, raw], self.deal.bits)
+        rows.append({"level": 0, "shard": shard, "facts": facts})
+        return pa.Table.from_pylist(rows, _ARROW_PARTS)
+
+    def _contexts(self, k: int, shard: int, columns: list[np.ndarray], counts: np.ndarray) -> list:
+        key = _state(columns[:-1])
+        order = np.argsort(key, kind="stable")
+        key, own = key[order], counts[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        stats = [np.add.reduceat(x.astype(np.uint64), new)
+                 for x in (own, own == 1, own == 2, own > 2)]
+        key, split = key[new], self.deal.is_split(columns[-2][order[new]])
+        write_coded(f"{self.folder}/{k}c/{shard}", key[~split], [x[~split] for x in stats])
+        return _parts(k, key[split], [x[split] for x in stats], self.deal.bits)
 
-    for batch in batches:
-        for at, to in slices(batch.column(0)):
-            ids, ends, _ = token_ids(find_words(batch.column(0).slice(at, to - at), True), order)
-            held.append([ids[ends - order + 1 + k] for k in range(order)])
-            size += len(ends)
-            if size >= FLUSH_GRAMS:
-                yield from emit()
-                size = 0
-    if size:
-        yield from emit()
 
+def _parts(level: int, key: np.ndarray, columns: list[np.ndarray], bits: int) -> list[dict]:
+    """Packed rows of sorted keys by their own shard."""
+    return [{"level": level, "shard": shard, "keys": pack_keys(key[at]),
+             "columns": [pack_values(c[at]) for c in columns]}
+            for shard, at in _parted(shard_of(key, bits))]
 
-class _Level:
-    """The work of one order: its n-grams, their contexts and the next lower order."""
 
-    def __init__(self, k: int, folder: str, lower_bits: int):
-        self.k, self.folder, self.bits = k, folder, lower_bits
+class _Parts:
+    """Put the parts of a shard of words, or of contexts of split words, together."""
 
-    def grams(self, table: pa.Table) -> pa.Table:
-        """Write one shard of n-grams; send context totals and the order below."""
-        shard = table["shard"][0].as_py()
-        columns, (counts, raw, *_) = _unpacked(table)
-        key, columns, counts, raw = _records(columns, counts, raw)
-        base = f"{self.folder}/{self.k}/{shard}"
-        write_array(f"{base}.keys", key)
-        write_array(f"{base}.counts", np.minimum(counts, 2 ** 32 - 1).astype(np.uint32))
-        rows = []
-        if self.k == 1:
-            write_array(f"{base}.raw", raw)
-        else:
-            one = np.ones(len(key), np.uint64)
-            lower = _records(columns[1:], one, raw)
-            rows += _packed("grams", *lower, self.bits)
-            state = columns[0]
-            for column in columns[1:-1]:
-                state = _follow(state, column)
-            state = mix(state)
-            order = np.argsort(state, kind="stable")
-            state, own = state[order], counts[order]
-            new = np.flatnonzero(np.concatenate([[True], state[1:] != state[:-1]]))
-            sums = [np.add.reduceat(x.astype(np.uint64), new)
-                    for x in (own, own == 1, own == 2, own > 2)]
-            rows += _packed("contexts", state[new], [state[new]], sums[0], sums[0], self.bits,
-                            sums[1:])
-        facts = [*(int((counts == i).sum()) for i in (1, 2, 3, 4)), int((counts > 2).sum()),
-                 int(counts.sum()), len(key), int(raw.sum())]
-        rows.append({"kind": "facts", "shard": shard, "facts": facts, "size": len(key)})
-        return pa.Table.from_pylist(rows, _ARROW_SENT)
-
-    def contexts(self, table: pa.Table) -> pa.Table:
-        """Write one shard of contexts."""
-        shard = table["shard"][0].as_py()
-        (key,), (total, _, *kinds) = _unpacked(table)
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def write(self, table: pa.Table) -> pa.Table:
+        level, shard = table["level"][0].as_py(), table["shard"][0].as_py()
+        if not level:
+            return table.select(["level", "shard", "facts"])
+        key = np.concatenate([unpack_keys(x.as_py()) for x in table["keys"]])
         order = np.argsort(key, kind="stable")
         key = key[order]
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        base = f"{self.folder}/{self.k}c/{shard}"
-        write_array(f"{base}.keys", key[new])
-        write_array(f"{base}.counts", np.add.reduceat(total[order], new).astype(np.float64))
-        for name, values in zip(("ones", "twos", "more"), kinds):
-            write_array(f"{base}.{name}", np.add.reduceat(values[order], new).astype(np.uint32))
-        return pa.table({"shard": pa.array([shard], pa.int32())})
+        packed = [c.as_py() for c in table["columns"]]
+        columns = [np.add.reduceat(np.concatenate([unpack_values(c) for c in own])[order], new)
+                   for own in zip(*packed)]
+        write_coded(f"{self.folder}/{level}{'s' if level > 1 else ''}/{shard}", key[new], columns)
+        return pa.table({"level": pa.array([level], pa.int32()),
+                         "shard": pa.array([shard], pa.int32()),
+                         "facts": pa.array([_facts(*columns) if level == 1 else None],
+                                           pa.list_(pa.int64()))})
 
 
 def score(docs: DataFrame, model: NgramModel, text: str = "text") -> DataFrame:
@@ -287,7 +375,7 @@ def score(docs: DataFrame, model: NgramModel, text: str = "text") -> DataFrame:
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to in slices(batch.column(place)):
+            for at, to in slices(batch.column(place), SCORED_BYTES):
                 part = batch.slice(at, to - at)
                 words = find_words(part.column(place).cast(pa.string()), True)
                 ids, ends, owner = token_ids(words, model.order)
