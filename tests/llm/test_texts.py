@@ -8,17 +8,20 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidyforge.llm import language_model, packing
+from tidyforge.llm.coded_tables import CodedTable, write_coded
 from tidyforge.llm.main_text import (Scanner, best_region, count_labelled, extract_main_text,
                                      learn_weights, main_text)
 from tidyforge.llm.mixing import budgets, mix_documents, mix_plan, word_count
 from tidyforge.llm.queries import QUERIES, fold
 from tidyforge.llm.toxicity import Restorer, count_letters, score_toxicity
+from tidyforge.llm.words import find_words
 
 ROWS = list(enumerate(brute.ODD_TEXTS, start=10))
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -191,10 +194,11 @@ def kneser_ney(training, order):
     return score, raw
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
-def test_model_matches_plain_kneser_ney(spark, order):
+@pytest.mark.parametrize("order,rare", [(1, 0), (2, 0), (3, 0), (1, 70), (2, 70), (3, 70), (4, 70)])
+def test_model_matches_plain_kneser_ney(spark, order, rare):
     pick = random.Random(order)
-    rows = [(i, " ".join(pick.choices("a b c d e f g h".split(), range(8, 0, -1), k=pick.randint(0, 30))))
+    words = "a b c d e f g h".split() + [f"w{i}" for i in range(rare)]    # some split, some not
+    rows = [(i, " ".join(pick.choices(words, [*range(8, 0, -1)] + [1] * rare, k=pick.randint(0, 30))))
             for i in range(60)] + [(60, None), (61, "A zz \n b"), (62, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     model = language_model.fit(docs, F.col("doc_id") % 3 != 0, order=order)
@@ -210,14 +214,40 @@ def test_model_matches_plain_kneser_ney(spark, order):
         assert r["score"] == pytest.approx(score(text), rel=1e-9)
 
 
+def test_words_with_many_followers_are_split(spark):
+    docs = spark.createDataFrame([(i, f"x a y{i} a z{i} q{i % 7}") for i in range(90)], "doc_id long, text string")
+    deal = language_model.fit(docs, F.lit(True)).deal
+    ids, ends, _ = language_model.token_ids(find_words(pa.array(["x a y1 a z1 q1"])), 2)
+    split = deal.is_split(ids[ends - 1])         # the words before each token: start, x, a, y1, a, z1, q1
+    assert split.tolist() == [True, True, True, False, True, False, False]
+    last = np.arange(1, 65, dtype=np.uint64)
+    assert len(set(deal.shards(np.full(64, ids[2]), last).tolist())) > 1
+    assert len(set(deal.shards(np.full(64, ids[3]), last).tolist())) == 1
+
+
+@pytest.mark.parametrize("size", [0, 1, 15, 5000])
+def test_coded_tables_return_every_row(tmp_path, size):
+    make = np.random.default_rng(size)
+    keys = np.unique(make.integers(0, 2 ** 64, 2 * size, np.uint64))
+    present, absent = keys[::2], keys[1::2]
+    if size:
+        present = np.unique(np.concatenate([present, np.array([0, 2 ** 64 - 1], np.uint64)]))
+    columns = [make.integers(0, 2 + size // 9, len(present)), make.integers(0, 2 ** 62, len(present))]
+    write_coded(str(tmp_path / "3"), present, columns)
+    table = CodedTable(str(tmp_path), [3], 2)
+    asked = make.permutation(np.concatenate([present, absent]))
+    found = table.search(asked, np.full(len(asked), 3))
+    want = dict(zip(present.tolist(), zip(*(c.tolist() for c in columns))))
+    assert [tuple(r) for r in found.tolist()] == [want.get(k, (0, 0)) for k in asked.tolist()]
+    assert not table.search(present, np.full(len(present), 4)).any()
+
+
 def test_model_probabilities_add_up(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "b c c a d")], "doc_id long, text string")
     model = language_model.fit(docs, F.lit(True))
     texts = spark.createDataFrame([(w,) for w in ["a", "b", "c", "d", "", "new"]], "text string")
     # P(first word) times P(end): divide by the score of the end after that word
     words = {r["text"]: r["score"] for r in language_model.score(texts, model).collect()}
-    from tidyforge.llm.words import find_words
-    import pyarrow as pa
     total = 0
     for w in words:
         ids, ends, _ = language_model.token_ids(find_words(pa.array([w])), 2)

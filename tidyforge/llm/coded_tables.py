@@ -3,8 +3,8 @@
 One file holds one shard: the places where buckets of keys begin, 32 bits of each key beyond
 those that name its bucket, and one byte that names its row of values.  Values repeat a lot, so
 the different rows are kept once, the most frequent first; an entry whose row is not among the
-first 255 is listed with its row's number.  A bucket has eight to sixteen keys at any size, so
-an absent key is taken for a present one about once in 2^28 searches.
+first 255 is listed with its row's number.  A bucket has 16 to 32 keys at any size, so an
+absent key is taken for a present one about once in 2^27 searches.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
 
 def write_coded(path: str, keys: np.ndarray, columns: list[np.ndarray]) -> None:
     """Write a shard of sorted distinct keys and the columns of whole numbers beside them."""
-    bits = max(1, len(keys).bit_length() - 4)
+    bits = max(1, len(keys).bit_length() - 5)
     buckets = np.arange((1 << bits) + 1, dtype=np.uint64)
     begin = np.searchsorted(keys >> np.uint64(64 - bits), buckets)
     rows = np.zeros(len(keys), np.uint64)

@@ -20,8 +20,10 @@ ORDER = 3
 FLUSH_GRAMS = 2_000_000      # n-grams a task gathers before it sends them
 SPLIT_BITS = 20              # a word before 1 / 2^20 of all words is always split
 SCORED_BYTES = 4 << 20       # texts scored at once
-_START, _END = np.uint64(0x5BD1E995A3C59AC3), np.uint64(0x27D4EB2F165667C5)
-#: N-grams of one shard: the different hashes of their words, and the words' places in these.
+HASH_BITS = 56               # of a word's hash; more cost disk, an absent word meets few others
+_START, _END = np.uint64(0x5BD1E995A3C59A), np.uint64(0x27D4EB2F165667)
+#: N-grams of one shard: the different hashes of their words, and the words' places in these;
+#: the places of the last word but one and of the first are one number, in ascending order.
 _GRAMS = "shard int, words binary, places array<binary>, counts binary"
 #: Parts of words (level 1) or of contexts of split words (the order), or facts (level 0).
 _PARTS = "level int, shard int, keys binary, columns array<binary>, facts array<long>"
@@ -125,7 +127,7 @@ def token_ids(words: Words, order: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     last = begin + order - 1 + count
     inner = np.ones(len(owner), bool)
     inner[np.cumsum(count + 1) - 1] = False
-    ids[ends[inner]] = words.hashes
+    ids[ends[inner]] = words.hashes >> np.uint64(64 - HASH_BITS)
     ids[last] = _END
     return ids, ends, owner
 
@@ -244,7 +246,7 @@ def _parted(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch], order: int, deal: Deal) -> Iterator[pa.RecordBatch]:
-    """Packed n-grams by shard; within a row in the order of the last words but one."""
+    """Packed n-grams by shard."""
     for ids, ends in _gathered(batches, order):
         columns = [np.concatenate([i[e - order + 1 + k] for i, e in zip(ids, ends)])
                    for k in range(order)]
@@ -257,31 +259,37 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, deal: Deal) -> Iterato
         for shard, at in _parted(shards):
             names, places = np.unique(np.concatenate([c[at] for c in columns]),
                                       return_inverse=True)
-            places = places.reshape(order, -1)
-            sort = np.lexsort((places[-1], places[0], places[max(order - 2, 0)]))
-            packed = [pack_values(p[sort]) for p in places]
-            packed[max(order - 2, 0)] = pack_keys(
-                places[max(order - 2, 0)][sort].astype(np.uint64))
+            places = places.reshape(order, -1).astype(np.uint64)
+            lead = places[max(order - 2, 0)] * np.uint64(len(names)) + places[0]
+            sort = np.lexsort((places[-1], lead))
+            packed = [pack_keys(lead[sort]), *(
+                pack_values(places[k][sort]) for k in _others(order))]
             yield pa.RecordBatch.from_pylist(
                 [{"shard": shard, "words": pack_keys(names), "places": packed,
                   "counts": pack_values(counts[at][sort])}], _ARROW_GRAMS)
 
 
+def _others(order: int) -> list[int]:
+    """Words of an n-gram that are neither its first nor its last but one."""
+    return [k for k in range(1, order) if k != order - 2]
+
+
 _ARROW_GRAMS = pa.schema([("shard", pa.int32()), ("words", pa.binary()),
                           ("places", pa.list_(pa.binary())), ("counts", pa.binary())])
 _ARROW_PARTS = pa.schema([("level", pa.int32()), ("shard", pa.int32()), ("keys", pa.binary()),
                           ("columns", pa.list_(pa.binary())), ("facts", pa.list_(pa.int64()))])
 
 
-def _unpacked(table: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+def _unpacked(table: pa.Table, order: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Words and counts of the n-grams of a shard's rows."""
     held = []
     for words, places in zip(table["words"], table["places"]):
         names = unpack_keys(words.as_py())
-        packed = places.as_py()
-        sorted_at = max(len(packed) - 2, 0)
-        held.append([names[(unpack_keys if k == sorted_at else unpack_values)(p).astype(np.int64)]
-                     for k, p in enumerate(packed)])
+        lead, *others = places.as_py()
+        before, first = np.divmod(unpack_keys(lead), np.uint64(len(names)))
+        own = dict(zip(_others(order), map(unpack_values, others))) | {0: first}
+        own.setdefault(max(order - 2, 0), before)
+        held.append([names[own[k].astype(np.int64)] for k in range(order)])
     return ([np.concatenate(c) for c in zip(*held)],
             np.concatenate([unpack_values(c.as_py()) for c in table["counts"]]))
 
@@ -300,7 +308,7 @@ class _Tables:
 
     def write(self, table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
-        columns, counts = _unpacked(table)
+        columns, counts = _unpacked(table, self.order)
         key, columns, counts, raw = _records(columns, counts, counts)
         rows, facts = [], []
         for k in range(self.order, 1, -1):
