@@ -4,9 +4,11 @@ import csv
 import io
 import json
 import random
+import re
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidyforge.sources import records
 from tidyforge.sources.load import SOURCE_ORDER, csv_records, json_kind, load, read_csv, read_json
@@ -173,3 +175,33 @@ def test_open_records_may_span_chunks(spark, tmp_path, splits):
     raw = csv_records(spark, str(tmp_path / "l.csv"), {"header": True, "escape": '"', "mode": "FAILFAST"})
     assert [(r["i"], r["t"]) for r in raw.orderBy(SOURCE_ORDER).collect()] == rows
     assert records.PLACE == ["file", "block", "chunk", "n"]
+
+
+@pytest.mark.parametrize("broadcast", [10 << 20, -1])
+def test_records_of_one_file_do_not_meet_in_one_task(spark, tmp_path, splits, monkeypatch, broadcast):
+    """Neither the first record nor the pieces of open ones bring all text of a file together."""
+    rows = [(str(i), "two\nlines" * (i % 40)) for i in range(400)]
+    (tmp_path / "o.csv").write_text(written([("i", "t"), *rows]))
+    plans = []
+
+    def kept(df, name="stage", write=records.materialize):
+        if "text" in df.columns:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(records, "materialize", kept)
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, (broadcast, "false")):
+        spark.conf.set(name, str(value))
+    try:
+        raw = csv_records(spark, str(tmp_path / "o.csv"), {"header": True, "escape": '"', "mode": "FAILFAST"})
+        plans.append(raw._jdf.queryExecution().executedPlan().toString())
+        tasks = [r["n"] for r in raw.groupBy(F.spark_partition_id()).agg(F.count("i").alias("n")).collect()]
+        got = [(r["i"], r["t"]) for r in raw.orderBy(SOURCE_ORDER).collect()]
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+    assert got == [(i, t or None) for i, t in rows]
+    assert len(tasks) > 2 and max(tasks) < 300
+    assert not [p for p in plans if re.search(r"hashpartitioning\(file#\d+, \d+\)", p)]

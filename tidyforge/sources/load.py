@@ -213,8 +213,8 @@ def csv_records(spark: SparkSession, path, settings: dict) -> DataFrame:
     records = records.withColumn("text", F.regexp_replace("text", r"\r\z", "")).where(
         F.trim("text") != "")
     place = F.struct(*PLACE[1:])
-    heads = records.groupBy("file").agg(F.min_by("text", place).alias("head"),
-                                        F.min(place).alias("first"))
+    heads = materialize(records.groupBy("file").agg(
+        F.min_by("text", place).alias("head"), F.min(place).alias("first")), "heads")
     texts = [r["head"] for r in heads.select("head").distinct().limit(2).collect()]
     order = F.struct("file", *PLACE[1:]).alias(SOURCE_ORDER)
     if not texts:
@@ -224,7 +224,8 @@ def csv_records(spark: SparkSession, path, settings: dict) -> DataFrame:
         for other in texts[1:]:
             if _header(spark, other, settings) != names:
                 raise ValueError(f"the files of {path} have different headers: {texts}")
-        records = records.join(heads.select("file", "first"), "file").where(place != F.col("first"))
+        # by whole places, as a file's records would meet in one task by the file alone
+        records = records.join(heads.select("file", "first.*"), PLACE, "left_anti")
     given = {k: str(v) for k, v in settings.items() if k != "enforceSchema"}
     row = F.from_csv("text", ", ".join(f"c{i} string" for i in range(len(names))),
                      {**given, "header": "false", "multiLine": "true"})

@@ -169,8 +169,9 @@ def cut_records(spark: SparkSession, path, rule: Rule) -> tuple[DataFrame, DataF
         F.col("all.inside_after"))
     moves = moves.withColumn("deeper", deeper).withColumn(
         "depth", F.coalesce(F.sum("deeper").over(before), F.lit(0)))
-    starts = moves.select("file", "block", F.col("state").alias("split_state"),
-                          F.col("depth").alias("split_depth"))
+    # one row per split, written so that Spark knows how small it is beside the chunks
+    starts = materialize(moves.select("file", "block", F.col("state").alias("split_state"),
+                                      F.col("depth").alias("split_depth")), "starts")
     ends = moves.groupBy("file").agg(F.max_by(F.struct(
         ((F.col("state") + F.col("all.turned_after")) % 2).alias("state"),
         (F.col("depth") + F.col("deeper")).alias("depth")), "block").alias("end")).select(
@@ -186,8 +187,11 @@ def cut_records(spark: SparkSession, path, rule: Rule) -> tuple[DataFrame, DataF
     order = Window.partitionBy("file").orderBy("block", "chunk", "kind")
     opened = F.sum((F.col("kind") == 2).cast("long")).over(order)
     # a chunk wholly inside a record both goes on and stays open: it opens nothing
-    broken = pieces.where("kind > 0").withColumn("opened", opened)
-    joined = broken.groupBy("file", "opened").agg(
+    broken = pieces.where("kind > 0")
+    # a file's pieces are numbered in one task, which gets their places without their text
+    numbers = materialize(broken.select(*PLACE, "kind").select(*PLACE, opened.alias("opened")),
+                          "opened")
+    joined = broken.join(numbers, PLACE).groupBy("file", "opened").agg(
         F.min(F.struct("block", "chunk", "n", "depth")).alias("first"),
         F.max(F.struct("block", "chunk", "n", "depth_after")).alias("last"),
         F.sort_array(F.collect_list(F.struct("block", "chunk", "text"))).alias("parts"))
