@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidyforge.llm import language_model, packing
-from tidyforge.llm.coded_tables import CodedTable, write_coded
+from tidyforge.llm.coded_tables import CodedTable, distinct, parted, write_coded
 from tidyforge.llm.main_text import (Scanner, best_region, count_labelled, extract_main_text,
                                      learn_weights, main_text)
 from tidyforge.llm.mixing import budgets, mix_documents, mix_plan, word_count
@@ -242,6 +242,31 @@ def test_coded_tables_return_every_row(tmp_path, size):
     assert not table.search(present, np.full(len(present), 4)).any()
 
 
+def test_scoring_keeps_one_core_busy(spark):
+    make = np.random.default_rng(3)
+    texts = [" ".join(map(str, make.zipf(1.3, 500))) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    model = language_model.fit(docs, F.lit(True))
+    ids, ends, _ = language_model.token_ids(find_words(pa.array(texts)), 3)
+    model.probabilities(ids, ends)                   # maps the tables
+    wall, cpu = time.perf_counter(), time.process_time()
+    for _ in range(5):
+        model.probabilities(ids, ends)
+    assert time.process_time() - cpu < 1.5 * (time.perf_counter() - wall)
+
+
+@pytest.mark.parametrize("size,shards", [(0, 8), (1, 8), (500, 8), (500, 1 << 20)])
+def test_keys_are_grouped_in_their_order(size, shards):
+    make = np.random.default_rng(size)
+    keys = make.integers(0, 100, size, np.uint64) << np.uint64(57)
+    found, first, again = distinct(keys)
+    assert found.tolist() == sorted(set(keys.tolist()))
+    assert keys[first].tolist() == found.tolist() and found[again].tolist() == keys.tolist()
+    shard = make.integers(0, shards, size)
+    assert {s: at.tolist() for s, at in parted(shard)} == {
+        s: np.flatnonzero(shard == s).tolist() for s in sorted(set(shard.tolist()))}
+
+
 def test_model_probabilities_add_up(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "b c c a d")], "doc_id long, text string")
     model = language_model.fit(docs, F.lit(True))

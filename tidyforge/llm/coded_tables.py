@@ -9,6 +9,8 @@ absent key is taken for a present one about once in 2^27 searches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 from tidyforge.llm.hash_tables import map_array, write_file
@@ -22,6 +24,26 @@ def shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (mix(keys) >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def parted(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard and the places of its rows, in their order."""
+    if len(shards) and shards.max() < 1 << 16:
+        shards = shards.astype(np.uint16)       # sorted by their digits, in linear time
+    order = np.argsort(shards, kind="stable")
+    names, first = np.unique(shards[order], return_index=True)
+    yield from zip(names.tolist(), np.split(order, first[1:]) if len(names) else [])
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct sorted keys, a place of each, and the place of each given key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    again = np.empty(len(keys), np.int64)
+    again[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], again
+
+
 def write_coded(path: str, keys: np.ndarray, columns: list[np.ndarray]) -> None:
     """Write a shard of sorted distinct keys and the columns of whole numbers beside them."""
     bits = max(1, len(keys).bit_length() - 5)
@@ -96,10 +118,10 @@ class CodedTable:
     def search(self, keys: np.ndarray, shards: np.ndarray) -> np.ndarray:
         """Rows of values of the keys, each looked for in its shard; zeros for absent keys."""
         values = np.zeros((len(keys), self.width), np.int64)
-        order = np.lexsort((keys, shards))
-        names, first = np.unique(shards[order], return_index=True)
-        for shard, own in zip(names.tolist(), np.split(order, first[1:])):
+        order = np.argsort(keys)                # keys in ascending order are found side by side
+        for shard, at in parted(shards[order]):
             if shard in self.shards:
+                own = order[at]
                 values[own] = self._shard(shard).find(keys[own])
         return values
 

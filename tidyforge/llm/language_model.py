@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidyforge.llm.coded_tables import CodedTable, shard_of, write_coded
+from tidyforge.llm.coded_tables import CodedTable, distinct, parted, shard_of, write_coded
 from tidyforge.llm.hash_tables import (
     add_up, new_folder, pack_keys, pack_values, shard_bits, text_size, unpack_keys, unpack_values)
 from tidyforge.llm.words import Words, combine, find_words, mix, slices
@@ -73,7 +73,7 @@ class NgramModel:
 
     def probabilities(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Model probability and training count of the tokens at ``ends``."""
-        single, again = np.unique(ids[ends], return_inverse=True)
+        single, _, again = distinct(ids[ends])
         single = mix(single)
         counts, raw = self.words.search(single, shard_of(single, self.deal.bits))[again].T
         chance = np.full(len(ends), 1 / (self.types + 1))
@@ -82,10 +82,10 @@ class NgramModel:
             chance = self._kept(1, counts) / self.pairs + left * chance
         for k in range(2, self.order + 1):
             before = ids[ends - 1]
-            own = self.grams[k].search(mix(combine(ids, k))[ends - k + 1],
-                                       self.deal.shards(before, ids[ends]))[:, 0]
-            key, first, again = np.unique(mix(combine(ids, k - 1))[ends - k + 1],
-                                          return_index=True, return_inverse=True)
+            key, first, again = distinct(mix(combine(ids, k))[ends - k + 1])
+            own = self.grams[k].search(
+                key, self.deal.shards(before[first], ids[ends[first]]))[again, 0]
+            key, first, again = distinct(mix(combine(ids, k - 1))[ends - k + 1])
             before = before[first]
             split = self.deal.is_split(before)
             around = np.zeros((len(key), _STATS), np.int64)
@@ -93,10 +93,11 @@ class NgramModel:
                 key[~split], shard_of(before[~split], self.deal.bits))
             around[split] = self.split_contexts[k].search(
                 key[split], shard_of(key[split], self.deal.bits))
-            around = around[again]
             known = around[:, 0] > 0
             total = np.where(known, around[:, 0], 1).astype(float)
-            left = around[:, 1:] @ self.discounts[k] / total
+            # term by term: a matrix product would keep every core busy for three columns
+            left = sum(d * n for d, n in zip(self.discounts[k], around[:, 1:].T)) / total
+            known, total, left = known[again], total[again], left[again]
             chance = np.where(known, self._kept(k, own) / total + left * chance, chance)
         return chance, raw
 
@@ -218,7 +219,7 @@ def _records(columns: list[np.ndarray], counts: np.ndarray, raw: np.ndarray):
     if not len(counts):
         return np.zeros(0, np.uint64), columns, counts, raw
     key = _state(columns)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return (key[new], [c[order[new]] for c in columns], np.add.reduceat(counts[order], new),
@@ -238,13 +239,6 @@ def _follow(key: np.ndarray, column: np.ndarray) -> np.ndarray:
     return combine(np.array([1, 0], np.uint64), 2)[0] * key + column
 
 
-def _parted(shards: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each shard and the places of its rows."""
-    order = np.argsort(shards, kind="stable")
-    names, first = np.unique(shards[order], return_index=True)
-    yield from zip(names.tolist(), np.split(order, first[1:]) if len(names) else [])
-
-
 def _count(batches: Iterator[pa.RecordBatch], order: int, deal: Deal) -> Iterator[pa.RecordBatch]:
     """Packed n-grams by shard."""
     for ids, ends in _gathered(batches, order):
@@ -256,12 +250,15 @@ def _count(batches: Iterator[pa.RecordBatch], order: int, deal: Deal) -> Iterato
         _, columns, counts, _ = _records(columns, ones, ones)
         shards = deal.shards(columns[-2], columns[-1]) if order > 1 else shard_of(
             columns[0], deal.bits)
-        for shard, at in _parted(shards):
+        for shard, at in parted(shards):
             names, places = np.unique(np.concatenate([c[at] for c in columns]),
                                       return_inverse=True)
             places = places.reshape(order, -1).astype(np.uint64)
             lead = places[max(order - 2, 0)] * np.uint64(len(names)) + places[0]
-            sort = np.lexsort((places[-1], lead))
+            if len(names) ** 3 < 1 << 64:
+                sort = np.argsort(lead * np.uint64(len(names)) + places[-1])
+            else:
+                sort = np.lexsort((places[-1], lead))
             packed = [pack_keys(lead[sort]), *(
                 pack_values(places[k][sort]) for k in _others(order))]
             yield pa.RecordBatch.from_pylist(
@@ -325,7 +322,7 @@ class _Tables:
 
     def _contexts(self, k: int, shard: int, columns: list[np.ndarray], counts: np.ndarray) -> list:
         key = _state(columns[:-1])
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key, own = key[order], counts[order]
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         stats = [np.add.reduceat(x.astype(np.uint64), new)
@@ -339,7 +336,7 @@ def _parts(level: int, key: np.ndarray, columns: list[np.ndarray], bits: int) ->
     """Packed rows of sorted keys by their own shard."""
     return [{"level": level, "shard": shard, "keys": pack_keys(key[at]),
              "columns": [pack_values(c[at]) for c in columns]}
-            for shard, at in _parted(shard_of(key, bits))]
+            for shard, at in parted(shard_of(key, bits))]
 
 
 class _Parts:
@@ -353,7 +350,7 @@ class _Parts:
         if not level:
             return table.select(["level", "shard", "facts"])
         key = np.concatenate([unpack_keys(x.as_py()) for x in table["keys"]])
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         key = key[order]
         new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         packed = [c.as_py() for c in table["columns"]]
