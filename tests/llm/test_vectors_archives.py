@@ -103,6 +103,42 @@ def test_top_k_in_tiles(spark, monkeypatch, bits):
     assert got == plain_top_k(rows, lambda q: q % 9 == 0, 5)
 
 
+def test_top_k_in_bounded_cells(spark, monkeypatch):
+    for name, value in {"SHARD_TILE": 8, "QUERY_TILE": 4, "FAN_IN": 2, "PACK_BYTES": 300, "CELL_BYTES": 400}.items():
+        monkeypatch.setattr(search, name, value, raising=False)
+    pick = random.Random(5)
+    rows = [(pick.randrange(150), [pick.randint(-2, 2) * pick.choice([0.25, 300.0]) for _ in range(pick.choice([2, 3]))],
+             "") for _ in range(260)]
+    rows += rows[:30] + [(7, [8388608.0, 0.0, 0.0, 0.0], ""), (21, [8388608.0, 0.0, 0.0, 1.0], "")]
+    found = top_k(spark.createDataFrame(rows, SCHEMA).repartition(3), F.col("vec_id") % 7 == 0, 4)
+    assert sorted(map(tuple, found.collect())) == plain_top_k(rows, lambda q: q % 7 == 0, 4)
+
+
+def test_top_k_never_broadcasts_the_copies_of_a_side(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "10MB")          # far less than the copies that all shards need
+        rows = spark.range(0, 30000, 1, 4).selectExpr(
+            "id AS vec_id", "transform(sequence(0, 15), i -> sin(id * 17 + i * i)) AS embedding")
+        found = top_k(rows, F.col("vec_id") % 10 == 0, 2)
+        assert found.count() == 6000
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_cells_are_bounded_and_copies_few():
+    for rows, asked, size in ((15_000_000, 300_000, 64), (615_384, 12_308, 64), (10 ** 6, 10 ** 6, 64),
+                              (4000, 4000, 4096), (10 ** 6, 1, 768), (0, 0, 0)):
+        shards, blocks = search._grid(rows, asked, 2 * rows * size, 2 * asked * size, 24)
+        assert 2 * rows * size <= shards * search.CELL_BYTES and 2 * asked * size <= blocks * search.CELL_BYTES
+        assert shards * asked + blocks * rows <= max(search.COPIES * (rows + asked), 2 * rows * asked * size * 2.1 * 2
+                                                     / search.CELL_BYTES)
+        assert shards * blocks < 48 or shards * search.CELL_BYTES < 4 * rows * size
+    assert search._grid(615_384, 12_308, 128 * 615_384, 128 * 12_308, 24)[0] >= 24
+
+
 def test_links_of_odd_rows(spark):
     df = spark.createDataFrame(ODD, SCHEMA).withColumns({"cell": F.lit(1), "class": F.lit("x"), "kept": F.lit(2)})
     got = near_vectors(df).select("vec_id", "n_links", "component_id", "kept").collect()
